@@ -42,7 +42,7 @@ def flatten_raw(parsed: DataFrame) -> DataFrame:
 
 def with_reason(flat: DataFrame) -> DataFrame:
     """Add ``appeared_utc`` and ``reason``: blank lines and broken lines by their status, documents by the rules."""
-    dated = flat.withColumn("appeared_utc", parse_utc(F.col("date_text")))
+    dated = compute_once(flat, appeared_utc=parse_utc(F.col("date_text")))
     rule = D.discard_reason(*[F.col(c) for c in ("kind", "lng", "lat", "species_id", "appeared_utc")])
     status = F.col("status")
     return dated.withColumn("reason", F.when(status == "doc", rule).otherwise(status))

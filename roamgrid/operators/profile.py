@@ -10,6 +10,7 @@ from roamgrid.functions.cells import degree_cell
 from roamgrid.functions.times import offset_minutes, sane_date_text
 from roamgrid.operators.cleaning import parse_lines
 from roamgrid.schemas import RAW_DATE, RAW_ID, RAW_LOCAL_TIME, RAW_SOURCE, RAW_SPECIES
+from roamgrid.session import materialize
 from roamgrid.sources.raw import POSITION, parsed_prefix
 
 # Fixed value: label of an offset that cannot be computed.
@@ -87,35 +88,43 @@ def top_k(freq: DataFrame, k: int) -> DataFrame:
     return total.withColumn("rank", F.row_number().over(common)).filter(F.col("rank") <= k)
 
 
-def later_occurrences(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Per file: rows whose key occurred before, in an earlier file or higher up in the same one.
+def later_occurrences(rows: DataFrame, kinds: dict[str, list[str]]) -> DataFrame:
+    """Per file, one column per kind of key: rows whose key occurred before, in an earlier file or higher up in the
+    same one. A key of a single column counts only where it is set.
 
-    Of all rows of a key only the first is no repetition, so the counts follow from rows per (key, file) and from the
-    first file of each key. Rows are combined before either shuffle; no key is ever sorted in one task.
+    Of all rows of a key only the first is no repetition, so rows per (key, file) and the first file of each key are
+    enough. Rows are combined before the shuffle; what is left of a key is one row per file. All kinds share one pass.
     """
-    per_file = rows.groupBy(*keys, "file").agg(F.count(F.lit(1)).alias("n"))
-    seen = per_file.groupBy("file").agg(F.sum("n").alias("n"))
-    first = per_file.groupBy(*keys).agg(F.min("file").alias("file")).groupBy("file").agg((-F.count(F.lit(1))).alias("n"))
-    return seen.unionByName(first).groupBy("file").agg(F.sum("n").alias(name))
+    columns = list(dict.fromkeys(c for keys in kinds.values() for c in keys))
+
+
+    def entry(kind: str, keys: list[str]) -> Column:
+        used = [F.col(c) if c in keys else F.lit(None).cast(rows.schema[c].dataType) for c in columns]
+        key = F.struct(F.lit(kind).alias("kind"), *[u.alias(c) for u, c in zip(used, columns)])
+        return key if len(keys) > 1 else F.when(F.col(keys[0]).isNotNull(), key)
+
+    keyed = rows.select("file", F.inline(F.array_compact(F.array(*[entry(k, c) for k, c in kinds.items()]))))
+    per_file = keyed.groupBy("kind", *columns, "file").agg(F.count(F.lit(1)).alias("n"))
+    first = F.col("file") == F.min("file").over(Window.partitionBy("kind", *columns))
+    later = per_file.withColumn("later", F.col("n") - F.when(first, 1).otherwise(0))
+    return later.groupBy("file").agg(*[
+        F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("later"))), F.lit(0)).alias(kind) for kind in kinds])
 
 
 def profile_dups(rows: DataFrame) -> DataFrame:
     """Per file: repeated record ids and repeated events (species, coordinates, date)."""
-    docs = rows.filter(F.col("status") == "doc")
-    by_id = later_occurrences(docs.filter(F.col("oid").isNotNull()), ["oid"], "dup_id")
-    by_event = later_occurrences(docs, EVENT, "dup_event")
-    return by_event.join(by_id, "file", "left").select(
-        "file", F.coalesce("dup_id", F.lit(0)).alias("dup_id"), "dup_event")
+    return later_occurrences(rows.filter(F.col("status") == "doc"), {"dup_id": ["oid"], "dup_event": EVENT})
 
 
 def profile_sample(rows: DataFrame, n: int) -> DataFrame:
     """Per file: its first ``n`` documents, how many are placed, repeated events within the sample, date range, and the
-    estimate of usable rows."""
-    sample = parsed_prefix(rows, n)
+    estimate of usable rows. The sample is cut from ``rows`` once and written; stage ``rows`` if they are parsed text.
+    """
+    sample = materialize(parsed_prefix(rows, n), "sample")
     stats = sample.groupBy("file").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("category") == "ok").alias("coords_ok"),
         F.min("date").alias("date_min"), F.max("date").alias("date_max"))
-    both = stats.join(later_occurrences(sample, EVENT, "dup_event"), "file")
+    both = stats.join(later_occurrences(sample, {"dup_event": EVENT}), "file")
     return both.withColumn("usable", F.col("coords_ok") - F.col("dup_event"))
 
 

@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None,
+def exact_quantiles(df: DataFrame, value: str, weight: str, probs: list[float], by: list[str] | None = None,
                     width: int = 3600) -> DataFrame:
-    """Rows ``(by..., p, value)`` with the linearly interpolated quantiles of an integer column.
+    """Rows ``(by..., p, value)`` with the linearly interpolated quantiles of an integer column that occurs ``weight``
+    times per row.
 
     Values are counted first (combined on the map side). Counts per range of ``width`` values locate the ranges that
     hold the wanted ranks, and only those ranges are counted through value by value. No window here is longer than the
     number of ranges or than ``width``, however many rows share a group.
     """
     by = by or []
-    counts = df.groupBy(*by, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n")) \
+    counts = df.groupBy(*by, F.col(value).alias("v")).agg(F.sum(weight).alias("n")) \
         .withColumn("range", F.floor(F.col("v") / width))
     ranges = counts.groupBy(*by, "range").agg(F.sum("n").alias("in_range"))
     group = Window.partitionBy(*by)

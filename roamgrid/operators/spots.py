@@ -101,98 +101,121 @@ def species_simpson(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
 # ---- consecutive pairs ----------------------------------------------------------------------------------------------
 
 def pairs(rows: DataFrame, by: list[str] | None = None, carry: list[str] | None = None) -> DataFrame:
-    """Consecutive sightings at one point: ``gap_s``, both species, both sources, and ``carry`` columns as ``next_*``.
+    """Consecutive sightings at one point: ``gap_s``, ``same_species``, ``same_source``, and ``carry`` columns of both
+    as ``column`` and ``next_column``.
 
     A point may hold any share of the rows, so it is cut by day. Rows are one per (species, point, second), which
-    bounds a day of a point; the pairs across days come from the first and last row of each day alone.
+    bounds a day of a point; the pairs across days come from the first and last row of each day alone. Both branches
+    read the same columns, so they share the shuffle by point and day.
     """
-    by, values = by or [], ["tsec", "species_id", "source", *(carry or [])]
-    order = ["tsec", "file", "line"]
-    day = rows.withColumn("_day", F.floor(F.col("tsec") / DAY_S))
-    in_day = Window.partitionBy(*by, "point", "_day").orderBy(*order)
-    following = F.lead(F.struct(*values))
-    linked = day.select(*by, "point", "file", "line", *values, following.over(in_day).alias("_next"),
-                        F.lag(F.lit(1)).over(in_day).isNull().alias("_first"))
-    across = Window.partitionBy(*by, "point").orderBy(*order)
-    edges = linked.filter(F.col("_first") | F.col("_next").isNull()) \
-        .withColumn("_last", F.col("_next").isNull()).withColumn("_next", following.over(across))
-    both = linked.drop("_first").unionByName(edges.filter("_last").drop("_first", "_last"))
-    found = both.filter(F.col("_next").isNotNull())
+    by, carry = by or [], carry or []
+    place, values = ["tsec", "file", "line"], ["species_id", "source", *carry]
+    day = rows.select(*by, "point", F.floor(F.col("tsec") / DAY_S).alias("_day"), *place, *values)
+    in_day = Window.partitionBy(*by, "point", "_day").orderBy(*place)
+    across = Window.partitionBy(*by, "point").orderBy(*place)
+
+    def following(window) -> dict[str, Column]:
+        return {f"next_{c}": F.lead(c).over(window) for c in ["tsec", *values]}
+
+    linked = day.withColumns(following(in_day))
+    last = F.col("next_tsec").isNull()
+    edges = linked.withColumn("_first", F.lag("tsec").over(in_day).isNull()).filter(F.col("_first") | last)
+    bridged = edges.withColumn("_last", last).withColumns(following(across)).filter("_last").drop("_first", "_last")
+    found = linked.unionByName(bridged).filter(F.col("next_tsec").isNotNull())
     return found.select(
-        *by, (F.col("_next.tsec") - F.col("tsec")).alias("gap_s"),
-        (F.col("_next.species_id") == F.col("species_id")).alias("same_species"),
-        F.col("_next.source").eqNullSafe(F.col("source")).alias("same_source"),
-        *[F.col(c) for c in carry or []], *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carry or []])
-
-
-def pair_summary(linked: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Rates over pairs (A20, A24); percentages of gaps up to 15 minutes, an hour, a day."""
-    gap, one = F.col("gap_s"), F.count(F.lit(1))
-    return linked.groupBy(*(by or [])).agg(
-        one.alias("pairs"), _share(F.count_if("same_species"), one).alias("same_species_rate"),
-        _percent(F.count_if(gap <= 900), one).alias("pct_gap_15min"),
-        _percent(F.count_if(gap <= 3600), one).alias("pct_gap_1h"),
-        _percent(F.count_if(gap <= DAY_S), one).alias("pct_gap_24h"),
-        _percent(F.count_if("same_source"), one).alias("pct_same_source"),
-        F.count_if(F.col("same_species") & (gap <= 900)).alias("near_dups"),
-    ).filter(F.col("pairs") > 0)
-
-
-def gap_quantiles(linked: DataFrame, by: list[str] | None = None) -> DataFrame:
+        *by, (F.col("next_tsec") - F.col("tsec")).alias("gap_s"),
+        (F.col("next_species_id") == F.col("species_id")).alias("same_species"),
+        F.col("next_source").eqNullSafe(F.col("source")).alias("same_source"),
+        *carry, *[f"next_{c}" for c in carry])
+
+
+def pair_counts(rows: DataFrame, by: list[str] | None = None, carry: list[str] | None = None) -> DataFrame:
+    """Pairs combined by gap and flags: every pair metric follows from this table, which has at most a few rows per
+    second of the longest gap, however many sightings there are."""
+    flags = ["gap_s", "same_species", "same_source", *(carry or []), *[f"next_{c}" for c in carry or []]]
+    return pairs(rows, by, carry).groupBy(*(by or []), *flags).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _count(condition: Column) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+
+def pair_summary(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Rates over pairs (A20, A24); percentages of gaps up to 15 minutes, an hour, a day. No row without pairs."""
+    gap, same, total = F.col("gap_s"), F.col("same_species"), F.sum("n")
+    return counts.groupBy(*(by or [])).agg(
+        total.alias("pairs"), _share(_count(same), total).alias("same_species_rate"),
+        _percent(_count(gap <= 900), total).alias("pct_gap_15min"),
+        _percent(_count(gap <= 3600), total).alias("pct_gap_1h"),
+        _percent(_count(gap <= DAY_S), total).alias("pct_gap_24h"),
+        _percent(_count(F.col("same_source")), total).alias("pct_same_source"),
+        _count(same & (gap <= 900)).alias("near_dups"),
+    ).filter(F.col("pairs").isNotNull())
+
+
+def gap_quantiles(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Quantiles of the gap in hours, one column per probability."""
-    seconds = exact_quantiles(linked.select(*(by or []), "gap_s"), "gap_s", GAP_PROBS, by)
+    seconds = exact_quantiles(counts, "gap_s", "n", GAP_PROBS, by)
     hours = F.col("gap_s") / 3600
     return seconds.groupBy(*(by or [])).agg(*[
         F.max(F.when(F.col("p") == p, hours)).alias(f"gap_h_p{round(p * 100)}") for p in GAP_PROBS])
 
 
-def _beside(parts: list[DataFrame], by: list[str], how: str = "inner") -> DataFrame:
-    """Put summaries side by side; without grouping columns each is a single row."""
-    if by:
-        return reduce(lambda a, b: a.join(b, by, how), parts)
-    keyed = [p.withColumn("_one", F.lit(1)) for p in parts]
-    return reduce(lambda a, b: a.join(b, "_one", how), keyed).drop("_one")
+def type_rates(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Share of pairs whose next sighting has the type, given that the current one has it or has not."""
+    cur, nxt = F.col("has_type"), F.col("next_has_type")
+    return counts.groupBy(*(by or [])).agg(
+        F.when(_count(cur) > 0, _share(_count(cur & nxt), _count(cur))).alias("next_given_type"),
+        F.when(_count(~cur) > 0, _share(_count(~cur & nxt), _count(~cur))).alias("next_given_other"))
+
+
+def _beside(parts: list[DataFrame], by: list[str]) -> DataFrame:
+    """Put summaries side by side. Each has one row per group, so a union and one aggregate do without a join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in by])
 
 
 def pair_stats(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
-    linked = pairs(rows, by)
-    summary = pair_summary(linked, by).drop("pct_same_source", "near_dups")
-    return _beside([summary, gap_quantiles(linked, by)], by or [])
+    counts = materialize(pair_counts(rows, by), "pairs")
+    summary = pair_summary(counts, by).drop("pct_same_source", "near_dups")
+    return _beside([summary, gap_quantiles(counts, by)], by or []).filter(F.col("pairs").isNotNull())
 
 
 def pair_by_gap(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Same-species rate per band of the gap; bands without pairs are absent."""
-    banded = pairs(rows, by).withColumn("band", gap_band(F.col("gap_s")))
-    one = F.count(F.lit(1))
+    banded = pair_counts(rows, by).withColumn("band", gap_band(F.col("gap_s")))
     return banded.groupBy(*(by or []), "band").agg(
-        one.alias("pairs"), _share(F.count_if("same_species"), one).alias("same_species_rate"))
+        F.sum("n").alias("pairs"), _share(_count(F.col("same_species")), F.sum("n")).alias("same_species_rate"))
 
 
 def near_dups(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Same species at the same point within 15 minutes, and their percentage of all sightings."""
-    found = pairs(rows, by).groupBy(*(by or [])).agg(
-        F.count_if(F.col("same_species") & (F.col("gap_s") <= 900)).alias("near_dups"))
+    found = pair_summary(pair_counts(rows, by), by).select(*(by or []), "near_dups")
     total = rows.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("sightings"))
     both = _beside([found, total], by or [])
     return both.select(*(by or []), "near_dups",
                        _percent(F.col("near_dups"), F.col("sightings")).alias("pct_near_dups"))
 
 
+def with_type(rows: DataFrame, catalog: DataFrame, type_name: str) -> DataFrame:
+    """Add ``has_type``; a species without a catalog entry has no type."""
+    flagged = rows.join(catalog_side(type_flag(catalog, type_name)), "species_id", "left")
+    return flagged.withColumn("has_type", F.coalesce("has_type", F.lit(False)))
+
+
+def type_share(flagged: DataFrame, by: list[str] | None = None) -> DataFrame:
+    return flagged.groupBy(*(by or [])).agg(_share(F.count_if("has_type"), F.count(F.lit(1))).alias("share"))
+
+
 def type_persistence(rows: DataFrame, catalog: DataFrame, type_name: str, by: list[str] | None = None) -> DataFrame:
     """Share of a type overall, and in the next sighting at a point given that the current one has it or has not."""
-    flagged = rows.join(catalog_side(type_flag(catalog, type_name)), "species_id", "left") \
-        .withColumn("has_type", F.coalesce("has_type", F.lit(False)))
-    overall = flagged.groupBy(*(by or [])).agg(
-        _share(F.count_if("has_type"), F.count(F.lit(1))).alias("share"))
-    cur, nxt = F.col("has_type"), F.col("next_has_type")
-    linked = pairs(flagged, by, carry=["has_type"]).groupBy(*(by or [])).agg(
-        F.when(F.count_if(cur) > 0, _share(F.count_if(cur & nxt), F.count_if(cur))).alias("next_given_type"),
-        F.when(F.count_if(~cur) > 0, _share(F.count_if(~cur & nxt), F.count_if(~cur))).alias("next_given_other"))
-    return _beside([overall, linked], by or [], "left")
+    flagged = with_type(rows, catalog, type_name)
+    rates = type_rates(pair_counts(flagged, by, ["has_type"]), by)
+    return _beside([type_share(flagged, by), rates], by or [])
 
 
 def same_source(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
-    return pair_summary(pairs(rows, by), by).select(*(by or []), "pct_same_source")
+    return pair_summary(pair_counts(rows, by), by).select(*(by or []), "pct_same_source")
 
 
 # ---- views ----------------------------------------------------------------------------------------------------------
@@ -210,12 +233,14 @@ def view_coverage(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def compare_views(df: DataFrame, catalog: DataFrame, type_name: str, prefix: int = 500_000,
                   stride: int = 4) -> DataFrame:
-    """All point and pair metrics for the three views, one row per view. The deduplicated rows are written once."""
+    """All point and pair metrics for the three views, one row per view.
+
+    The deduplicated rows and the pair counts are each written once; everything else reads those two tables.
+    """
     by = ["view"]
-    rows = with_views(materialize(spot_rows(df), "spots"), prefix, stride)
-    linked = pairs(rows, by)
-    summary = pair_summary(linked, by)
-    parts = [point_summary(rows, by).drop("histogram"), summary, species_simpson(rows, by), gap_quantiles(linked, by),
-             type_persistence(rows, catalog, type_name, by), view_coverage(rows, by)]
-    beside = _beside(parts, by, "left")
+    rows = with_views(with_type(materialize(spot_rows(df), "spots"), catalog, type_name), prefix, stride)
+    counts = materialize(pair_counts(rows, by, ["has_type"]), "pairs")
+    parts = [point_summary(rows, by).drop("histogram"), pair_summary(counts, by), species_simpson(rows, by),
+             gap_quantiles(counts, by), type_share(rows, by), type_rates(counts, by), view_coverage(rows, by)]
+    beside = _beside(parts, by)
     return beside.withColumn("pct_near_dups", _percent(F.col("near_dups"), F.col("sightings")))

@@ -33,14 +33,14 @@ def ingest(spark: SparkSession, raw_glob: str, out: str, stride: int = 4, parts:
     table = f"{out.rstrip('/')}/{CLEAN_TABLE}"
     write_clean(dedup(clean_rows(staged)), table, parts)
 
-    reason, one = F.col("reason"), F.lit(1)
+    reason = F.col("reason")
     counts = staged.groupBy().agg(
         F.count_if(~reason.eqNullSafe("blank")).alias("lines_read"), F.count_if(reason == "invalid").alias("invalid_json"),
         *[F.count_if(reason == r).alias(f"bad_{r}") for r in REASONS],
         F.count_if(reason.isNull()).alias("after_rules"))
-    final = read_clean(spark, table).agg(F.count(one).alias("final_rows")).withColumn("_one", one)
-    report = counts.withColumn("_one", one).join(final, "_one").drop("_one").withColumns({
-        "duplicates": F.col("after_rules") - F.col("final_rows"), "stride": F.lit(stride)})
+    final = F.lit(read_clean(spark, table).count())
+    report = counts.withColumns({
+        "final_rows": final, "duplicates": F.col("after_rules") - final, "stride": F.lit(stride)})
     report.write.mode("overwrite").json(f"{out.rstrip('/')}/{REPORT}")
     scan_plan(splits, stride).write.mode("overwrite").json(f"{out.rstrip('/')}/{FILES}")
     return spark.read.schema(report.schema).json(f"{out.rstrip('/')}/{REPORT}")

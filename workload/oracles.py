@@ -265,9 +265,9 @@ ORACLES = {
     "recount_hotspots": with_(TOP, f""", sq AS (SELECT rank, cell_id, count, round(lng_c - CAST(0.005 AS DOUBLE), 6) AS w,
         round(lng_c + CAST(0.005 AS DOUBLE), 6) AS e, round(lat_c - CAST(0.005 AS DOUBLE), 6) AS so,
         round(lat_c + CAST(0.005 AS DOUBLE), 6) AS no FROM top),
-        ed AS (SELECT rank, w, unnest([[0, e - w, so, so], [0, e - w, no, no]]) AS v, w AS o FROM sq),
+        ed AS (SELECT rank, so AS low, unnest([[0, e - w, so, so], [0, e - w, no, no]]) AS v, w AS o FROM sq),
         hit AS (SELECT rank, id FROM (SELECT rank, v[1] AS xa, v[2] AS xb, v[3] AS ya, v[4] AS yb, s.id, s.lat, s.lng - o AS x
-            FROM ed JOIN s ON s.lng BETWEEN o - 0.001 AND o + 0.011 AND abs(s.lat - v[3]) < 0.02) t
+            FROM ed JOIN s ON s.lng BETWEEN o - 0.001 AND o + 0.011 AND s.lat BETWEEN low - 0.01 AND low + 0.02) t
             WHERE {_NORTH} GROUP BY rank, id HAVING count(*) % 2 = 1)
         SELECT sq.rank, sq.cell_id, sq.count, (SELECT count(*) FROM hit WHERE hit.rank = sq.rank) AS recount FROM sq"""
                               .replace(", sq AS", "SELECT * FROM (WITH sq AS", 1) + ")"),

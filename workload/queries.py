@@ -382,7 +382,7 @@ def profile_dups(spark, sf):
 
 @query
 def profile_sample(spark, sf):
-    return _part(profile.profile_sample(_profile(spark, sf), SAMPLE))
+    return _part(profile.profile_sample(materialize(_profile(spark, sf), "profile"), SAMPLE))
 
 
 @query
