@@ -80,8 +80,8 @@ def edge_north_of(edge, x: Column, tan_lat: Column) -> Column:
     return (x >= w) & (x < e) & (tan_lat < at_x)
 
 
-def contains(edges: Column, origin: Column, lng: Column, lat: Column) -> Column:
-    x, tan_lat = relative_lng(lng, origin), F.tan(F.radians(lat))
+def contains(edges: Column, origin: Column, lng: Column, tan_lat: Column) -> Column:
+    x = relative_lng(lng, origin)
     return F.aggregate(edges, F.lit(False), lambda odd, e: odd != edge_north_of(e, x, tan_lat))
 
 
@@ -141,6 +141,8 @@ class Level:
 # Small boxes use small cells: candidates stay close to matches, and a box covers about a dozen cells. Only boxes wider
 # than three of the largest cells cover more, at most the whole largest lattice.
 LEVELS = [Level(0, 0.02), Level(1, 0.1), Level(2, 0.5)]
+# One step finer for the same boxes: a few hundred cells per box, for counts rather than rows.
+FINE_LEVELS = [Level(3, 0.004), Level(0, 0.02), Level(1, 0.1)]
 
 
 def box_level() -> Column:
@@ -149,28 +151,36 @@ def box_level() -> Column:
     return F.when(span <= 3 * LEVELS[0].deg, 0).when(span <= 3 * LEVELS[1].deg, 1).otherwise(2)
 
 
-def _by_level(make) -> Column:
-    choice = F.when(F.col("level") == 0, make(LEVELS[0])).when(F.col("level") == 1, make(LEVELS[1]))
-    return choice.otherwise(make(LEVELS[2]))
+def _by_level(levels: list[Level], make) -> Column:
+    choice = F.when(F.col("level") == 0, make(levels[0])).when(F.col("level") == 1, make(levels[1]))
+    return choice.otherwise(make(levels[2]))
 
 
-def with_box_range(boxes: DataFrame) -> DataFrame:
+def with_box_range(boxes: DataFrame, levels: list[Level] = LEVELS) -> DataFrame:
     """Add the level, the lattice rows and columns of the box, and how many cells it covers."""
-    ranged = boxes.withColumn("level", box_level()).withColumns({
-        "cx0": _by_level(lambda v: F.floor((F.col("west") + 180) / F.lit(v.deg))),
-        "cx1": _by_level(lambda v: F.floor((F.col("east") + 180) / F.lit(v.deg))),
-        "cy0": _by_level(lambda v: F.floor((F.greatest(F.col("south"), F.lit(-90.0)) + 90) / F.lit(v.deg))),
-        "cy1": _by_level(lambda v: F.floor((F.least(F.col("north"), F.lit(90.0)) + 90) / F.lit(v.deg))),
-        "across": _by_level(lambda v: F.lit(v.columns).cast("long")),
+    deg = _by_level(levels, lambda v: F.lit(v.deg))
+    ranged = boxes.withColumn("level", box_level()).withColumn("deg", deg).withColumns({
+        "cx0": F.floor((F.col("west") + 180) / F.col("deg")),
+        "cx1": F.floor((F.col("east") + 180) / F.col("deg")),
+        "cy0": F.floor((F.greatest(F.col("south"), F.lit(-90.0)) + 90) / F.col("deg")),
+        "cy1": F.floor((F.least(F.col("north"), F.lit(90.0)) + 90) / F.col("deg")),
+        "across": _by_level(levels, lambda v: F.lit(v.columns).cast("long")),
     })
     ranged = ranged.withColumn("cx1", F.least(F.col("cx1"), F.col("cx0") + F.col("across") - 1))
     cells = (F.col("cx1") - F.col("cx0") + 1) * (F.col("cy1") - F.col("cy0") + 1)
     return ranged.withColumn("cells", cells)
 
 
-def cover_cells(ranged: DataFrame) -> DataFrame:
-    """One row per box and covered cell, with the cell key in ``cell``."""
+def cover_cells(ranged: DataFrame, levels: list[Level] = LEVELS) -> DataFrame:
+    """One row per box and covered cell: the cell key in ``cell``, its place in ``cx, cy, deg``."""
     rows = ranged.withColumn("cy", F.explode(F.sequence("cy0", "cy1")))
     cells = rows.withColumn("cx", F.explode(F.sequence("cx0", "cx1")))
-    key = _by_level(lambda v: v.key(F.pmod(F.col("cx"), F.col("across")), F.col("cy")))
-    return cells.withColumn("cell", key).drop("level", "cx0", "cx1", "cy0", "cy1", "cx", "cy", "across", "cells")
+    key = _by_level(levels, lambda v: v.key(F.pmod(F.col("cx"), F.col("across")), F.col("cy")))
+    return cells.withColumn("cell", key).drop("level", "cx0", "cx1", "cy0", "cy1", "across", "cells")
+
+
+def farthest_m(lng: Column, lat: Column) -> Column:
+    """Distance from a point to the farthest corner of the cell ``cx, cy, deg``; no place in the cell is farther."""
+    west, south = F.col("cx") * F.col("deg") - 180, F.col("cy") * F.col("deg") - 90
+    east, north = west + F.col("deg"), F.least(south + F.col("deg"), F.lit(90.0))
+    return F.greatest(*[distance_m(lng, lat, x, y) for x in (west, east) for y in (south, north)])

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roamgrid.functions import geodesy as G
 from roamgrid.schemas import DEFAULT_LIMIT, MAX_LIMIT, MAX_RADIUS_M, MAX_SPECIES, MAX_VERTICES, MIN_SPECIES
+from roamgrid.session import materialize
 
 # Bytes the cover of a request table may take and still be broadcast.
 BROADCAST_BYTES = 64 << 20
@@ -135,57 +137,105 @@ def within_top_species(df: DataFrame, rings, k: int = 5) -> DataFrame:
 
 # ---- many queries at once -------------------------------------------------------------------------------------------
 
-def _cell_join(df: DataFrame, boxes: DataFrame, row_bytes: Column, max_bytes: int) -> DataFrame:
+@dataclass(frozen=True)
+class _Cover:
+    """The lattice cells of a request table, with what one small aggregate tells about them."""
+
+    ranged: DataFrame
+    levels: list[G.Level]
+    found: list[G.Level]
+    extent: dict[str, float] | None
+    small: bool
+
+    @staticmethod
+    def of(boxes: DataFrame, row_bytes: Column, max_bytes: int, levels: list[G.Level] = G.LEVELS) -> _Cover:
+        ranged = G.with_box_range(boxes, levels)
+        rows = ranged.groupBy("level").agg(
+            F.sum(F.col("cells") * row_bytes).alias("bytes"), F.min("south").alias("south"),
+            F.max("north").alias("north"), F.min("west").alias("west"), F.max("east").alias("east")).collect()
+        extent = {"south": min(r["south"] for r in rows), "north": max(r["north"] for r in rows),
+                  "west": min(r["west"] for r in rows), "east": max(r["east"] for r in rows)} if rows else None
+        found = [levels[r["level"]] for r in rows] or levels[:1]
+        return _Cover(ranged, levels, found, extent, sum(r["bytes"] for r in rows) <= max_bytes)
+
+    def cells(self) -> DataFrame:
+        return G.cover_cells(self.ranged, self.levels)
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """Sightings in the extent of the requests, with their cell on every level that the requests use."""
+        lng, lat = F.col("lng"), F.col("lat")
+        if self.extent:
+            df = df.filter(lat.between(self.extent["south"], self.extent["north"]))
+            if self.extent["west"] >= -180 and self.extent["east"] <= 180:
+                df = df.filter(lng.between(self.extent["west"], self.extent["east"]))
+        keys = [level.of_point(lng, lat) for level in self.found]
+        return df.withColumn("cell", keys[0] if len(keys) == 1 else F.explode(F.array(*keys)))
+
+
+def _cell_join(df: DataFrame, cover: _Cover, salt_by: list[str]) -> DataFrame:
     """Pair every sighting with the boxes whose cells cover it: an equi-join on the lattice cell.
 
     The request side is broadcast when the checked size of its cover allows; sightings are then never shuffled. Beyond
     it both sides are shuffled by cell, and a cell that holds more than 1/2000 of all sightings is split by a salt, so
     that no task receives more than about that share.
     """
-    ranged = G.with_box_range(boxes)
-    found = ranged.groupBy("level").agg(
-        F.sum(F.col("cells") * row_bytes).alias("bytes"), F.min("south").alias("south"),
-        F.max("north").alias("north"), F.min("west").alias("west"), F.max("east").alias("east")).collect()
-    if not found:
-        found_levels, total_bytes = [G.LEVELS[0]], 0
-    else:
-        found_levels = [G.LEVELS[r["level"]] for r in found]
-        total_bytes = sum(r["bytes"] for r in found)
-        extent = {"south": min(r["south"] for r in found), "north": max(r["north"] for r in found),
-                  "west": min(r["west"] for r in found), "east": max(r["east"] for r in found)}
-        df = df.filter(F.col("lat").between(extent["south"], extent["north"]))
-        if extent["west"] >= -180 and extent["east"] <= 180:
-            df = df.filter(F.col("lng").between(extent["west"], extent["east"]))
-    lng, lat = F.col("lng"), F.col("lat")
-    keys = [level.of_point(lng, lat) for level in found_levels]
-    points = df.withColumn("cell", keys[0] if len(keys) == 1 else F.explode(F.array(*keys)))
-    cover = G.cover_cells(ranged)
-    if total_bytes <= max_bytes:
-        return points.join(F.broadcast(cover), "cell")
-
+    points, cells = cover.place(df), cover.cells().drop("cx", "cy", "deg")
+    if cover.small:
+        return points.join(F.broadcast(cells), "cell")
     share = max(1, df.count() // _HOT_SHARES)
     hot = (points.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > share)
            .select("cell", F.ceil(F.col("n") / share).alias("salts")))
     salts = F.coalesce(F.col("salts"), F.lit(1))
     # At most _HOT_SHARES cells per level pass the filter, whatever the size of the tables.
     points = points.join(F.broadcast(hot), "cell", "left") \
-        .withColumn("salt", F.pmod(F.xxhash64("id"), salts)).drop("salts")
-    cover = cover.join(F.broadcast(hot), "cell", "left") \
+        .withColumn("salt", F.pmod(F.xxhash64(*salt_by), salts)).drop("salts")
+    cells = cells.join(F.broadcast(hot), "cell", "left") \
         .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
-    return points.join(cover, ["cell", "salt"]).drop("salt")
+    return points.join(cells, ["cell", "salt"]).drop("salt")
+
+
+def _wanted(pairs: DataFrame) -> DataFrame:
+    """Keep the species a request asks for."""
+    if "species_ids" not in pairs.columns:
+        return pairs
+    ids = F.col("species_ids")
+    return pairs.filter(ids.isNull() | F.array_contains(ids, F.col("species_id"))).drop("species_ids")
+
+
+def _boxed(queries: DataFrame) -> DataFrame:
+    return queries.withColumns(G.circle_box(F.col("q_lng"), F.col("q_lat"), F.col("radius_m")))
+
+
+def tighten_radius(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Shrink every radius to where counts per small cell prove that ``limit`` sightings are closer.
+
+    The nearest ``limit`` are all within that distance, ties included, so a request in a crowded place looks at little
+    more than what it returns. Sightings are combined to one count per cell and species before any join.
+    """
+    cover = _Cover.of(_boxed(queries), F.lit(_NEAR_ROW_BYTES), max_bytes, G.FINE_LEVELS)
+    counts = cover.place(df.select("lng", "lat", "species_id")).groupBy("cell", "species_id").agg(
+        F.count(F.lit(1)).alias("n"))
+    cells = cover.cells().withColumn("far", G.farthest_m(F.col("q_lng"), F.col("q_lat")))
+    pairs = _wanted(counts.join(F.broadcast(cells) if cover.small else cells, "cell"))
+    by_cell = pairs.groupBy("query_id", "limit", "far").agg(F.sum("n").alias("n"))
+    outwards = Window.partitionBy("query_id").orderBy("far").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    proven = by_cell.withColumn("within", F.sum("n").over(outwards)).filter(F.col("within") >= F.col("limit")) \
+        .groupBy("query_id").agg(F.min("far").alias("enough"))
+    # A metre of slack covers rounding.
+    return queries.join(proven, "query_id", "left").withColumn(
+        "radius_m", F.least(F.col("radius_m"), F.col("enough") + 1)).drop("enough")
 
 
 def near_join(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """For every request the nearest sightings within its radius: ``query_id, rank, distance_m`` and the sighting.
 
     ``queries``: ``query_id, q_lng, q_lat, radius_m, limit`` as accepted by the request checks, optionally
-    ``species_ids`` (NULL = any species, an empty array matches nothing).
+    ``species_ids`` (NULL = any species, an empty array matches nothing). The request table is written twice, as given
+    and with its tightened radii, because its cells depend on what is found in it.
     """
-    boxes = queries.withColumns(G.circle_box(F.col("q_lng"), F.col("q_lat"), F.col("radius_m")))
-    pairs = _cell_join(df, boxes, F.lit(_NEAR_ROW_BYTES), max_bytes)
-    if "species_ids" in queries.columns:
-        wanted = F.col("species_ids")
-        pairs = pairs.filter(wanted.isNull() | F.array_contains(wanted, F.col("species_id"))).drop("species_ids")
+    tight = materialize(tighten_radius(df, materialize(queries, "requests"), max_bytes), "radii")
+    cover = _Cover.of(_boxed(tight), F.lit(_NEAR_ROW_BYTES), max_bytes)
+    pairs = _wanted(_cell_join(df, cover, ["id"]))
     away = G.distance_m(F.col("q_lng"), F.col("q_lat"), F.col("lng"), F.col("lat"))
     close = pairs.withColumn("_away", away).filter(F.col("_away") <= F.col("radius_m"))
     nearest_first = Window.partitionBy("query_id").orderBy("_away", "id")
@@ -195,14 +245,15 @@ def near_join(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTE
     return ranked.select("query_id", "rank", F.round("_away", 1).alias("distance_m"), *df.columns)
 
 
-def polygon_pairs(df: DataFrame, polygons: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """All (polygon, sighting) matches. ``polygons``: ``polygon_id, rings`` as accepted by the polygon checks."""
-    prepared = G.prepare_polygons(polygons).filter(F.col("east") - F.col("west") < 180)
-    size = F.lit(_POLYGON_ROW_BYTES) + F.size("edges") * _EDGE_BYTES
-    pairs = _cell_join(df, prepared, size, max_bytes)
+def polygon_pairs(df: DataFrame, polygons: DataFrame, max_bytes: int = BROADCAST_BYTES,
+                  salt_by: list[str] | None = None) -> DataFrame:
+    """All (polygon, row) matches. ``polygons``: ``polygon_id, rings`` as accepted by the polygon checks."""
+    prepared = materialize(G.prepare_polygons(polygons).filter(F.col("east") - F.col("west") < 180), "polygons")
+    cover = _Cover.of(prepared, F.lit(_POLYGON_ROW_BYTES) + F.size("edges") * _EDGE_BYTES, max_bytes)
+    pairs = _cell_join(df.withColumn("_tan", F.tan(F.radians("lat"))), cover, salt_by or ["id"])
     box = {k: F.col(k) for k in ("south", "north", "west", "east")}
-    lng, lat = F.col("lng"), F.col("lat")
-    inside = pairs.filter(G.in_box(lng, lat, box)).filter(G.contains(F.col("edges"), F.col("origin"), lng, lat))
+    boxed = pairs.filter(G.in_box(F.col("lng"), F.col("lat"), box))
+    inside = boxed.filter(G.contains(F.col("edges"), F.col("origin"), F.col("lng"), F.col("_tan")))
     return inside.select("polygon_id", *df.columns)
 
 
@@ -215,6 +266,8 @@ def within_join(df: DataFrame, polygons: DataFrame, limit: int = DEFAULT_LIMIT,
 
 
 def within_totals(df: DataFrame, polygons: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Number of sightings inside every polygon that holds any."""
-    pairs = polygon_pairs(df.select("id", "lng", "lat"), polygons, max_bytes)
-    return pairs.groupBy("polygon_id").agg(F.count(F.lit(1)).alias("count"))
+    """Number of sightings inside every polygon that holds any. Sightings at one exact point are combined before the
+    join: they are all inside or all outside."""
+    points = df.groupBy("lng", "lat").agg(F.count(F.lit(1)).alias("n"))
+    pairs = polygon_pairs(points, polygons, max_bytes, ["lng", "lat"])
+    return pairs.groupBy("polygon_id").agg(F.sum("n").alias("count"))

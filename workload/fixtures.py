@@ -31,6 +31,13 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed.withColumn("local_date", local_date(F.col("appeared_local")))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The given tables are one row group, hence one task each; a join that computes a lot per row uses all cores.
+    Tables with at least as many splits as cores are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """151 species: each takes its name and types from its first part."""
     parts = table(spark, sf_dir, "part").selectExpr("CAST(p_partkey % 151 + 1 AS INT) AS species_id", "*")
@@ -138,7 +145,7 @@ def point_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{k} AS k",
         f"CASE WHEN {k} % 10 = 0 THEN 2.25D ELSE -74.0D END + CAST({k} * 53 % 256 AS DOUBLE) / 1024 + 1 / 4096D AS lng",
         f"CASE WHEN {k} % 10 = 0 THEN 48.75D ELSE 40.5D END + CAST({k} * 29 % 251 AS DOUBLE) / 1024 + 1 / 8192D AS lat",
-        f"CASE WHEN {k} % 97 = 0 THEN 25000 ELSE 100 + {k} % 40 * 100 END AS radius",
+        f"CASE WHEN {k} % 97 = 0 THEN 25000 ELSE 100 + {k} % 40 * 25 END AS radius",
         f"CASE WHEN {k} % 3 = 0 THEN NULL ELSE CAST(1 + {k} % 60 AS STRING) END AS limit",
         f"CASE WHEN {k} % 5 = 0 THEN CAST(1 + {k} % 151 AS STRING) END AS species",
         f"CASE WHEN {k} % 7 = 0 THEN ' Economy ' WHEN {k} % 7 = 1 THEN '' END AS type")
@@ -177,7 +184,7 @@ def polygon_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS k", "-74.0D + CAST(s_suppkey * 53 % 256 AS DOUBLE) / 1024 + 1 / 2048D AS x",
         "40.5D + CAST(s_suppkey * 29 % 200 AS DOUBLE) / 1024 + 1 / 2048D AS y",
-        "CAST(1 + s_suppkey % 8 AS DOUBLE) / 64 AS h")
+        "CAST(1 + s_suppkey % 8 AS DOUBLE) / 256 AS h")
     shaped = placed.selectExpr("k", f"{_corners_sql()} AS corners")
     rings = shaped.selectExpr(
         "k", "concat('[', array_join(transform(corners, r -> concat('[', array_join(r, ','), ']')), ','), ']') AS rings")

@@ -104,7 +104,7 @@ r0 AS (SELECT c_custkey AS k, {_POINT_REASON} AS reason,
         + CAST(1 AS DOUBLE)/4096 AS q_lng,
     CASE WHEN k % 10 = 0 THEN CAST(48.75 AS DOUBLE) ELSE CAST(40.5 AS DOUBLE) END + CAST(k * 29 % 251 AS DOUBLE)/1024
         + CAST(1 AS DOUBLE)/8192 AS q_lat,
-    CAST(CASE WHEN k % 97 = 0 THEN 25000 ELSE 100 + k % 40 * 100 END AS DOUBLE) AS radius_m,
+    CAST(CASE WHEN k % 97 = 0 THEN 25000 ELSE 100 + k % 40 * 25 END AS DOUBLE) AS radius_m,
     CAST(CASE WHEN k % 3 = 0 THEN 50 ELSE 1 + k % 60 END AS INT) AS lim,
     CASE WHEN k % 5 = 0 THEN CAST(1 + k % 151 AS INT) END AS one, k % 7 = 0 AS by_type FROM customer),
 req AS (SELECT k AS query_id, reason, q_lng, q_lat, radius_m, lim,
@@ -120,7 +120,7 @@ _POLYGON_REASON = """CASE k % 50 WHEN 11 THEN 'body:not_an_object' WHEN 12 THEN
 
 SHAPE = f"""p0 AS (SELECT s_suppkey AS k, CAST(-74 AS DOUBLE) + CAST(k * 53 % 256 AS DOUBLE)/1024 + CAST(1 AS DOUBLE)/2048 AS x,
     CAST(40.5 AS DOUBLE) + CAST(k * 29 % 200 AS DOUBLE)/1024 + CAST(1 AS DOUBLE)/2048 AS y,
-    CAST(1 + k % 8 AS DOUBLE)/64 AS h, {_POLYGON_REASON} AS reason FROM supplier),
+    CAST(1 + k % 8 AS DOUBLE)/256 AS h, {_POLYGON_REASON} AS reason FROM supplier),
 p1 AS (SELECT *, CASE
     WHEN k % 10 = 9 THEN [[[-h, -h], [h, h], [h, -h], [-h, h], [-h, -h]]]
     WHEN k % 4 = 0 THEN [[[-h, -h], [h, -h], [h, h], [-h, h], [-h, -h]]]

@@ -229,7 +229,8 @@ def _point_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def near_join(spark, sf):
-    found = spatial.near_join(fx.sightings(spark, sf).select("id", "species_id", "lng", "lat"), _point_queries(spark, sf))
+    rows = fx.spread(fx.sightings(spark, sf).select("id", "species_id", "lng", "lat"))
+    found = spatial.near_join(rows, _point_queries(spark, sf))
     return found.select("query_id", "rank", "id", "species_id", "distance_m")
 
 
@@ -256,7 +257,8 @@ def _polygons(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def within_join(spark, sf):
-    found = spatial.within_join(fx.sightings(spark, sf).select("id", "species_id", "lng", "lat"), _polygons(spark, sf), 200)
+    rows = fx.spread(fx.sightings(spark, sf).select("id", "species_id", "lng", "lat"))
+    found = spatial.within_join(rows, _polygons(spark, sf), 200)
     return found.select("polygon_id", "rank", "id", "species_id")
 
 
