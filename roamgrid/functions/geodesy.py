@@ -73,8 +73,21 @@ def polygon_edges(rings: Column, origin: Column) -> Column:
     return F.flatten(F.transform(rings, ring_edges))
 
 
+def constant_edges(rings: list[list[tuple[float, float]]]) -> list[dict]:
+    """The same edges of one known polygon. Their ends are numbers and everything else folds to constants."""
+    origin = rings[0][0][0]
+    edges = []
+    for ring in rings:
+        placed = [((lng - origin + 180) % 360 - 180, lat) for lng, lat in ring]
+        for a, b in zip(placed, placed[1:]):
+            (w, south), (e, north) = sorted([a, b])
+            edges.append({"w": w, "e": e, "tw": F.tan(F.radians(F.lit(south))), "te": F.tan(F.radians(F.lit(north))),
+                          "s": F.sin(F.radians(F.lit(e - w)))})
+    return edges
+
+
 def edge_north_of(edge, x: Column, tan_lat: Column) -> Column:
-    """Whether the edge passes north of a point. ``edge`` is a struct column or a collected row."""
+    """Whether the edge passes north of a point. ``edge`` is a struct column or an entry of ``constant_edges``."""
     w, e, tw, te, s = (edge[k] for k in ("w", "e", "tw", "te", "s"))
     at_x = (F.sin(F.radians(e - x)) * tw + F.sin(F.radians(x - w)) * te) / s
     return (x >= w) & (x < e) & (tan_lat < at_x)
@@ -85,17 +98,24 @@ def contains(edges: Column, origin: Column, lng: Column, tan_lat: Column) -> Col
     return F.aggregate(edges, F.lit(False), lambda odd, e: odd != edge_north_of(e, x, tan_lat))
 
 
-def contains_constant(edges: list, origin: float, lng: Column, lat: Column) -> Column:
+def contains_constant(edges: list[dict], origin: float, lng: Column, lat: Column) -> Column:
     """The same test against one known polygon, unrolled into plain expressions that code generation covers."""
     x, tan_lat = relative_lng(lng, F.lit(origin)), F.tan(F.radians(lat))
-    tests = [edge_north_of(e, x, tan_lat) for e in edges if e["w"] < e["e"]]
-    crossings = [t.cast("int") for t in tests]
+    crossings = [edge_north_of(e, x, tan_lat).cast("int") for e in edges if e["w"] < e["e"]]
     return reduce(lambda a, b: a + b, crossings) % 2 == 1
 
 
+def constant_box(edges: list[dict], origin: float) -> dict[str, Column]:
+    """Bounding box of one known polygon, bulges included."""
+    return {"south": F.least(*[_edge_top(e, -1) for e in edges]) - _PAD,
+            "north": F.greatest(*[_edge_top(e, 1) for e in edges]) + _PAD,
+            "west": F.lit(origin + min(e["w"] for e in edges) - _PAD),
+            "east": F.lit(origin + max(e["e"] for e in edges) + _PAD)}
+
+
 def _edge_top(e: Column, sign: int) -> Column:
     """Northernmost (sign 1) or southernmost (sign -1) latitude of one edge: a great circle bulges towards the pole."""
-    width = F.radians(e["e"] - e["w"])
+    width = F.radians(F.lit(e["e"] - e["w"]) if isinstance(e["w"], float) else e["e"] - e["w"])
     rise = (e["te"] - e["tw"] * F.cos(width)) * sign
     fall = (e["te"] * F.cos(width) - e["tw"]) * sign
     steepest = F.sqrt(e["tw"] * e["tw"] + e["te"] * e["te"] - e["tw"] * e["te"] * F.cos(width) * 2) / e["s"]

@@ -15,6 +15,8 @@ from roamgrid.session import materialize
 # Bytes the cover of a request table may take and still be broadcast.
 BROADCAST_BYTES = 64 << 20
 _NEAR_ROW_BYTES, _POLYGON_ROW_BYTES, _EDGE_BYTES = 200, 200, 80
+# Edges up to which a single polygon becomes one plain expression.
+_MAX_UNROLLED = 40
 # A cell is split when it holds more than this share of all sightings, so at most this many cells per level are hot.
 _HOT_SHARES = 2000
 
@@ -102,16 +104,17 @@ def geonear(df: DataFrame, lng: float, lat: float, radius_m: float, species=None
 def inside_polygon(df: DataFrame, rings, species=None) -> DataFrame:
     """All sightings inside one polygon, unordered."""
     rings = check_polygon(rings)
-    one = df.sparkSession.createDataFrame(
-        [([[{"lng": x, "lat": y} for x, y in ring] for ring in rings],)],
-        "rings array<array<struct<lng:double,lat:double>>>")
-    p = G.prepare_polygons(one).first()
-    if p["east"] - p["west"] >= 180:
+    rows = _filter_species(df, species)
+    edges, origin = G.constant_edges(rings), rings[0][0][0]
+    if max(e["e"] for e in edges) - min(e["w"] for e in edges) >= 180:
         raise ValueError("a polygon must span less than 180 degrees of longitude")
+    if len(edges) > _MAX_UNROLLED:
+        table = [(0, [[{"lng": x, "lat": y} for x, y in ring] for ring in rings])]
+        schema = "polygon_id int, rings array<array<struct<lng:double,lat:double>>>"
+        return polygon_pairs(rows, df.sparkSession.createDataFrame(table, schema)).drop("polygon_id")
     lng, lat = F.col("lng"), F.col("lat")
-    boxed = _filter_species(df, species).filter(
-        G.in_box(lng, lat, {k: F.lit(p[k]) for k in ("south", "north", "west", "east")}))
-    return boxed.filter(G.contains_constant(p["edges"], p["origin"], lng, lat))
+    boxed = rows.filter(G.in_box(lng, lat, G.constant_box(edges, origin)))
+    return boxed.filter(G.contains_constant(edges, origin, lng, lat))
 
 
 def within(df: DataFrame, rings, species=None, limit: int = DEFAULT_LIMIT) -> DataFrame:

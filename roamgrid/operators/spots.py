@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roamgrid.functions.bands import GAP_BANDS, VISIT_BANDS, gap_band, point_key, visits_band
+from roamgrid.functions.bands import VISIT_BANDS, gap_band, point_key, visits_band
 from roamgrid.functions.cells import count_bits, merge_bits, species_bits
 from roamgrid.operators.quantiles import exact_quantiles
 from roamgrid.session import materialize
@@ -183,7 +183,11 @@ def pair_stats(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def pair_by_gap(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Same-species rate per band of the gap; bands without pairs are absent."""
-    banded = pair_counts(rows, by).withColumn("band", gap_band(F.col("gap_s")))
+    return gap_rates(pair_counts(rows, by), by)
+
+
+def gap_rates(counts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    banded = counts.withColumn("band", gap_band(F.col("gap_s")))
     return banded.groupBy(*(by or []), "band").agg(
         F.sum("n").alias("pairs"), _share(_count(F.col("same_species")), F.sum("n")).alias("same_species_rate"))
 
@@ -231,16 +235,22 @@ def view_coverage(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
         *[_percent(on[d], F.sum("n")).alias(f"pct_dow{d}") for d in range(7)])
 
 
-def compare_views(df: DataFrame, catalog: DataFrame, type_name: str, prefix: int = 500_000,
-                  stride: int = 4) -> DataFrame:
-    """All point and pair metrics for the three views, one row per view.
+def stage_views(df: DataFrame, catalog: DataFrame, type_name: str, prefix: int = 500_000,
+                stride: int = 4) -> tuple[DataFrame, DataFrame]:
+    """Rows per view and their pair counts, each written once: every metric of the comparison reads these two."""
+    rows = with_views(with_type(materialize(spot_rows(df), "spots"), catalog, type_name), prefix, stride)
+    return rows, materialize(pair_counts(rows, ["view"], ["has_type"]), "pairs")
 
-    The deduplicated rows and the pair counts are each written once; everything else reads those two tables.
-    """
+
+def view_metrics(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """All point and pair metrics, one row per view."""
     by = ["view"]
-    rows = with_views(with_type(materialize(spot_rows(df), "spots"), catalog, type_name), prefix, stride)
-    counts = materialize(pair_counts(rows, by, ["has_type"]), "pairs")
-    parts = [point_summary(rows, by).drop("histogram"), pair_summary(counts, by), species_simpson(rows, by),
-             gap_quantiles(counts, by), type_share(rows, by), type_rates(counts, by), view_coverage(rows, by)]
-    beside = _beside(parts, by)
+    beside = _beside([
+        point_summary(rows, by).drop("histogram"), pair_summary(counts, by), species_simpson(rows, by),
+        gap_quantiles(counts, by), type_share(rows, by), type_rates(counts, by), view_coverage(rows, by)], by)
     return beside.withColumn("pct_near_dups", _percent(F.col("near_dups"), F.col("sightings")))
+
+
+def compare_views(df: DataFrame, catalog: DataFrame, type_name: str, prefix: int = 500_000,
+                  stride: int = 4) -> DataFrame:
+    return view_metrics(*stage_views(df, catalog, type_name, prefix, stride))

@@ -7,8 +7,10 @@ import pytest
 from roamgrid.operators import listings, temporal
 from roamgrid.plans.aggregate import aggregate
 from roamgrid.plans.ingest import ingest
+from roamgrid.plans.profile import profile_quality, profile_spots
 from roamgrid.sources import catalog as cat
 from roamgrid.sources import store
+from roamgrid.sources.raw import read_raw
 
 
 def document(i: int, **over) -> str:
@@ -97,3 +99,23 @@ def test_aggregate_refuses_species_without_catalog(spark, raw, tmp_path):
     catalog = spark.createDataFrame([(1, "n", ["a"])], "species_id int, name string, types array<string>")
     with pytest.raises(ValueError, match="add up"):
         aggregate(sightings, catalog, str(tmp_path / "agg"))
+
+
+def test_profiles(spark, raw, tmp_path):
+    lines = read_raw(spark, raw)
+    quality = profile_quality(lines, str(tmp_path), sample=22, k=2)
+    files = {r["file"].rsplit("/", 1)[-1]: r for r in quality["files"].collect()}
+    assert (files["part2.json"]["rows"], files["part2.json"]["blank"], files["part2.json"]["invalid_json"]) == (24, 1, 1)
+    assert files["part2.json"]["id_invalid"] == 1 and files["part2.json"]["no_date"] == 1
+    dups = {r["file"].rsplit("/", 1)[-1]: (r["dup_id"], r["dup_event"]) for r in quality["dups"].collect()}
+    assert dups == {"part1.json": (0, 0), "part2.json": (0, 1)}
+    sample = {r["file"].rsplit("/", 1)[-1]: (r["rows"], r["coords_ok"]) for r in quality["sample"].collect()}
+    assert sample == {"part1.json": (20, 20), "part2.json": (22, 21)}
+    assert quality["top"].filter("dim = 'source'").first()["count"] == 44
+    assert [r["example"] for r in quality["examples"].collect()] == ["{"]
+
+    catalog = spark.createDataFrame([(1, "n", ["water"])], "species_id int, name string, types array<string>")
+    spots = profile_spots(lines, catalog, str(tmp_path), prefix=10, stride=5)
+    views = {r["view"]: r["sightings"] for r in spots["views"].collect()}
+    assert views == {"complete": 40, "prefix": 20, "stride": 8}
+    assert spots["histogram"].count() == 18

@@ -32,3 +32,17 @@ def test_no_python_and_no_cross_joins(spark):
         plan = build(spark, SF)._jdf.queryExecution().executedPlan().toString()
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
             assert word not in plan, (name, word)
+
+
+def test_known_values(spark):
+    """Values worked out by hand for the smallest scale."""
+    run = {name: build for name, build in entry.queries().items()}
+    grid = run["grid_cells"](spark, SF).selectExpr("sum(count) n", "count(*) c", "sum(distinct_points) p").first()
+    assert tuple(grid) == (1000, 35, 157)
+    pairs = run["pair_stats"](spark, SF).first()
+    assert (pairs["pairs"], round(pairs["pairs"] * pairs["same_species_rate"])) == (843, 142)
+    assert {r["band"]: r["points"] for r in run["point_histogram"](spark, SF).collect() if r["points"]} == {
+        "1": 142, "11-50": 2, ">50": 13}
+    assert run["missing_species"](spark, SF).count() == 80 and run["type_counts"](spark, SF).count() == 24
+    assert run["within_total"](spark, SF).first()["total"] == 427
+    assert run["geonear"](spark, SF).agg({"distance_m": "min"}).first()[0] == 2320.1

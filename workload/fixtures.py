@@ -1,14 +1,23 @@
-"""Sightings, catalog, raw lines and requests as views over the given tables. Every view covers its whole table."""
+"""Sightings, catalog, raw lines and requests derived from the given tables. Every one covers its whole table.
+
+Sightings and catalog are Parquet and the raw lines are text, as the engine meets them in use: Spark writes each once per
+session and data folder to the shared folder, and the queries read them from there.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamgrid.functions.times import local_columns, local_date
 from roamgrid.session import use_utc, work_path
+from roamgrid.sources.store import write_clustered
 
 LINES_PER_FILE = 4096
+SIGHTINGS = """id string, species_id int, source string, lng double, lat double, appeared_utc timestamp, file string,
+    line long, appeared_local timestamp, local_hour int, local_dow int, local_date string"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,8 +30,30 @@ _LAT = "CASE WHEN user_id % 10 = 0 THEN 48.75D ELSE 40.5D END + CAST(user_id * 9
 _SPECIES = "CAST((user_id * 31 + event_id % 5) % 145 + 1 AS INT)"
 
 
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of a derived table, written on first use in this session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = work_path(spark, name)
+        write(path)
+        _written[key] = path
+    return _written[key]
+
+
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events placed on dyadic coordinates; ``file, line`` give the file order."""
+    """The clustered table of sightings; ``file, line`` give the file order."""
+    use_utc(spark)
+    # One file per core or shuffle partition, whichever is more.
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = _once(spark, sf_dir, "sightings", lambda p: write_clustered(placed_events(spark, sf_dir), p, parts=parts))
+    return spark.read.schema(SIGHTINGS).parquet(path)
+
+
+def placed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events placed on dyadic coordinates."""
     rows = table(spark, sf_dir, "events").selectExpr(
         "CAST(event_id AS STRING) AS id", f"{_SPECIES} AS species_id", "event_type AS source",
         f"{_LNG} AS lng", f"{_LAT} AS lat", "CAST(ts AS TIMESTAMP) AS appeared_utc",
@@ -31,14 +62,12 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed.withColumn("local_date", local_date(F.col("appeared_local")))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The given tables are one row group, hence one task each; a join that computes a lot per row uses all cores.
-    Tables with at least as many splits as cores are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _once(spark, sf_dir, "catalog", lambda p: part_species(spark, sf_dir).write.parquet(p))
+    return use_utc(spark).read.schema("species_id int, name string, types array<string>").parquet(path)
 
 
-def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+def part_species(spark: SparkSession, sf_dir: str) -> DataFrame:
     """151 species: each takes its name and types from its first part."""
     parts = table(spark, sf_dir, "part").selectExpr("CAST(p_partkey % 151 + 1 AS INT) AS species_id", "*")
     first = parts.groupBy("species_id").agg(
@@ -104,7 +133,7 @@ _RAW_LINE = """CASE
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``part, event_id, copy, value``: one JSON line per event, two for every twentieth."""
-    base = sightings(spark, sf_dir).selectExpr(
+    base = placed_events(spark, sf_dir).selectExpr(
         "line AS event_id", "species_id", "source", "lng", "lat", "appeared_utc", "appeared_local",
         "explode(CASE WHEN line % 20 = 0 THEN array(0, 1) ELSE array(0) END) AS copy")
     dated = base.selectExpr("*", """CASE WHEN event_id % 73 = 4
@@ -117,18 +146,13 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.selectExpr(f"{part} AS part", "event_id", "copy", f"{_RAW_LINE} AS value")
 
 
-_written: dict[tuple[str, str], str] = {}
-
-
 def raw_glob(spark: SparkSession, sf_dir: str) -> str:
-    """Write the raw lines as text files, once per session and data folder, and return their glob."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        path = work_path(spark, "raw")
+    """Glob of the raw lines as text files."""
+    def write(path: str) -> None:
         lines = raw_lines(spark, sf_dir).repartition("part").sortWithinPartitions("part", "event_id", "copy")
         lines.select("part", "value").write.partitionBy("part").text(path)
-        _written[key] = path
-    return f"{_written[key]}/*/*.txt"
+
+    return f"{_once(spark, sf_dir, 'raw', write)}/*/*.txt"
 
 
 def part_of(file: str = "file"):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamgrid.functions.bands import GAP_BANDS
 from roamgrid.functions.cells import cell_polygon
 from roamgrid.functions.times import iso_z
 from roamgrid.operators import cleaning, grid, listings, profile, requests, species, spatial, spots, temporal
@@ -229,7 +228,7 @@ def _point_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def near_join(spark, sf):
-    rows = fx.spread(fx.sightings(spark, sf).select("id", "species_id", "lng", "lat"))
+    rows = fx.sightings(spark, sf).select("id", "species_id", "lng", "lat")
     found = spatial.near_join(rows, _point_queries(spark, sf))
     return found.select("query_id", "rank", "id", "species_id", "distance_m")
 
@@ -257,7 +256,7 @@ def _polygons(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def within_join(spark, sf):
-    rows = fx.spread(fx.sightings(spark, sf).select("id", "species_id", "lng", "lat"))
+    rows = fx.sightings(spark, sf).select("id", "species_id", "lng", "lat")
     found = spatial.within_join(rows, _polygons(spark, sf), 200)
     return found.select("polygon_id", "rank", "id", "species_id")
 
