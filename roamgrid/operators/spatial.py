@@ -17,8 +17,11 @@ BROADCAST_BYTES = 64 << 20
 _NEAR_ROW_BYTES, _POLYGON_ROW_BYTES, _EDGE_BYTES = 200, 200, 80
 # Edges up to which a single polygon becomes one plain expression.
 _MAX_UNROLLED = 40
-# A cell is split when it holds more than this share of all sightings, so at most this many cells per level are hot.
+# A cell is hot when it holds more than this share of all sightings, so at most this many cells per level are.
 _HOT_SHARES = 2000
+# Rows of a small cell up to which its points are joined as they are.
+CROWD_ROWS = 1_000_000
+_CROWD_GROUPS = 1000
 
 
 # ---- argument checks ------------------------------------------------------------------------------------------------
@@ -197,6 +200,29 @@ def _cell_join(df: DataFrame, cover: _Cover, salt_by: list[str]) -> DataFrame:
     return points.join(cells, ["cell", "salt"]).drop("salt")
 
 
+def thin_crowds(df: DataFrame, keep: int, by: list[str], crowd_rows: int = CROWD_ROWS) -> DataFrame:
+    """Leave out rows that no ordered and limited answer can contain, where very many share one exact point.
+
+    Rows at one point are equally far from anything and inside the same polygons, so only the first ``keep`` ids of a
+    point (and of ``by``) can be returned. Only cells with more than ``crowd_rows`` rows and more than 1/2000 of the
+    table are looked at, at most 2000 of them. The first ids are taken per group of input tasks and then over the
+    groups: neither step brings more than ``keep`` rows of a point from any one task.
+    """
+    placed = df.withColumn("_crowd", G.FINE_LEVELS[0].of_point(F.col("lng"), F.col("lat")))
+    bound = max(crowd_rows, df.count() // _HOT_SHARES)
+    crowded = materialize(
+        placed.groupBy("_crowd").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bound).select("_crowd"), "crowds")
+    if crowded.isEmpty():
+        return df
+    thin = placed.join(F.broadcast(crowded), "_crowd", "left_anti")
+    thick = placed.join(F.broadcast(crowded), "_crowd", "left_semi").withColumn(
+        "_group", F.spark_partition_id() % _CROWD_GROUPS)
+    for key in (["_group"], []):
+        first = Window.partitionBy("lng", "lat", *by, *key).orderBy("id")
+        thick = thick.withColumn("_nth", F.row_number().over(first)).filter(F.col("_nth") <= keep)
+    return thin.unionByName(thick.drop("_group", "_nth")).drop("_crowd")
+
+
 def _wanted(pairs: DataFrame) -> DataFrame:
     """Keep the species a request asks for."""
     if "species_ids" not in pairs.columns:
@@ -229,7 +255,8 @@ def tighten_radius(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST
         "radius_m", F.least(F.col("radius_m"), F.col("enough") + 1)).drop("enough")
 
 
-def near_join(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def near_join(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTES,
+              crowd_rows: int = CROWD_ROWS) -> DataFrame:
     """For every request the nearest sightings within its radius: ``query_id, rank, distance_m`` and the sighting.
 
     ``queries``: ``query_id, q_lng, q_lat, radius_m, limit`` as accepted by the request checks, optionally
@@ -238,7 +265,8 @@ def near_join(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTE
     """
     tight = materialize(tighten_radius(df, materialize(queries, "requests"), max_bytes), "radii")
     cover = _Cover.of(_boxed(tight), F.lit(_NEAR_ROW_BYTES), max_bytes)
-    pairs = _wanted(_cell_join(df, cover, ["id"]))
+    rows = thin_crowds(df, MAX_LIMIT, ["species_id"], crowd_rows)
+    pairs = _wanted(_cell_join(rows, cover, ["id"]))
     away = G.distance_m(F.col("q_lng"), F.col("q_lat"), F.col("lng"), F.col("lat"))
     close = pairs.withColumn("_away", away).filter(F.col("_away") <= F.col("radius_m"))
     nearest_first = Window.partitionBy("query_id").orderBy("_away", "id")
@@ -260,11 +288,11 @@ def polygon_pairs(df: DataFrame, polygons: DataFrame, max_bytes: int = BROADCAST
     return inside.select("polygon_id", *df.columns)
 
 
-def within_join(df: DataFrame, polygons: DataFrame, limit: int = DEFAULT_LIMIT,
-                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def within_join(df: DataFrame, polygons: DataFrame, limit: int = DEFAULT_LIMIT, max_bytes: int = BROADCAST_BYTES,
+                crowd_rows: int = CROWD_ROWS) -> DataFrame:
     """The first ``limit`` sightings inside every polygon, by id, with their position in ``rank``."""
     by_id = Window.partitionBy("polygon_id").orderBy("id")
-    pairs = polygon_pairs(df, polygons, max_bytes)
+    pairs = polygon_pairs(thin_crowds(df, check_limit(limit), [], crowd_rows), polygons, max_bytes)
     return pairs.withColumn("rank", F.row_number().over(by_id)).filter(F.col("rank") <= check_limit(limit))
 
 

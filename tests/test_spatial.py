@@ -121,12 +121,12 @@ QUERIES = [(0, 2.3522, 48.8566, 500.0, 1000, None), (1, 2.3, 48.9, 9000.0, 70, N
            (6, -100.0, -89.99, 3000.0, 1000, None), (7, 2.3522, 48.8566, 50000.0, 5, []), (8, 2.35, 48.85, 1800.0, 3, None)]
 
 
-@pytest.mark.parametrize("max_bytes", [spatial.BROADCAST_BYTES, 0])
-def test_near_join(spark, skewed, max_bytes):
+@pytest.mark.parametrize("max_bytes, crowd_rows", [(spatial.BROADCAST_BYTES, spatial.CROWD_ROWS), (0, 100)])
+def test_near_join(spark, skewed, max_bytes, crowd_rows):
     rows = spark.createDataFrame(skewed, "id string, species_id int, lng double, lat double")
     queries = spark.createDataFrame(QUERIES, "query_id int, q_lng double, q_lat double, radius_m double, limit int, "
                                              "species_ids array<int>")
-    joined = spatial.near_join(rows, queries, max_bytes)
+    joined = spatial.near_join(rows, queries, max_bytes, crowd_rows)
     assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString()
     got = {}
     for r in joined.orderBy("query_id", "rank").collect():
@@ -158,8 +158,19 @@ def inside(rings, lng, lat):
     return odd
 
 
-@pytest.mark.parametrize("max_bytes", [spatial.BROADCAST_BYTES, 0])
-def test_within_join(spark, skewed, max_bytes):
+def test_crowds_are_thinned_to_what_can_be_returned(spark, skewed):
+    rows = spark.createDataFrame(skewed, "id string, species_id int, lng double, lat double")
+    thin = spatial.thin_crowds(rows, 7, ["species_id"], 100)
+    crowd = [r["id"] for r in thin.filter("lng = 2.3522 and lat = 48.8566").orderBy("id").collect()]
+    assert crowd == [f"p{i:05}" for i in range(35)]
+    assert thin.count() == len(skewed) - 1000 + 35
+    plan = thin._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 3
+    assert spatial.thin_crowds(rows, 7, ["species_id"]) is rows
+
+
+@pytest.mark.parametrize("max_bytes, crowd_rows", [(spatial.BROADCAST_BYTES, spatial.CROWD_ROWS), (0, 100)])
+def test_within_join(spark, skewed, max_bytes, crowd_rows):
     rows = spark.createDataFrame(skewed, "id string, species_id int, lng double, lat double")
     table = [(k, [[{"lng": x, "lat": y} for x, y in r] for r in rings]) for k, rings in shapes()]
     polygons = spark.createDataFrame(table, "polygon_id int, rings array<array<struct<lng:double,lat:double>>>")
@@ -167,7 +178,7 @@ def test_within_join(spark, skewed, max_bytes):
     totals = {r["polygon_id"]: r["count"] for r in spatial.within_totals(rows, polygons, max_bytes).collect()}
     assert totals == {k: len(v) for k, v in wanted.items() if v}
     firsts = {}
-    for r in spatial.within_join(rows, polygons, 20, max_bytes).orderBy("polygon_id", "rank").collect():
+    for r in spatial.within_join(rows, polygons, 20, max_bytes, crowd_rows).orderBy("polygon_id", "rank").collect():
         firsts.setdefault(r["polygon_id"], []).append(r["id"])
     assert firsts == {k: sorted(v)[:20] for k, v in wanted.items() if v}
 
