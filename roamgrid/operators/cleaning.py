@@ -64,10 +64,11 @@ def clean_rows(judged_rows: DataFrame) -> DataFrame:
 def dedup(rows: DataFrame) -> DataFrame:
     """One row per (species, lng, lat, time) over all files: the first in file order.
 
-    ``min_by`` combines on the map side, so any number of copies of one event leaves one row per task.
+    The smallest struct is the one with the first position. ``min`` combines on the map side, so any number of copies of
+    one event leaves one row per task.
     """
-    rest = [c for c in rows.columns if c not in EVENT_KEY]
-    first = F.min_by(F.struct(*rest), F.struct(*POSITION)).alias("_row")
+    rest = [c for c in rows.columns if c not in (*EVENT_KEY, *POSITION)]
+    first = F.min(F.struct(*POSITION, *rest)).alias("_row")
     return rows.groupBy(*EVENT_KEY).agg(first).select(*EVENT_KEY, "_row.*").select(*rows.columns)
 
 

@@ -27,7 +27,7 @@ def spot_rows(df: DataFrame) -> DataFrame:
     rows = df.select("species_id", "source", "file", "line", "appeared_utc",
                      point_key(F.col("lng"), F.col("lat")).alias("point"),
                      F.unix_seconds("appeared_utc").alias("tsec"))
-    first = F.min_by(F.struct("source", "file", "line", "appeared_utc"), F.struct("file", "line")).alias("_row")
+    first = F.min(F.struct("file", "line", "source", "appeared_utc")).alias("_row")
     return rows.groupBy("species_id", "point", "tsec").agg(first).select("species_id", "point", "tsec", "_row.*")
 
 

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from roamgrid.schemas import CATALOG, MAX_SPECIES, MIN_SPECIES, SPECIES_RESPONSE, STAT_NAMES
+from roamgrid.schemas import CATALOG, MAX_SPECIES, MIN_SPECIES, RAW_SPECIES, SPECIES_RESPONSE, STAT_NAMES
 
 
 def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON array of species."""
-    return spark.read.schema(CATALOG).option("multiLine", True).json(path)
+    """One JSON array of species, keyed by ``species_id`` or by the key of the raw export."""
+    both = T.StructType([*CATALOG.fields, T.StructField(RAW_SPECIES, T.IntegerType())])
+    rows = spark.read.schema(both).option("multiLine", True).json(path)
+    return rows.withColumn("species_id", F.coalesce("species_id", RAW_SPECIES)).drop(RAW_SPECIES)
 
 
 def slim_catalog(raw: DataFrame) -> DataFrame:

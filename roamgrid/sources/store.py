@@ -56,8 +56,8 @@ def load_sightings(spark: SparkSession, clean_path: str, target: str, replace: b
     """
     rows = read_clean(spark, clean_path).select(
         "*", F.col("_metadata.file_name").alias("input_file"), F.col("_metadata.row_index").alias("row"))
-    rest = [c for c in rows.columns if c != "id"]
-    first = F.min_by(F.struct(*rest), F.struct("input_file", "row")).alias("_row")
+    rest = [c for c in rows.columns if c not in ("id", "input_file", "row")]
+    first = F.min(F.struct("input_file", "row", *rest)).alias("_row")
     unique = rows.groupBy("id").agg(first).select("id", "_row.*")
     if not replace and _has_files(spark, target):
         known = spark.read.parquet(target).select(F.col("_id").alias("known"))

@@ -72,7 +72,7 @@ def test_aggregate_tables(spark, raw, tmp_path):
     store.load_sightings(spark, f"{tmp_path}/sightings", f"{tmp_path}/documents")
     sightings = store.from_documents(spark.read.parquet(f"{tmp_path}/documents"))
     (tmp_path / "catalog.json").write_text(json.dumps([
-        {"species_id": i, "name": f"n{i}", "types": t, "height": 1, "weight": 2, "stats": {"hp": 3}}
+        {"species_id" if i % 2 else "pokemonId": i, "name": f"n{i}", "types": t, "height": 1, "weight": 2, "stats": {"hp": 3}}
         for i, t in ((1, ["a"]), (2, ["a", "b"]), (3, ["c"]), (4, ["d"]))]))
     catalog = cat.read_catalog(spark, str(tmp_path / "catalog.json"))
     tables = aggregate(sightings, catalog, str(tmp_path / "agg"))

@@ -23,7 +23,7 @@ POINTS = [
 
 @pytest.fixture(scope="module")
 def two(spark):
-    return spark.createDataFrame([(16, "pidgey", ["normal", "flying"]), (19, "rattata", ["normal"])],
+    return spark.createDataFrame([(16, "finch", ["normal", "flying"]), (19, "vole", ["normal"])],
                                  "species_id int, name string, types array<string>")
 
 

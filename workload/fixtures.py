@@ -6,6 +6,7 @@ session and data folder to the shared folder, and the queries read them from the
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -198,8 +199,6 @@ _CORNERS = """CASE
 
 
 def _corners_sql() -> str:
-    import re
-
     return re.sub(r"p\(([^,]+), ([^)]+)\)", r"concat('[', x + (\1), ',', y + (\2), ']')", _CORNERS)
 
 
