@@ -206,7 +206,8 @@ def thin_crowds(df: DataFrame, keep: int, by: list[str], crowd_rows: int = CROWD
     Rows at one point are equally far from anything and inside the same polygons, so only the first ``keep`` ids of a
     point (and of ``by``) can be returned. Only cells with more than ``crowd_rows`` rows and more than 1/2000 of the
     table are looked at, at most 2000 of them. The first ids are taken per group of input tasks and then over the
-    groups: neither step brings more than ``keep`` rows of a point from any one task.
+    groups: neither step brings more than ``keep`` rows of a point from any one task. With ``by``, the column ``_first``
+    tells the rows that are among the first of their point whatever their ``by``.
     """
     placed = df.withColumn("_crowd", G.FINE_LEVELS[0].of_point(F.col("lng"), F.col("lat")))
     bound = max(crowd_rows, df.count() // _HOT_SHARES)
@@ -220,6 +221,9 @@ def thin_crowds(df: DataFrame, keep: int, by: list[str], crowd_rows: int = CROWD
     for key in (["_group"], []):
         first = Window.partitionBy("lng", "lat", *by, *key).orderBy("id")
         thick = thick.withColumn("_nth", F.row_number().over(first)).filter(F.col("_nth") <= keep)
+    if by:
+        first = F.row_number().over(Window.partitionBy("lng", "lat").orderBy("id")) <= keep
+        thin, thick = thin.withColumn("_first", F.lit(True)), thick.withColumn("_first", first)
     return thin.unionByName(thick.drop("_group", "_nth")).drop("_crowd")
 
 
@@ -265,8 +269,13 @@ def near_join(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTE
     """
     tight = materialize(tighten_radius(df, materialize(queries, "requests"), max_bytes), "radii")
     cover = _Cover.of(_boxed(tight), F.lit(_NEAR_ROW_BYTES), max_bytes)
-    rows = thin_crowds(df, MAX_LIMIT, ["species_id"], crowd_rows)
-    pairs = _wanted(_cell_join(rows, cover, ["id"]))
+    highest = tight.agg(F.max("limit")).first()[0] or 1
+    by_species = "species_ids" in queries.columns
+    rows = thin_crowds(df, min(highest, MAX_LIMIT), ["species_id"] if by_species else [], crowd_rows)
+    pairs = _cell_join(rows, cover, ["id"])
+    if "_first" in rows.columns:
+        pairs = pairs.filter(F.col("_first") | F.col("species_ids").isNotNull())
+    pairs = _wanted(pairs)
     away = G.distance_m(F.col("q_lng"), F.col("q_lat"), F.col("lng"), F.col("lat"))
     close = pairs.withColumn("_away", away).filter(F.col("_away") <= F.col("radius_m"))
     nearest_first = Window.partitionBy("query_id").orderBy("_away", "id")
