@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roamgrid.llm import minhash_dedup, pii_crf, quality_gam
+from roamgrid.llm import minhash_dedup, mixing, packing, pii_crf, quality_gam, sharding
 from roamgrid.llm.shared import table
 
 QUERIES = {}
@@ -22,6 +23,23 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.spans(docs, pii_crf.train(docs))
 
 
+@query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.curriculum(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"),
+                       F.col("copies").cast("int").alias("copies"), F.get("positions", F.lit(0)).alias("first_position"))
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
