@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamgrid.llm import minhash_dedup, mixing, packing, pii_crf, quality_gam, sharding
+from roamgrid.llm import (embedding_forest, knn_join, minhash_dedup, mixing, packing, pii_crf, quality_gam, sharding,
+                          toxicity_cnn)
 from roamgrid.llm.shared import table
 
 QUERIES = {}
@@ -23,6 +24,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_crf.spans(docs, pii_crf.train(docs))
 
 
+@query
+def op2_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -40,11 +46,21 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_knn_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn_join.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_cnn.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
