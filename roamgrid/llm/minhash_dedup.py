@@ -3,15 +3,16 @@
 1. One scan turns every whole text into its shingle set and keeps the ``k`` smallest fingerprints, the size of the set and a
    128-bit fingerprint of the word sequence. Equal word sequences are one node from here on, so a group of copies of any
    size costs one partial aggregate.
-2. Retained values are inverted to lists. Two sets with similarity 0.8 share at least ``need`` of the values of their joint sketch (but
-   for a chance of about one in 10^5 at the bound itself, far less above it), hence one of the ``k - need + 1``
-   values that come first when a sketch is ordered by (list length, value). Only those values are joined, and rare values come first,
-   so a passage or phrase that many documents share makes no list of them unless little else is in their sketches.
-3. Every node of a list is paired with the smallest node of the list: a number of pairs linear in the lists. The sketch of
-   the union estimates the similarity of a pair, and the pairs that can reach the bound are verified on full shingle sets.
-4. Lists whose nodes are still in different components are joined with themselves; the join condition holds the
-   component, the sizes and the sketch estimate, so pairs inside a component or below the bound are never emitted. What passes is
-   verified as in 3. A link is thus tested directly or its two ends are already connected by verified links.
+2. Retained values are inverted to lists. Two sets with similarity 0.8 share at least ``NEED`` of the ``k`` smallest values of their
+   union (but for a chance of about one in 10^5 at the bound itself, far less above it), hence one of the ``k - NEED + 1`` values
+   that come first when a sketch is ordered by (list length, value). Only those are kept in lists, and rare values come
+   first, so a passage that many documents share makes no list of them unless little else is in their sketches.
+3. The smallest node of a list is its hub, and the nodes of all lists of a hub are its group: nodes that share a list share a group,
+   and the rows are linear in the lists. A group is cut into blocks of bounded rows, and pairs of blocks are tasks.
+4. Overlaps of sketches and the union-sketch estimate, as matrices in a task, leave the nodes that have a possible partner. Only
+   their texts are moved.
+5. Full shingle sets verify the possible pairs that are not yet connected inside a task. No pairs are written: a task returns one row per
+   node, the smallest node it is connected to, and the components of all tasks are joined.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roamgrid.llm.components import components
@@ -31,8 +32,9 @@ from roamgrid.session import materialize
 SKETCH = 32
 # Of 32 values of a joint sketch, those that two sets of similarity 0.8 share: 25.6 on average, deviation 2.3.
 NEED = 15
-PREFIX = SKETCH - NEED + 1
-MEMBERS_PER_TASK = 1000
+DEVIATIONS = 4.7
+BLOCK_ROWS = 2048
+BLOCK_SHINGLES = 1_500_000
 
 
 def _sketch_rows(width: int, k: int):
@@ -60,61 +62,162 @@ def sketch_table(docs: DataFrame, width: int, k: int = SKETCH) -> DataFrame:
         _sketch_rows(width, k), "doc_id long, n_shingles long, high long, low long, sketch array<long>")
 
 
-def _possible(a: str, b: str, k: int, need: int) -> Column:
-    """Whether the sketches of two nodes allow a similarity of 0.8; exact when both sets fit into their sketches."""
-    joint = f"slice(array_sort(array_union({a}.sketch, {b}.sketch)), 1, {k})"
-    both = f"size(array_intersect({joint}, array_intersect({a}.sketch, {b}.sketch)))"
-    sizes = (f"least({a}.n_shingles, {b}.n_shingles) * 100 >= greatest({a}.n_shingles, {b}.n_shingles) * 80 "
-             f"and size(array_intersect({a}.sketch, {b}.sketch)) >= least({need}, {a}.n_shingles * 0.8)")
-    return F.expr(f"{sizes} and {both} * 100 >= least(size({joint}) * 80, {need} * 100)")
+def possible(sketches: list[np.ndarray], sizes: np.ndarray, k: int) -> np.ndarray:
+    """The pairs (as a symmetric matrix) whose sketches allow a similarity of 0.8.
+
+    Up to the smaller of two largest retained values both sketches are complete, so the shared values among all values up to
+    there are a sample of the similarity; if both sets are retained whole, it is the similarity.
+    """
+    m = len(sketches)
+    lengths = np.array([len(x) for x in sketches])
+    values, codes = np.unique(np.concatenate(sketches), return_inverse=True)
+    several = np.bincount(codes) > 1
+    names = np.cumsum(several) - 1
+    owner = np.repeat(np.arange(m), lengths)
+    kept = several[codes]
+    held = np.zeros((m, int(several.sum())), dtype=np.float32)
+    held[owner[kept], names[codes[kept]]] = 1
+    shared = held @ held.T
+    # upto[i, j]: the values of sketch i that are at most the reach of sketch j.
+    reach = np.array([x[-1] if n > k else np.iinfo(np.int64).max for x, n in zip(sketches, sizes)])
+    upto = np.stack([np.searchsorted(x, reach, side="right") for x in sketches])
+    lower = reach[:, None] <= reach[None, :]
+    union = np.where(lower, lengths[:, None] + upto.T, upto + lengths[None, :]) - shared
+    whole = (sizes[:, None] <= k) & (sizes[None, :] <= k)
+    least = 0.8 * union - np.where(whole, 0, DEVIATIONS * 0.4 * np.sqrt(np.maximum(union, 0))) - 1e-6
+    near = (shared > 0) & (shared >= least) & (np.minimum.outer(sizes, sizes) * 100 >= np.maximum.outer(sizes, sizes) * 80)
+    np.fill_diagonal(near, False)
+    return near
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The rows of equal keys, which arrive one after another, as tables."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        columns = [np.asarray(table.column(c)) for c in keys]
+        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        cuts = [0, *change.tolist(), table.num_rows]
+        if held and any(held[-1].column(c)[-1].as_py() != c_[0] for c, c_ in zip(keys, columns)):
+            yield pa.concat_tables(held)
+            held = []
+        for start, end in zip(cuts, cuts[1:]):
+            held.append(table.slice(start, end - start))
+            if end < table.num_rows:
+                yield pa.concat_tables(held)
+                held = []
+    if held:
+        yield pa.concat_tables(held)
+
+
+def _apart(group: pa.Table) -> np.ndarray | None:
+    """For a task of two blocks, the pairs between them; only those are new."""
+    if group.column("one")[0].as_py() == group.column("two")[0].as_py():
+        return None
+    block = np.asarray(group.column("block"))
+    return block[:, None] != block[None, :]
+
+
+def _pairs(first: list[int], second: list[int], *names: str) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=list(names))
+
+
+def _candidates(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hubs, nodes = [], []
+        for group in _groups(batches, ("hub", "one", "two")):
+            if group.num_rows > 1:
+                lists = group.column("sketch").combine_chunks()
+                flat, cuts = np.asarray(lists.flatten()), np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))])
+                near = possible([flat[a:b] for a, b in zip(cuts, cuts[1:])], np.asarray(group.column("n_shingles")), k)
+                apart = _apart(group)
+                found = np.asarray(group.column("node"))[(near if apart is None else near & apart).any(axis=1)]
+                hubs += [group.column("hub")[0].as_py()] * len(found)
+                nodes += found.tolist()
+            if len(hubs) > 20_000:
+                yield _pairs(hubs, nodes, "hub", "node")
+                hubs, nodes = [], []
+        yield _pairs(hubs, nodes, "hub", "node")
+    return run
 
 
-def _verify(width: int, percent: int):
-    """Rows of one hub arrive one after another, the hub itself first; emits the members that reach the bound."""
+def connected(sets: list[np.ndarray], allowed: np.ndarray, percent: int) -> np.ndarray:
+    """For each set the first set it is connected to by pairs that are ``allowed`` and reach the bound on full sets.
+
+    A set is marked in a bitmap and counted in all its possible partners at once; partners it is connected to already
+    need no count.
+    """
+    root = np.arange(len(sets))
+    sizes = np.array([len(x) for x in sets])
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    mark = np.zeros(codes.max() + 1, dtype=np.int32)
+    for i in np.argsort(-allowed.sum(axis=1), kind="stable"):
+        partners = np.flatnonzero(allowed[i] & (root != root[i]))
+        if not len(partners):
+            continue
+        own = codes[starts[i]: starts[i] + sizes[i]]
+        mark[own] = 1
+        parts = np.concatenate([codes[starts[p]: starts[p] + sizes[p]] for p in partners])
+        both = np.add.reduceat(mark[parts], np.cumsum(sizes[partners]) - sizes[partners])
+        mark[own] = 0
+        linked = partners[100 * both >= percent * (sizes[i] + sizes[partners] - both)]
+        if len(linked):
+            joined = np.unique(np.concatenate([root[linked], root[[i]]]))
+            root[np.isin(root, joined)] = joined[0]
+    return root
+
+
+def _verify(width: int, percent: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, hub, hub_set = WordHashes(), None, None
-        for batch in slices(batches):
-            links = []
-            for a, role, node, text in zip(*(batch.column(c).to_pylist() for c in ("a", "role", "node", "text"))):
-                own = shingle_set(text_words(text), hashes, width)
-                if role == 0:
-                    hub, hub_set = a, own
-                elif hub == a:
-                    both = np.intersect1d(hub_set, own, assume_unique=True).size
-                    if 100 * both >= percent * (hub_set.size + own.size - both):
-                        links.append((node, a))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()),
-                                              pa.array([x[1] for x in links], pa.int64())], names=["u", "v"])
+        hashes, above, below = WordHashes(), [], []
+        for group in _groups(batches, ("hub", "one", "two")):
+            # In order of the nodes, so that the first set of a component is its smallest node.
+            group = group.sort_by("node")
+            nodes = np.asarray(group.column("node"))
+            sets = [shingle_set(text_words(t), hashes, width) for t in group.column("text").to_pylist()]
+            near = possible([x[:k] for x in sets], np.array([len(x) for x in sets]), k)
+            apart = _apart(group)
+            root = connected(sets, near if apart is None else near & apart, percent)
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            above += nodes[moved].tolist()
+            below += nodes[root[moved]].tolist()
+            if len(above) > 20_000:
+                yield _pairs(above, below, "u", "v")
+                above, below = [], []
+        yield _pairs(above, below, "u", "v")
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full shingle sets reach the bound, as links ``(u, v)``.
+def _blocked(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``hub, node, n_shingles`` with the pairs of blocks they belong to, in the order the tasks need.
 
-    A text is moved once per hub it is compared with. The members of a hub are spread over tasks of about
-    ``MEMBERS_PER_TASK``, each with a copy of the hub; a task holds one hub and one member at a time.
+    A group of few rows is one block. The blocks of a larger one hold ``BLOCK_ROWS`` rows or ``BLOCK_SHINGLES`` shingles on average.
     """
-    hubs = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_TASK).cast("int").alias("salts"))
-    members = pairs.join(hubs, "a").select(
-        "a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.col("b").alias("node"), F.lit(1).alias("role"))
-    own = hubs.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                      F.col("a").alias("node"), F.lit(0).alias("role"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    rows = members.unionByName(own).join(texts, "node")
-    return (rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "node")
-            .select("a", "role", "node", "text").mapInArrow(_verify(width, percent), "u long, v long"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    sizes = rows.groupBy("hub").agg(blocks.alias("blocks"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+    return rows.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
+        {"one": F.least("block", "other"), "two": F.greatest("block", "other")}).drop("blocks", "other")
+
+
+def _tasks(rows: DataFrame) -> DataFrame:
+    return rows.repartition("hub", "one", "two").sortWithinPartitions("hub", "one", "two")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKETCH, need: int = NEED) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKETCH) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document; extra columns of the input are ignored.
 
     Documents are linked when 100 * intersection >= ``percent`` * union of their distinct ``width``-word shingles. Texts that are
     null or have no word have no shingles and are linked with nothing. Rows with a null id get a null component and are not
-    kept. A repeated row gets the same result as the first; several texts under one id are each judged by their own.
+    kept. A repeated row gets the same result as the first; the texts of one id are one document, and each of its rows gets the
+    component of its text.
     """
     if percent < 80:
         raise ValueError("the sketch bounds hold for a similarity of 0.8 or more")
-    prefix = k - need + 1
+    prefix = k - NEED + 1
     rows = materialize(sketch_table(docs, width, k), "sketches")
     valid = rows.filter("doc_id is not null and n_shingles > 0")
     node_of = valid.groupBy("high", "low").agg(F.min("doc_id").alias("node"))
@@ -132,21 +235,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
         "node", F.explode(F.slice("shared", F.lit(1), F.greatest(F.lit(0), F.lit(prefix) - alone).cast("int"))).alias("s")
     ).select("node", "s.value"), "lists")
 
-    heads = lists.groupBy("value").agg(F.min("node").alias("a"))
-    stars = lists.join(heads, "value").filter("a < node").select("a", F.col("node").alias("b")).distinct()
-    links = materialize(verified(_filtered(stars, nodes, k, need), docs, width, percent), "links")
-    first = materialize(components(links), "components")
-
-    here = lists.join(first.hint("shuffle_hash"), "node", "left").select(
-        "value", "node", F.coalesce("component", "node").alias("component"))
-    mixed = here.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_rows = materialize(here.join(mixed.select("value"), "value").join(nodes, "node"), "open")
-    a, b = open_rows.alias("a"), open_rows.alias("b")
-    late = a.join(b, (F.col("a.value") == F.col("b.value")) & (F.col("a.node") < F.col("b.node"))
-                  & (F.col("a.component") != F.col("b.component")) & _possible("a", "b", k, need)
-                  ).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    late_links = materialize(verified(materialize(late, "late"), docs, width, percent), "links")
-    merged = first if late_links.isEmpty() else components(links.union(late_links))
+    heads = lists.groupBy("value").agg(F.min("node").alias("hub"))
+    members = materialize(lists.join(heads, "value").select("hub", "node").distinct().join(
+        nodes.select("node", "n_shingles"), "node"), "members")
+    wide = _tasks(_blocked(members).join(nodes.select("node", "sketch"), "node"))
+    likely = materialize(wide.select("hub", "one", "two", "block", "node", "n_shingles", "sketch").mapInArrow(
+        _candidates(k), "hub long, node long").distinct(), "likely")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    narrow = _blocked(likely.join(nodes.select("node", "n_shingles"), "node"))
+    links = _tasks(narrow.join(texts, "node")).select("hub", "one", "two", "block", "node", "text").mapInArrow(
+        _verify(width, percent, k), "u long, v long")
+    merged = components(links)
 
     found = node_of.join(merged, "node", "left").select(
         F.col("high").alias("h"), F.col("low").alias("l"), F.coalesce("component", "node").alias("component"))
@@ -154,11 +253,3 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
-
-
-def _filtered(pairs: DataFrame, nodes: DataFrame, k: int, need: int) -> DataFrame:
-    a = nodes.withColumnRenamed("node", "a_node").alias("x")
-    b = nodes.withColumnRenamed("node", "b_node").alias("y")
-    return materialize(
-        pairs.join(a, F.col("a") == F.col("x.a_node")).join(b, F.col("b") == F.col("y.b_node"))
-        .filter(_possible("x", "y", k, need)).select("a", "b"), "pairs")

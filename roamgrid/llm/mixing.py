@@ -104,18 +104,25 @@ def curriculum(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, budget: fl
         "doc_id", "source", "key", "crc", "size", "source_size", "target", F.size("shares").alias("copies"), "positions")
 
 
+def _row_key(source: str, key: str, crc: str) -> Column:
+    """One text for id, content and source; a null source differs from every other."""
+    return F.md5(F.concat_ws(":", F.col(key), F.coalesce(F.col(crc), F.lit(-1)).cast("string"), F.col(source).isNull().cast("string"),
+                             F.col(source)).cast("binary"))
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents as they are trained on: a row per copy, all columns of the input, range-sorted by position.
 
-    A document finds its copies by a hash of its id, its text and its number among rows that are equal in both.
+    A document finds its copies by a hash of id, text and source and by its number among rows that are equal in these. The window and
+    the join use that one key, so texts are moved once for both and once more for the sort.
     """
+    plan = curriculum(docs, **options).withColumn("__plan_key", _row_key("source", "key", "crc")).withColumn(
+        "__plan_nth", F.row_number().over(W.partitionBy("__plan_key").orderBy("size", F.desc("copies"), "positions"))).filter(
+        "copies > 0").select("__plan_key", "__plan_nth", F.col("positions").alias("__plan_positions"))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    plan = curriculum(docs, **options).withColumn("nth", F.row_number().over(
-        W.partitionBy("source", "key", "crc").orderBy("size", F.desc("copies"), "positions"))).select(
-        *[F.col(c).alias(f"__plan_{c}") for c in ("source", "key", "crc", "nth", "positions")]).filter("size(__plan_positions) > 0")
-    keyed = docs.withColumns({"__key": key, "__crc": F.crc32(F.col("text").cast("binary"))})
-    keyed = keyed.withColumn("__nth", F.row_number().over(W.partitionBy("source", "__key", "__crc").orderBy("__crc")))
-    joined = keyed.join(plan, (F.col("__key") == F.col("__plan_key")) & (F.col("__nth") == F.col("__plan_nth"))
-                        & F.col("__crc").eqNullSafe(F.col("__plan_crc")) & F.col("source").eqNullSafe(F.col("__plan_source")))
+    keyed = docs.withColumns({"__id": key, "__crc": F.crc32(F.col("text").cast("binary"))}).withColumn(
+        "__key", _row_key("source", "__id", "__crc"))
+    keyed = keyed.withColumn("__nth", F.row_number().over(W.partitionBy("__key").orderBy("__crc")))
+    joined = keyed.join(plan, (F.col("__key") == F.col("__plan_key")) & (F.col("__nth") == F.col("__plan_nth")))
     copies = joined.withColumn("__at", F.explode("__plan_positions")).orderBy("__at", "__key")
     return copies.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamgrid.llm import (embedding_forest, knn_join, minhash_dedup, mixing, packing, pii_crf, quality_gam, sharding,
-                          toxicity_cnn)
+                          toxicity_cnn, url_rules)
 from roamgrid.llm.shared import table
 
 QUERIES = {}
@@ -34,6 +34,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_rules.judge(pages, url_rules.page_labels(pages, table(spark, sf_dir, "labels")))
+
+
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.curriculum(table(spark, sf_dir, "documents"))
