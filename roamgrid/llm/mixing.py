@@ -35,14 +35,18 @@ def intervals(knots: tuple[float, ...]) -> list[tuple[float, float, float, float
     return out
 
 
-def progress_sql(share: str, schedule: str, schedules=SCHEDULES) -> str:
-    """SQL for the progress at which a source has consumed ``share`` of its target; the same text runs in other engines."""
+def progress_sql(share: str, schedule: str, schedules=SCHEDULES, mark: str = "D") -> str:
+    """SQL for the progress at which a source has consumed ``share`` of its target; ``mark`` follows numbers to make them doubles."""
+    def number(x: float) -> str:
+        return f"{x!r}{mark}"
+
     cases = []
     for s, knots in enumerate(schedules):
         for low, start, weight, slope, area in reversed(intervals(knots)):
-            rest = f"(({share}) - {low!r}D) * {area!r}D"
-            piece = f"{start!r}D + 2D * {rest} / ({weight!r}D + sqrt({weight!r}D * {weight!r}D + 2D * {slope!r}D * {rest}))"
-            cases.append(f"WHEN {schedule} = {s} AND ({share}) >= {low!r}D THEN {piece}")
+            rest = f"(({share}) - {number(low)}) * {number(area)}"
+            root = f"sqrt({number(weight * weight)} + {number(2 * slope)} * {rest})"
+            cases.append(f"WHEN {schedule} = {s} AND ({share}) >= {number(low)} "
+                         f"THEN {number(start)} + {number(2.0)} * {rest} / ({number(weight)} + {root})")
     return f"CASE {' '.join(cases)} END"
 
 

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from roamgrid.llm import (embedding_forest, knn_join, minhash_dedup, mixing, packing, pii_crf, quality_gam, sharding,
                           toxicity_cnn, url_rules)
+from roamgrid.llm.oracles import ORACLES  # noqa: F401
 from roamgrid.llm.shared import table
 
 QUERIES = {}
-ORACLES = {}
+
 
 
 def query(build):
