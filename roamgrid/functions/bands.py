@@ -30,7 +30,5 @@ def visits_band(visits: Column) -> Column:
 
 
 def point_key(lng: Column, lat: Column) -> Column:
-    """Exact point at a millionth of a degree, packed into one long."""
-    x = F.rint(lng * 1_000_000).cast("long") + 180_000_000
-    y = F.rint(lat * 1_000_000).cast("long") + 90_000_000
-    return x * F.lit(361_000_001).cast("long") + y
+    """Exact point: both coordinates in whole millionths of a degree."""
+    return F.struct(*[F.rint(c * 1_000_000).cast("long").alias(n) for n, c in (("x", lng), ("y", lat))])

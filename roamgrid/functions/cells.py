@@ -31,11 +31,6 @@ def to_point(lng: str | Column, lat: str | Column) -> Column:
     return F.struct(F.lit("Point").alias("type"), F.array(lng, lat).alias("coordinates"))
 
 
-def from_point(location: str | Column) -> tuple[Column, Column]:
-    coordinates = (F.col(location) if isinstance(location, str) else location)["coordinates"]
-    return F.try_element_at(coordinates, F.lit(1)), F.try_element_at(coordinates, F.lit(2))
-
-
 def cell_polygon(lng_c: str = "lng_c", lat_c: str = "lat_c", deg: float = GRID_DEG) -> Column:
     """The square of a cell around its centre as one closed ring, 6 decimals."""
     half = deg / 2

@@ -6,12 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A date, alone or with a time to the second, a fraction, and Z or an offset in hours and minutes.
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})?)?\z"
+
+
 def parse_utc(text: Column) -> Column:
     """ISO 8601 text to a UTC instant; text without an offset is UTC. The session time zone must be UTC.
 
-    The cast alone would also accept a bare year or a time of day, so a full date is required first.
+    The cast alone would also accept a bare year, a time of day, one-digit fields, blanks around the text and names of zones, so the
+    whole text must have the form below first.
     """
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
+    return F.when(text.rlike(ISO_TEXT), text.try_cast("timestamp"))
 
 
 def solar_local(utc: Column, lng: Column) -> Column:

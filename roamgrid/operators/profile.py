@@ -18,6 +18,18 @@ NO_OFFSET = "sin_dato"
 EVENT = ["species", "lng", "lat", "date"]
 
 
+def _by_value(line: Column, text: Column) -> Column:
+    """A species id as text that is equal for equal JSON values: 134 and 134.0, 1 and true; a quoted number is another value.
+
+    Lines with NaN are no strict JSON, so ``text`` is NULL there and the value is cut out of the line.
+    """
+    name = f'"{RAW_SPECIES}"\\s*:\\s*'
+    cut = F.regexp_extract(line, name + r'"?([^",}\s]+)', 1)
+    value = F.coalesce(text, F.when(~cut.isin("", "null"), cut))
+    number = F.when(value == "true", 1.0).when(value == "false", 0.0).otherwise(value.try_cast("double"))
+    return F.when(line.rlike(name + '"') | number.isNull(), F.concat(F.lit('"'), value)).otherwise(number.cast("string"))
+
+
 def profile_rows(raw: DataFrame) -> DataFrame:
     """One row per line with everything the profile counts; rows that are no document have only their status."""
     parsed = parse_lines(raw)
@@ -32,8 +44,7 @@ def profile_rows(raw: DataFrame) -> DataFrame:
         "keys": D.key_signature(line),
         "source": F.coalesce(doc[RAW_SOURCE], F.lit("None")),
         "species_id": typed_species,
-        # An id that is no integer still tells events apart.
-        "species": F.coalesce(typed_species.cast("string"), F.concat(F.lit("~"), text_species)),
+        "species": _by_value(line, text_species),
         "category": category,
         "lng": lng,
         "lat": lat,

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roamgrid.functions.geodesy import relative_lng
 from roamgrid.functions.once import compute_once
 from roamgrid.schemas import DEFAULT_LIMIT, MAX_LIMIT, MAX_RADIUS_M, MAX_SPECIES, MAX_VERTICES, MIN_SPECIES
 
@@ -133,6 +134,13 @@ def _points(ring: Column) -> Column:
     return F.transform(_items(ring), point)
 
 
+def _width(rings: Column) -> Column:
+    """Degrees of longitude between the outermost vertices, measured from the first one, so also across +-180."""
+    origin = rings[0][0]["lng"]
+    places = F.transform(F.flatten(rings), lambda p: relative_lng(p["lng"], origin))
+    return F.array_max(places) - F.array_min(places)
+
+
 def check_polygons(requests: DataFrame) -> DataFrame:
     """Check GeoJSON text ``polygon_id, body``: a Polygon, or a Feature with one. Adds ``rings`` and ``reason``.
 
@@ -151,7 +159,8 @@ def check_polygons(requests: DataFrame) -> DataFrame:
         (~F.col("_object"), "body:not_an_object"),
         (~F.try_variant_get("_g", "$.type", "string").eqNullSafe("Polygon"), "type:not_polygon"),
         (F.coalesce(F.size("_rings"), F.lit(-1)) < 1, "rings:missing"),
-    ]).otherwise(F.coalesce(ring_problem, F.when(vertices > MAX_VERTICES, "vertices:too_many")))
+    ]).otherwise(F.coalesce(ring_problem, F.when(vertices > MAX_VERTICES, "vertices:too_many"),
+                            F.when(_width(F.col("rings")) >= 180, "polygon:too_wide")))
     checked = compute_once(shaped, reason=reason)
     return checked.select("polygon_id", F.when(F.col("reason").isNull(), F.col("rings")).alias("rings"), "reason")
 

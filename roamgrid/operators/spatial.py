@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
+from numbers import Integral, Real
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roamgrid.functions import geodesy as G
-from roamgrid.schemas import DEFAULT_LIMIT, MAX_LIMIT, MAX_RADIUS_M, MAX_SPECIES, MAX_VERTICES, MIN_SPECIES
+from roamgrid.operators.requests import check_polygons, reject_self_intersections
+from roamgrid.schemas import DEFAULT_LIMIT, MAX_LIMIT, MAX_RADIUS_M, MAX_SPECIES, MIN_SPECIES
 from roamgrid.session import materialize
 
 # Bytes the cover of a request table may take and still be broadcast.
@@ -26,45 +29,38 @@ _CROWD_GROUPS = 1000
 
 # ---- argument checks ------------------------------------------------------------------------------------------------
 
-def _number(name: str, value, low: float, high: float) -> float:
-    if isinstance(value, bool) or not isinstance(value, (int, float)) or not math.isfinite(value):
-        raise ValueError(f"{name} must be a finite number")
-    if not low <= value <= high:
-        raise ValueError(f"{name} must be between {low} and {high}")
-    return float(value)
+def _within(name: str, value, low: float, high: float) -> float:
+    """The value as a float when it is a real number from ``low`` to ``high``; NaN and infinities are not."""
+    if isinstance(value, Real) and not isinstance(value, bool) and low <= value <= high:
+        return float(value)
+    raise ValueError(f"{name}: {value!r} is no number from {low} to {high}")
+
+
+def _whole(name: str, value, low: int, high: int) -> int:
+    if isinstance(value, Integral) and not isinstance(value, bool) and low <= value <= high:
+        return int(value)
+    raise ValueError(f"{name}: {value!r} is no integer from {low} to {high}")
 
 
 def check_limit(limit, maximum: int = MAX_LIMIT) -> int:
-    if isinstance(limit, bool) or not isinstance(limit, int) or not 1 <= limit <= maximum:
-        raise ValueError(f"limit must be an integer between 1 and {maximum}")
-    return limit
+    return _whole("limit", limit, 1, maximum)
 
 
 def check_species(species_id) -> int:
-    if isinstance(species_id, bool) or not isinstance(species_id, int) or not MIN_SPECIES <= species_id <= MAX_SPECIES:
-        raise ValueError(f"species must be an integer between {MIN_SPECIES} and {MAX_SPECIES}")
-    return species_id
-
-
-def check_polygon(rings) -> list[list[tuple[float, float]]]:
-    """Rings of (lng, lat) positions: closed, at least four positions each, in range, 500 vertices in all."""
-    if not isinstance(rings, (list, tuple)) or not rings:
-        raise ValueError("a polygon needs a list of rings")
-    checked = []
-    for ring in rings:
-        if not isinstance(ring, (list, tuple)) or len(ring) < 4:
-            raise ValueError("a ring needs at least 4 positions")
-        points = []
-        for position in ring:
-            if not isinstance(position, (list, tuple)) or len(position) != 2:
-                raise ValueError("a position must be [lng, lat]")
-            points.append((_number("lng", position[0], -180, 180), _number("lat", position[1], -90, 90)))
-        if points[0] != points[-1]:
-            raise ValueError("a ring must be closed")
-        checked.append(points)
-    if sum(len(r) for r in checked) > MAX_VERTICES:
-        raise ValueError(f"a polygon may have {MAX_VERTICES} vertices")
-    return checked
+    return _whole("species", species_id, MIN_SPECIES, MAX_SPECIES)
+
+
+def checked_rings(spark: SparkSession, rings) -> list[list[tuple[float, float]]]:
+    """Rings of (lng, lat) positions after the checks for polygon requests: one row goes through the same columns."""
+    try:
+        body = json.dumps({"type": "Polygon", "coordinates": rings})
+    except TypeError as error:
+        raise ValueError(f"no rings of positions: {error}") from None
+    row = spark.range(1).select(F.col("id").alias("polygon_id"), F.lit(body).alias("body"))
+    found = reject_self_intersections(check_polygons(row)).first()
+    if found["reason"]:
+        raise ValueError(found["reason"])
+    return [[(p["lng"], p["lat"]) for p in ring] for ring in found["rings"]]
 
 
 def _species_clause(species) -> Column | None:
@@ -86,8 +82,8 @@ def _filter_species(df: DataFrame, species) -> DataFrame:
 def near(df: DataFrame, lng: float, lat: float, radius_m: float, species=None, limit: int = DEFAULT_LIMIT,
          raw_distance: bool = False) -> DataFrame:
     """Sightings within a radius, nearest first, ties by id. The box is constant and is pushed down to the scan."""
-    lng, lat = _number("lng", lng, -180, 180), _number("lat", lat, -90, 90)
-    radius_m = _number("radius", radius_m, math.ulp(0.0), MAX_RADIUS_M)
+    lng, lat = _within("lng", lng, -180, 180), _within("lat", lat, -90, 90)
+    radius_m = _within("radius", radius_m, math.ulp(0.0), MAX_RADIUS_M)
     limit = check_limit(limit)
     center = F.lit(lng), F.lit(lat)
     boxed = _filter_species(df, species).filter(
@@ -106,11 +102,9 @@ def geonear(df: DataFrame, lng: float, lat: float, radius_m: float, species=None
 
 def inside_polygon(df: DataFrame, rings, species=None) -> DataFrame:
     """All sightings inside one polygon, unordered."""
-    rings = check_polygon(rings)
+    rings = checked_rings(df.sparkSession, rings)
     rows = _filter_species(df, species)
     edges, origin = G.constant_edges(rings), rings[0][0][0]
-    if max(e["e"] for e in edges) - min(e["w"] for e in edges) >= 180:
-        raise ValueError("a polygon must span less than 180 degrees of longitude")
     if len(edges) > _MAX_UNROLLED:
         table = [(0, [[{"lng": x, "lat": y} for x, y in ring] for ring in rings])]
         schema = "polygon_id int, rings array<array<struct<lng:double,lat:double>>>"
@@ -271,7 +265,7 @@ def near_join(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTE
     cover = _Cover.of(_boxed(tight), F.lit(_NEAR_ROW_BYTES), max_bytes)
     highest = tight.agg(F.max("limit")).first()[0] or 1
     by_species = "species_ids" in queries.columns
-    rows = thin_crowds(df, min(highest, MAX_LIMIT), ["species_id"] if by_species else [], crowd_rows)
+    rows = thin_crowds(df, highest, ["species_id"] if by_species else [], crowd_rows)
     pairs = _cell_join(rows, cover, ["id"])
     if "_first" in rows.columns:
         pairs = pairs.filter(F.col("_first") | F.col("species_ids").isNotNull())
@@ -279,16 +273,19 @@ def near_join(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTE
     away = G.distance_m(F.col("q_lng"), F.col("q_lat"), F.col("lng"), F.col("lat"))
     close = pairs.withColumn("_away", away).filter(F.col("_away") <= F.col("radius_m"))
     nearest_first = Window.partitionBy("query_id").orderBy("_away", "id")
-    # The constant bound lets Spark cut each map task to 1000 rows per request before the shuffle.
+    # The highest limit as a constant lets Spark cut each map task to that many rows per request before the shuffle.
     ranked = close.withColumn("rank", F.row_number().over(nearest_first)).filter(
-        (F.col("rank") <= MAX_LIMIT) & (F.col("rank") <= F.col("limit")))
+        (F.col("rank") <= highest) & (F.col("rank") <= F.col("limit")))
     return ranked.select("query_id", "rank", F.round("_away", 1).alias("distance_m"), *df.columns)
 
 
 def polygon_pairs(df: DataFrame, polygons: DataFrame, max_bytes: int = BROADCAST_BYTES,
                   salt_by: list[str] | None = None) -> DataFrame:
     """All (polygon, row) matches. ``polygons``: ``polygon_id, rings`` as accepted by the polygon checks."""
-    prepared = materialize(G.prepare_polygons(polygons).filter(F.col("east") - F.col("west") < 180), "polygons")
+    width = F.col("east") - F.col("west")
+    too_wide = F.raise_error(F.concat(F.lit("polygon of 180 degrees or more, see check_polygons: "), F.col("polygon_id").cast("string")))
+    prepared = materialize(G.prepare_polygons(polygons).withColumn(
+        "east", F.when(width < 180 + 2 * G._PAD, F.col("east")).otherwise(too_wide.cast("double"))), "polygons")
     cover = _Cover.of(prepared, F.lit(_POLYGON_ROW_BYTES) + F.size("edges") * _EDGE_BYTES, max_bytes)
     pairs = _cell_join(df.withColumn("_tan", F.tan(F.radians("lat"))), cover, salt_by or ["id"])
     box = {k: F.col(k) for k in ("south", "north", "west", "east")}
@@ -306,8 +303,9 @@ def within_join(df: DataFrame, polygons: DataFrame, limit: int = DEFAULT_LIMIT,
 
 
 def within_totals(df: DataFrame, polygons: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Number of sightings inside every polygon that holds any. Sightings at one exact point are combined before the
-    join: they are all inside or all outside."""
-    points = df.groupBy("lng", "lat").agg(F.count(F.lit(1)).alias("n"))
-    pairs = polygon_pairs(points, polygons, max_bytes, ["lng", "lat"])
-    return pairs.groupBy("polygon_id").agg(F.sum("n").alias("count"))
+    """Number of sightings inside every polygon, also of those that hold none. Counts are combined before the only shuffle of the
+    broadcast form, which has a row per polygon and task."""
+    pairs = polygon_pairs(df.select("id", "lng", "lat"), polygons, max_bytes)
+    counts = pairs.groupBy("polygon_id").agg(F.count(F.lit(1)).alias("n"))
+    every = polygons.select("polygon_id").distinct()
+    return every.join(counts, "polygon_id", "left").select("polygon_id", F.coalesce("n", F.lit(0).cast("long")).alias("count"))

@@ -1,6 +1,6 @@
 """Raw files to the clean table, with the report of every discarded line.
 
-    python -m roamgrid.plans.ingest RAW_GLOB OUT [--stride 4] [--parts N]
+    python -m roamgrid.plans.ingest RAW_GLOB OUT [--stride N] [--parts N]
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from roamgrid.sources.store import read_clean, write_clean
 CLEAN_TABLE, REPORT, FILES = "sightings", "clean_report", "scan_plan"
 
 
-def ingest(spark: SparkSession, raw_glob: str, out: str, stride: int = 4, parts: int | None = None) -> DataFrame:
+def ingest(spark: SparkSession, raw_glob: str, out: str, stride: int = 1, parts: int | None = None) -> DataFrame:
     """Write the clean table, its report and the scan plan under ``out``; returns the report.
 
     The text is parsed once: the judged rows are written to the shared folder, and both the counts and the clean table
@@ -50,7 +50,7 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("raw_glob")
     parser.add_argument("out")
-    parser.add_argument("--stride", type=int, default=4)
+    parser.add_argument("--stride", type=int, default=1)
     parser.add_argument("--parts", type=int)
     args = parser.parse_args()
     spark = SparkSession.builder.appName("roamgrid-ingest").getOrCreate()

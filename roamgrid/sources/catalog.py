@@ -62,11 +62,14 @@ def type_flag(catalog: DataFrame, type_name: str) -> DataFrame:
 def species_ids(catalog: DataFrame, species_id: int | None = None, type_name: str | None = None) -> list[int] | None:
     """Ids allowed by a species and a type filter together: None means every species, an empty list none.
 
-    The list has at most 151 ids; as constants it reaches the Parquet scan.
+    A blank type is no filter, and a species must be in range. The list has at most 151 ids; as constants it reaches the Parquet scan.
     """
-    if type_name is None:
+    if species_id is not None and (isinstance(species_id, bool) or not isinstance(species_id, int)
+                                   or not MIN_SPECIES <= species_id <= MAX_SPECIES):
+        raise ValueError(f"species must be an integer from {MIN_SPECIES} to {MAX_SPECIES}")
+    wanted = (type_name or "").strip().lower()
+    if not wanted:
         return None if species_id is None else [species_id]
-    wanted = type_name.strip().lower()
     rows = catalog.filter(F.col("species_id").between(MIN_SPECIES, MAX_SPECIES)) \
         .select("species_id", F.array_contains("types", wanted).alias("match")).collect()
     ids = sorted(r["species_id"] for r in rows if r["match"])

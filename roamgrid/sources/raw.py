@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from roamgrid.session import broadcast_if_small, materialize
 
 POSITION = ["file", "block", "seq"]
-# One row per split, about 250 bytes: 400,000 splits of 128 MB are 51 TB of text, of 512 MB four times as much.
-_MAX_BROADCAST_SPLITS = 400_000
+# One numeric row per split, under 50 bytes: 2,000,000 splits of 128 MB are 256 TB of text.
+_MAX_BROADCAST_SPLITS = 2_000_000
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -36,12 +36,21 @@ def split_table(raw: DataFrame) -> DataFrame:
 
 
 def with_line_numbers(raw: DataFrame, splits: DataFrame | None = None) -> DataFrame:
-    """Add the 0-based physical ``line`` of every row in its file, blank lines included, without sorting the rows."""
+    """Add the 0-based physical ``line`` of every row in its file, blank lines included, without sorting the rows.
+
+    The rows are joined with the offset of their split, found in another scan. Spark derives the size of splits from the cores that it
+    sees, so the two scans may cut files differently; a row whose split was not counted, or which is not among the
+    counted lines of it, stops the job instead of being lost or numbered wrongly. The side is numeric, 32 bytes a split.
+    """
     splits = split_table(raw) if splits is None else splits
-    side, _ = broadcast_if_small(splits.select("file", "block", "first_seq", "lines_before"), _MAX_BROADCAST_SPLITS)
-    placed = raw.join(side, ["file", "block"])
-    line = F.col("lines_before") + F.col("seq") - F.col("first_seq")
-    return placed.withColumn("line", line).drop("first_seq", "lines_before")
+    narrow = splits.select(F.xxhash64("file").alias("_file"), F.col("block").alias("_block"), "first_seq", "lines", "lines_before")
+    side, _ = broadcast_if_small(narrow, _MAX_BROADCAST_SPLITS)
+    placed = raw.join(side, (F.xxhash64("file") == F.col("_file")) & (F.col("block") == F.col("_block")), "left")
+    at = F.col("seq") - F.col("first_seq")
+    counted = F.coalesce((at >= 0) & (at < F.col("lines")), F.lit(False))
+    lost = F.raise_error(F.concat(F.lit("the scans of the raw files cut them differently; fix spark.sql.files.minPartitionNum: "), F.col("file")))
+    line = F.when(counted, F.col("lines_before") + at).otherwise(lost.cast("long"))
+    return placed.select(*[F.col(c) for c in raw.columns], line.alias("line"))
 
 
 def scan_plan(splits: DataFrame, stride: int = 1) -> DataFrame:

@@ -6,24 +6,24 @@ import pytest
 
 from roamgrid.operators import requests
 
-GOOD = {"lat": "40.7", "lng": "-73.9", "radius": "500", "limit": None, "species": None, "type": None}
-POINTS = [
-    ({}, None), ({"limit": ""}, None), ({"limit": " 7 "}, None), ({"type": " Flying "}, None), ({"lat": "4.07e1"}, None),
-    ({"lat": None}, "lat:missing"), ({"lng": ""}, "lng:missing"), ({"radius": None}, "radius:missing"),
-    ({"lat": "91"}, "lat:range"), ({"lat": "-91"}, "lat:range"), ({"lng": "181"}, "lng:range"),
-    ({"lat": "nan"}, "lat:not_finite"), ({"lat": "inf"}, "lat:not_finite"), ({"lat": "x"}, "lat:not_numeric"),
-    ({"lat": "1.0d"}, "lat:not_numeric"), ({"radius": "0"}, "radius:range"), ({"radius": "-5"}, "radius:range"),
-    ({"radius": "50001"}, "radius:range"), ({"radius": "999999"}, "radius:range"), ({"species": "0"}, "species:range"),
-    ({"species": "152"}, "species:range"), ({"species": "999"}, "species:range"), ({"species": "x"}, "species:not_integer"),
-    ({"limit": "0"}, "limit:range"), ({"limit": "-1"}, "limit:range"), ({"limit": "5000"}, "limit:range"),
-    ({"limit": "1.5"}, "limit:not_integer"), ({"limit": "x"}, "limit:not_integer"), ({"type": "laser"}, "type:unknown"),
-    ({"limit": "99999999999999999999"}, "limit:range"), ({"lat": "91", "lng": ""}, "lng:missing"),
-]
+# Made for these tests: what is right, and one parameter at a time made wrong.
+GOOD = {"lat": "-10.0", "lng": "30.5", "radius": "750", "limit": None, "species": None, "type": None}
+WRONG = {
+    "lat": {"missing": [None, ""], "range": ["90.5", "-1e2"], "not_finite": ["NaN", "-Infinity", "1e999"], "not_numeric": ["north", "5f"]},
+    "lng": {"missing": [None], "range": ["180.001", "-400"], "not_finite": ["inf"], "not_numeric": ["0x10", "1,5"]},
+    "radius": {"missing": [""], "range": ["0", "-1", "50000.5", "1e6"], "not_finite": ["nan"], "not_numeric": ["5 km"]},
+    "species": {"range": ["0", "-7", "152", "4000"], "not_integer": ["cat", "1.0"]},
+    "limit": {"range": ["0", "-3", "1001", "2500", "9" * 20], "not_integer": ["2.5", "all"]},
+    "type": {"unknown": ["laser"]},
+}
+POINTS = [({}, None), ({"limit": ""}, None), ({"limit": " 7 "}, None), ({"type": " Winged "}, None), ({"lat": "-1.0e1"}, None),
+          ({"lat": "95", "lng": ""}, "lng:missing")]
+POINTS += [({name: value}, f"{name}:{problem}") for name, kinds in WRONG.items() for problem, values in kinds.items() for value in values]
 
 
 @pytest.fixture(scope="module")
 def two(spark):
-    return spark.createDataFrame([(16, "finch", ["normal", "flying"]), (19, "vole", ["normal"])],
+    return spark.createDataFrame([(16, "heron", ["plain", "winged"]), (19, "otter", ["plain"])],
                                  "species_id int, name string, types array<string>")
 
 
@@ -41,7 +41,7 @@ def test_point_requests(spark, two):
 
 
 def test_species_of_a_request(spark, two):
-    rows = [{}, {"species": "19"}, {"type": "normal"}, {"type": "normal", "species": "19"}, {"type": "flying", "species": "19"}]
+    rows = [{}, {"species": "19"}, {"type": "plain"}, {"type": "plain", "species": "19"}, {"type": "winged", "species": "19"}]
     assert [r["species_ids"] for r in check(spark, two, rows)] == [None, [19], [16, 19], [19], []]
 
 
@@ -66,6 +66,8 @@ POLYGONS = [
     (polygon(SQUARE, [[0, 0], [1, 0]]), "ring:size"),
     (polygon([[i / 1000, i % 7] for i in range(500)] + [[0, 0]]), "vertices:too_many"),
     (polygon([[0, 0], [1, 1], [1, 0], [0, 1], [0, 0]]), "ring:self_intersection"),
+    (polygon([[-100, 0], [0, -1], [100, 0], [0, 50], [-100, 0]]), "polygon:too_wide"),
+    (polygon([[170, 0], [-170, 0], [-170, 5], [170, 5], [170, 0]]), None),
 ]
 
 

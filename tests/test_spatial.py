@@ -11,20 +11,20 @@ from roamgrid.schemas import EARTH_RADIUS_M
 from roamgrid.sources import catalog as cat
 from roamgrid.sources import store
 
-HERE = {"lng": -73.9855, "lat": 40.758}
-BOX = [[(-74.0, 40.74), (-73.97, 40.74), (-73.97, 40.77), (-74.0, 40.77), (-74.0, 40.74)]]
+# A row of places going north in steps of a thousandth of a degree (about 111 m), and one far away.
+HERE = {"lng": 30.5, "lat": -10.0}
+BOX = [[(30.4, -10.1), (30.6, -10.1), (30.6, -9.9975), (30.4, -9.9975), (30.4, -10.1)]]
 
 
 @pytest.fixture(scope="module")
 def four(spark):
-    rows = [("s1", 16, -73.9855, 40.758), ("s2", 16, -73.985, 40.7585), ("s3", 19, -73.984, 40.759),
-            ("s4", 19, 2.3522, 48.8566)]
+    rows = [(f"s{i + 1}", 16 if i < 2 else 19, 30.5, -10.0 + i / 1000) for i in range(3)] + [("s4", 19, -120.0, 60.0)]
     return spark.createDataFrame(rows, "id string, species_id int, lng double, lat double")
 
 
 @pytest.fixture(scope="module")
 def two(spark):
-    return spark.createDataFrame([(16, "finch", ["normal", "flying"]), (19, "vole", ["normal"])],
+    return spark.createDataFrame([(16, "heron", ["plain", "winged"]), (19, "otter", ["plain"])],
                                  "species_id int, name string, types array<string>")
 
 
@@ -34,22 +34,28 @@ def ids(df):
 
 def test_near(four):
     assert ids(spatial.near(four, radius_m=500, **HERE)) == ["s1", "s2", "s3"]
-    assert ids(spatial.near(four, radius_m=100, **HERE)) == ["s1", "s2"]
+    assert ids(spatial.near(four, radius_m=150, **HERE)) == ["s1", "s2"]
     assert ids(spatial.near(four, radius_m=500, species=16, **HERE)) == ["s1", "s2"]
     assert ids(spatial.near(four, radius_m=500, limit=1, **HERE)) == ["s1"]
-    assert [r["distance_m"] for r in spatial.geonear(four, radius_m=500, **HERE).collect()] == [0.0, 69.8, 168.5]
+    assert [r["distance_m"] for r in spatial.geonear(four, radius_m=500, **HERE).collect()] == [
+        round(math.radians(i / 1000) * EARTH_RADIUS_M, 1) for i in range(3)]
 
 
 def test_type_filters(four, two):
-    assert cat.species_ids(two, type_name="flying") == [16]
-    assert cat.species_ids(two, type_name=" Normal ") == [16, 19]
-    assert cat.species_ids(two, 19, "normal") == [19]
-    assert cat.species_ids(two, 19, "flying") == []
+    assert cat.species_ids(two, type_name="winged") == [16]
+    assert cat.species_ids(two, type_name=" Plain ") == [16, 19]
+    assert cat.species_ids(two, 19, "plain") == [19]
+    assert cat.species_ids(two, 19, "winged") == []
     assert cat.species_ids(two) is None
     assert ids(spatial.near(four, radius_m=500, species=[], **HERE)) == []
-    assert cat.species_filter(four, two, 19, "flying").count() == 0
+    assert cat.species_filter(four, two, 19, "winged").count() == 0
     with pytest.raises(ValueError):
         cat.species_ids(two, type_name="laser")
+    for blank in ("", "  ", None):
+        assert cat.species_ids(two, 19, blank) == [19] and cat.species_ids(two, None, blank) is None
+    for wrong in (0, 152, True, "19", 19.0):
+        with pytest.raises(ValueError):
+            cat.species_ids(two, wrong)
 
 
 def test_within(four):
@@ -73,7 +79,8 @@ def test_bad_arguments(four, bad):
 @pytest.mark.parametrize("rings", [
     None, [], [[]], [[(0, 0), (1, 0), (0, 0)]], [[(0, 0), (1, 0), (1, 1), (0, 1)]], [[(0, 0), (200, 0), (1, 1), (0, 0)]],
     [[(0, 0), (1, 95), (1, 1), (0, 0)]], [[(0, 0), ("1", 0), (1, 1), (0, 0)]], [[(0, 0), (1, 0, 5), (1, 1), (0, 0)]],
-    [[(i / 1000, i % 2) for i in range(501)] + [(0, 0)]], [[(-100, 0), (100, 0), (0, 50), (-100, 0)]]])
+    [[(i / 1000, i % 2) for i in range(501)] + [(0, 0)]], [[(-100, 0), (0, -1), (100, 0), (0, 50), (-100, 0)]],
+    [[(30.4, -10.1), (30.6, -9.9), (30.6, -10.1), (30.4, -9.9), (30.4, -10.1)]], [[(0, 0), (math.nan, 0), (1, 1), (0, 0)]], {1}])
 def test_bad_polygons(four, rings):
     with pytest.raises(ValueError):
         spatial.within(four, rings)
@@ -136,6 +143,23 @@ def test_near_join(spark, skewed, max_bytes, crowd_rows):
         assert got.get(q, []) == [i for d, i in away if d <= radius][:limit], q
 
 
+def test_high_limits_are_honoured(spark):
+    rows = spark.range(3000).select(F.format_string("p%05d", "id").alias("id"), F.lit(1).alias("species_id"), F.lit(5.0).alias("lng"),
+                                    (F.col("id") / 1e6).alias("lat"))
+    queries = spark.createDataFrame([(1, 5.0, 0.0, 5000.0, 2500), (2, 5.0, 0.0, 5000.0, 10)],
+                                    "query_id int, q_lng double, q_lat double, radius_m double, limit int")
+    for sizes in ((spatial.BROADCAST_BYTES, spatial.CROWD_ROWS), (0, 100)):
+        counts = {r["query_id"]: r["count"] for r in spatial.near_join(rows, queries, *sizes).groupBy("query_id").count().collect()}
+        assert counts == {1: 2500, 2: 10}
+
+
+def test_wide_polygons_are_refused_in_bulk(spark, four):
+    wide = [(1, [[{"lng": float(x), "lat": float(y)} for x, y in ((-100, 0), (0, -1), (100, 0), (0, 50), (-100, 0))]])]
+    polygons = spark.createDataFrame(wide, "polygon_id int, rings array<array<struct<lng:double,lat:double>>>")
+    with pytest.raises(Exception, match="180 degrees"):
+        spatial.within_totals(four, polygons).collect()
+
+
 def shapes():
     rng = random.Random(3)
     for k in range(30):
@@ -176,7 +200,7 @@ def test_within_join(spark, skewed, max_bytes, crowd_rows):
     polygons = spark.createDataFrame(table, "polygon_id int, rings array<array<struct<lng:double,lat:double>>>")
     wanted = {k: [i for i, _, x, y in skewed if inside(rings, x, y)] for k, rings in shapes()}
     totals = {r["polygon_id"]: r["count"] for r in spatial.within_totals(rows, polygons, max_bytes).collect()}
-    assert totals == {k: len(v) for k, v in wanted.items() if v}
+    assert totals == {k: len(v) for k, v in wanted.items()}
     firsts = {}
     for r in spatial.within_join(rows, polygons, 20, max_bytes, crowd_rows).orderBy("polygon_id", "rank").collect():
         firsts.setdefault(r["polygon_id"], []).append(r["id"])

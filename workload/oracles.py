@@ -95,7 +95,7 @@ _POINT_REASON = """CASE k % 61 WHEN 1 THEN 'lat:missing' WHEN 2 THEN 'lat:not_nu
     WHEN 8 THEN 'radius:range' WHEN 9 THEN 'radius:range' WHEN 10 THEN 'radius:missing' WHEN 11 THEN 'species:range'
     WHEN 12 THEN 'species:range' WHEN 13 THEN 'species:not_integer' WHEN 14 THEN 'type:unknown'
     WHEN 15 THEN 'limit:range' WHEN 16 THEN 'limit:range' WHEN 17 THEN 'limit:range' WHEN 18 THEN 'limit:not_integer'
-    WHEN 19 THEN 'limit:not_integer' WHEN 20 THEN 'lat:not_finite' WHEN 21 THEN 'lng:not_finite'
+    WHEN 19 THEN 'limit:not_integer' WHEN 24 THEN 'limit:range' WHEN 20 THEN 'lat:not_finite' WHEN 21 THEN 'lng:not_finite'
     WHEN 22 THEN 'lng:missing' WHEN 23 THEN 'radius:not_numeric' END"""
 
 REQ = f"""{C}, tid AS (SELECT list(species_id ORDER BY species_id) AS ids FROM c WHERE list_contains(types, '{TYPE}')),
@@ -111,12 +111,12 @@ req AS (SELECT k AS query_id, reason, q_lng, q_lat, radius_m, lim,
     CASE WHEN by_type AND one IS NOT NULL THEN list_filter(ids, lambda i: i = one)
          WHEN by_type THEN ids WHEN one IS NOT NULL THEN [one] END AS ids FROM r0, tid)"""
 
-_FAULTS = "11, 12, 13, 14, 15, 16, 17, 18, 19, 21, 22, 23, 24"
+_FAULTS = "11, 12, 13, 14, 15, 16, 17, 18, 19, 21, 22, 23, 24, 26"
 _POLYGON_REASON = """CASE k % 50 WHEN 11 THEN 'body:not_an_object' WHEN 12 THEN 'body:not_an_object'
     WHEN 13 THEN 'type:not_polygon' WHEN 14 THEN 'rings:missing' WHEN 15 THEN 'rings:missing' WHEN 16 THEN 'ring:size'
     WHEN 17 THEN 'ring:open' WHEN 18 THEN 'position:range' WHEN 19 THEN 'position:range'
     WHEN 21 THEN 'position:not_numeric' WHEN 22 THEN 'position:shape' WHEN 23 THEN 'vertices:too_many'
-    WHEN 24 THEN 'body:not_an_object' END"""
+    WHEN 24 THEN 'body:not_an_object' WHEN 26 THEN 'polygon:too_wide' END"""
 
 SHAPE = f"""p0 AS (SELECT s_suppkey AS k, CAST(-74 AS DOUBLE) + CAST(k * 53 % 256 AS DOUBLE)/1024 + CAST(1 AS DOUBLE)/2048 AS x,
     CAST(40.5 AS DOUBLE) + CAST(k * 29 % 200 AS DOUBLE)/1024 + CAST(1 AS DOUBLE)/2048 AS y,
@@ -145,19 +145,22 @@ x1 AS (SELECT e, copy, 'part' || lpad(CAST(e // 4096 AS VARCHAR), 6, '0') AS par
     CASE WHEN e % 50 = 7 THEN 'blank' WHEN e % 29 = 3 THEN 'invalid' ELSE 'doc' END AS status,
     CASE WHEN copy = 1 AND e % 40 <> 0 THEN 'c' ELSE '0' END || lpad(printf('%x', e), 23, '0') AS id,
     CASE WHEN e % 41 = 5 THEN NULL WHEN e % 43 = 6 THEN CASE WHEN e % 2 = 0 THEN 0 ELSE 152 END
-         WHEN e % 47 = 8 OR e % 53 = 9 OR e % 59 = 10 THEN NULL ELSE species_id END AS sp,
-    CASE WHEN e % 41 = 5 THEN NULL WHEN e % 43 = 6 THEN CASE WHEN e % 2 = 0 THEN '0' ELSE '152' END
-         WHEN e % 47 = 8 THEN '~' || species_id WHEN e % 53 = 9 THEN '~' || species_id || '.0'
-         WHEN e % 59 = 10 THEN '~true' ELSE CAST(species_id AS VARCHAR) END AS sp_text,
+         WHEN e % 47 = 8 OR e % 53 = 9 AND copy = 0 OR e % 53 <> 9 AND e % 59 = 10 AND copy = 0 THEN NULL
+         WHEN e % 53 <> 9 AND e % 59 = 10 THEN 1 ELSE species_id END AS sp,
+    CASE WHEN e % 41 = 5 THEN NULL WHEN e % 43 = 6 THEN CASE WHEN e % 2 = 0 THEN 0 ELSE 152 END
+         WHEN e % 47 = 8 OR e % 53 = 9 THEN species_id WHEN e % 59 = 10 THEN 1 ELSE species_id END AS sp_value,
+    e % 41 <> 5 AND e % 43 <> 6 AND e % 47 = 8 AS sp_is_text,
     CASE WHEN e % 71 = 3 THEN 'None' ELSE source END AS source, lng AS lng0, lat AS lat0,
     CASE WHEN e % 37 <> 4 THEN 'ok' ELSE ['sin_location', 'cero_cero', 'fuera_de_rango', 'fuera_de_rango',
         'no_numerico_o_nulo', 'no_numerico_o_nulo', 'coordinates_malformado', 'tipo_no_point', 'nan',
         'no_numerico_o_nulo'][e // 37 % 10 + 1] END AS category,
-    CASE WHEN e % 37 <> 4 THEN lng ELSE [NULL, 0, 200, 10, NULL, NULL, NULL, NULL, NULL, NULL][e // 37 % 10 + 1] END AS rlng,
-    CASE WHEN e % 37 <> 4 THEN lat ELSE [NULL, 0, 10, 95, NULL, NULL, NULL, NULL, NULL, NULL][e // 37 % 10 + 1] END AS rlat,
+    CASE WHEN e % 37 <> 4 THEN lng ELSE [NULL, 0, 181 + e % 100, lng, NULL, NULL, NULL, NULL, NULL, NULL][e // 37 % 10 + 1] END AS rlng,
+    CASE WHEN e % 37 <> 4 THEN lat ELSE [NULL, 0, lat, -91 - e % 50, NULL, NULL, NULL, NULL, NULL, NULL][e // 37 % 10 + 1] END AS rlat,
     CASE WHEN e % 31 <> 2 THEN CASE WHEN e % 73 = 4 THEN strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S.%g') || '+02:00'
               ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' END
-         WHEN e // 31 % 5 = 0 THEN 'no-date' WHEN e // 31 % 5 = 4 THEN '12:00:00' END AS dtext,
+         WHEN e // 31 % 6 = 0 THEN 'no-date' WHEN e // 31 % 6 = 4 THEN '12:00:00'
+         WHEN e // 31 % 6 = 5 THEN strftime(ts + CASE WHEN e % 73 = 4 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END, '%Y-%m-%dT%H:%M:%S')
+             || ' Europe/Madrid' END AS dtext,
     CASE WHEN e % 31 <> 2 THEN date_trunc('milliseconds', ts) END AS utc,
     CASE WHEN e % 61 <> 1 THEN strftime(appeared_local + CASE WHEN e % 67 = 2 THEN INTERVAL 7 MINUTE ELSE INTERVAL 0 MINUTE END,
         '%H:%M:%S') END AS ltime,
@@ -197,8 +200,7 @@ def later(view: str, keys: str, name: str) -> str:
 # ---- spots ----------------------------------------------------------------------------------------------------------
 
 SPOT = f"""{S}, sp0 AS (SELECT *, e AS line, CAST(epoch_us(appeared_utc) // 1000000 AS BIGINT) AS tsec,
-    (CAST(round_even(lng * 1000000, 0) AS BIGINT) + 180000000) * 361000001
-        + CAST(round_even(lat * 1000000, 0) AS BIGINT) + 90000000 AS point FROM s),
+    CAST(round_even(lng * 1000000, 0) AS BIGINT) || ',' || CAST(round_even(lat * 1000000, 0) AS BIGINT) AS point FROM s),
 sp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY species_id, point, tsec ORDER BY line) AS dr FROM sp0)
     WHERE dr = 1)"""
 VIEW = f"""{SPOT}, v AS (SELECT *, 'complete' AS view FROM sp UNION ALL SELECT *, 'prefix' FROM sp WHERE line < {PREFIX}
@@ -321,7 +323,8 @@ ORACLES = {
     "within_total": with_(INSIDE, "SELECT count(*) AS total FROM inside"),
     "within_join": with_(f"{S}, {SHAPE}", "SELECT polygon_id, CAST(r AS INT) AS rank, id, species_id FROM (SELECT k AS polygon_id, id, "
                          "species_id, row_number() OVER (PARTITION BY k ORDER BY id) AS r FROM pin) WHERE r <= 200"),
-    "within_totals": with_(f"{S}, {SHAPE}", "SELECT k AS polygon_id, count(*) AS count FROM pin GROUP BY k"),
+    "within_totals": with_(f"{S}, {SHAPE}", "SELECT p1.k AS polygon_id, count(pin.id) AS count FROM p1 LEFT JOIN pin ON pin.k = p1.k "
+                            "WHERE reason IS NULL AND p1.k % 10 <> 9 GROUP BY p1.k"),
     "within_top_species": with_(INSIDE, "SELECT species_id, count(*) AS count FROM inside GROUP BY species_id "
                                         "ORDER BY count DESC, species_id LIMIT 5"),
     "species_filter_type": with_(f"{S}, {C}", "SELECT s.species_id, count(*) AS count FROM s JOIN c ON c.species_id = s.species_id "
@@ -360,26 +363,26 @@ ORACLES = {
         PARTITION BY dim ORDER BY count DESC, value) AS r FROM (SELECT dim, value, CAST(sum(count) AS BIGINT) AS count FROM freq
         GROUP BY dim, value)) WHERE r <= 5"""),
     "profile_dups": with_(RAW, f"SELECT part, coalesce(dup_id, 0) AS dup_id, dup_event FROM "
-                               f"{later('doc', 'sp_text, rlng, rlat, date', 'dup_event')} LEFT JOIN {later('doc', 'id', 'dup_id')} USING (part)"),
+                               f"{later('doc', 'sp_value, sp_is_text, rlng, rlat, date', 'dup_event')} LEFT JOIN {later('doc', 'id', 'dup_id')} USING (part)"),
     "profile_sample": with_(f"{RAW}, smp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY line) AS nth "
                             f"FROM doc) WHERE nth <= {SAMPLE})",
                             f"""SELECT part, rows, coords_ok, date_min, date_max, dup_event, coords_ok - dup_event AS usable FROM (
         SELECT part, count(*) AS rows, count(*) FILTER (WHERE category = 'ok') AS coords_ok, min(date) AS date_min, max(date) AS date_max FROM smp
-        GROUP BY part) JOIN {later('smp', 'sp_text, rlng, rlat, date', 'dup_event')} USING (part)"""),
+        GROUP BY part) JOIN {later('smp', 'sp_value, sp_is_text, rlng, rlat, date', 'dup_event')} USING (part)"""),
     "profile_offsets": with_(RAW, "SELECT count(offset_min) AS offsets, count(*) FILTER (WHERE offset_min % 15 <> 0) AS odd_offsets FROM doc "
                                   "WHERE date IS NOT NULL"),
     "bad_examples": with_(RAW, """SELECT part, CAST(r AS INT) AS rank, example FROM (SELECT part,
         row_number() OVER (PARTITION BY part ORDER BY line) AS r, CASE e // 29 % 4 WHEN 2 THEN '[1]' WHEN 3 THEN '5'
         WHEN 1 THEN replace(head, '"', '''') ELSE head END AS example FROM (SELECT *, substr('{"_id":{"$oid":"' || id || '"}'
         || CASE WHEN e % 41 = 5 THEN '' WHEN e % 43 = 6 THEN ',"pokemonId":' || sp WHEN e % 47 = 8 THEN
-            ',"pokemonId":"' || substr(sp_text, 2) || '"' WHEN sp IS NULL THEN ',"pokemonId":' || substr(sp_text, 2)
+            ',"pokemonId":"' || sp_value || '"' WHEN sp IS NULL THEN ',"pokemonId":' || CASE WHEN e % 53 = 9 THEN sp_value || '.0' ELSE 'true' END
             ELSE ',"pokemonId":' || sp END
         || CASE WHEN e % 71 = 3 THEN '' ELSE ',"source":"' || source || '"' END || ',"appearedOn":'
-        || CASE WHEN e % 31 <> 2 OR e // 31 % 5 IN (0, 4) THEN '{"$date":"' || dtext || '"}'
-            WHEN e // 31 % 5 = 1 THEN '{}' WHEN e // 31 % 5 = 2 THEN 'null' ELSE '12345' END
+        || CASE WHEN e % 31 <> 2 OR e // 31 % 6 IN (0, 4, 5) THEN '{"$date":"' || dtext || '"}'
+            WHEN e // 31 % 6 = 1 THEN '{}' WHEN e // 31 % 6 = 2 THEN 'null' ELSE '12345' END
         || CASE WHEN ltime IS NULL THEN '' ELSE ',"localTime":"' || ltime || '"' END
         || CASE WHEN e % 37 = 4 AND e // 37 % 10 = 0 THEN ',"__v":0}' ELSE ',"location":{"type":"' || CASE WHEN e % 37 = 4 AND
-            e // 37 % 10 = 7 THEN 'Polygon' ELSE 'Point' END || '","coordinates":[' END, 1, 120) AS head
+            e // 37 % 10 = 7 THEN 'LineString' ELSE 'Point' END || '","coordinates":[' END, 1, 120) AS head
         FROM raw WHERE status = 'invalid')) WHERE r <= 3"""),
     "point_stats": with_(ALL + POINTS, "SELECT sightings, distinct_points, max_at_point, mean_per_point, pct_in_repeated_points, "
                                        "pct_points_seen_once FROM ps"),
@@ -414,3 +417,5 @@ ORACLES = {
         CAST(NULL AS INT) AS attack, CAST(NULL AS INT) AS defense, CAST(p_partkey % 70 AS INT) AS special_attack,
         CAST(NULL AS INT) AS special_defense, CAST(p_partkey % 90 AS INT) AS speed FROM part""",
 }
+# Other physical forms of the same joins.
+ORACLES |= {f"{name}_shuffled": ORACLES[name] for name in ("near_join", "within_join")}

@@ -233,6 +233,14 @@ def near_join(spark, sf):
     return found.select("query_id", "rank", "id", "species_id", "distance_m")
 
 
+@query
+def near_join_shuffled(spark, sf):
+    """The same by the other physical form: nothing broadcast, and cells of 50 rows already thinned."""
+    rows = fx.sightings(spark, sf).select("id", "species_id", "lng", "lat")
+    found = spatial.near_join(rows, _point_queries(spark, sf), max_bytes=0, crowd_rows=50)
+    return found.select("query_id", "rank", "id", "species_id", "distance_m")
+
+
 @query
 def within(spark, sf):
     found = spatial.within(fx.sightings(spark, sf), POLYGON, limit=100)
@@ -261,6 +269,13 @@ def within_join(spark, sf):
     return found.select("polygon_id", "rank", "id", "species_id")
 
 
+@query
+def within_join_shuffled(spark, sf):
+    rows = fx.sightings(spark, sf).select("id", "species_id", "lng", "lat")
+    found = spatial.within_join(rows, _polygons(spark, sf), 200, max_bytes=0, crowd_rows=50)
+    return found.select("polygon_id", "rank", "id", "species_id")
+
+
 @query
 def within_totals(spark, sf):
     return spatial.within_totals(fx.sightings(spark, sf), _polygons(spark, sf))
