@@ -58,13 +58,13 @@ class Tree:
         if len(rows) > least:
             for _ in range(3):
                 direction = rng.normal(size=rows.shape[1])
-                direction /= np.linalg.norm(direction)
+                direction = (direction / np.linalg.norm(direction)).astype(np.float32)
                 at = rows @ direction
                 threshold = float(np.median(at))
                 left, right = at <= threshold + spill, at >= threshold - spill
                 # A crowd of near copies lies within the spill; splitting it again would only repeat it.
                 if max(left.sum(), right.sum()) < 0.85 * len(rows):
-                    self.directions[node], self.thresholds[node] = direction.astype(np.float32), threshold
+                    self.directions[node], self.thresholds[node] = direction, threshold
                     self.children[node] = (self.grow(rows[left], least, spill, rng), self.grow(rows[right], least, spill, rng))
                     return node
         self.leaf[node] = self.next_leaf
@@ -197,7 +197,8 @@ def near_duplicates(embeddings: DataFrame, limit: float = 0.93) -> DataFrame:
     total = groups.count()
     chosen = groups.filter(F.pmod(F.xxhash64("vec"), F.lit(1 << 20)) <= F.lit(int((1 << 20) * min(1.0, 1.2 * SAMPLE / max(1, total)))))
     sample = chosen.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("label", "vector").toArrow()
-    x, labels = _unit(sample.column("vector").combine_chunks(), size) if total else np.zeros((0, size)), np.asarray(sample.column("label"))
+    x = _unit(sample.column("vector").combine_chunks(), size).astype(np.float32) if total else np.zeros((0, size), dtype=np.float32)
+    labels = np.asarray(sample.column("label"))
     forest, _ = fit_forest({int(v): x[labels == v] for v in np.unique(labels)}, len(x) / max(1, total))
     shared = embeddings.sparkSession.sparkContext.broadcast(forest)
     routed = materialize(groups.select("vec", "weight", "label", "vector").mapInArrow(

@@ -254,8 +254,10 @@ def train(docs: DataFrame, max_docs: int = 400, max_windows: int = 1500) -> Fiel
     At most ``max_windows`` different windows are used, and their variants; windows without a match keep ordinary words outside.
     """
     text = F.col("text").cast("string").alias("text")
-    sample = (docs.select(text, F.xxhash64("doc_id", text).alias("h")).filter(F.col("text").rlike("[0-9@]"))
-              .orderBy("h").limit(max_docs).select("text"))
+    hashed = docs.select(text, F.xxhash64("doc_id", text).alias("h")).filter(F.col("text").rlike("[0-9@]"))
+    # The bound on the hash is found without texts; only the texts below it are read again.
+    highest = hashed.select("h").distinct().orderBy("h").limit(max_docs).agg(F.max("h")).first()[0]
+    sample = hashed.filter(F.col("h") <= highest if highest is not None else F.lit(False)).dropDuplicates(["h"]).select("text")
     rows = (sample.mapInArrow(_window_rows, "words array<string>, tags array<int>").distinct()
             .orderBy(F.xxhash64("words"), "words", "tags").limit(max_windows).toArrow())
     windows = list(zip(rows.column("words").to_pylist(), rows.column("tags").to_pylist()))
