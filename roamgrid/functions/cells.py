@@ -45,18 +45,21 @@ def degree_cell(lng: Column, lat: Column) -> Column:
     return F.concat_ws(",", F.floor(lat), F.floor(lng))
 
 
-# An id below 192 is one bit of three longs. The sets merge with bit_or in fixed-width hash-aggregate buffers, so an
-# exact distinct count needs neither the row expansion of count(distinct) nor a second shuffle by id.
+# An id from 0 to 191 is one bit of three longs. The sets merge with bit_or in fixed-width hash-aggregate buffers, so an
+# exact distinct count needs neither the row expansion of count(distinct) nor a second shuffle by id. Other ids are counted
+# apart by ``with_species_count`` and added.
 _WORDS = 3
 
 
+def _bitless(species: Column) -> Column:
+    return (species < 0) | (species >= 64 * _WORDS)
+
+
 def species_bits(species: Column) -> list[Column]:
-    """Row-level set words of one species id; an id outside the supported domain is an error, not a wrong count."""
+    """Row-level set words of one species id; an id outside 0..191 sets no bit."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), species.cast("int"))
     words = [F.when((species >= 64 * w) & (species < 64 * (w + 1)), bit).otherwise(F.lit(0).cast("long"))
              for w in range(_WORDS)]
-    outside = (species < 0) | (species >= 64 * _WORDS)
-    words[-1] = F.when(outside, F.raise_error(F.lit("species_id outside 0..191")).cast("long")).otherwise(words[-1])
     return [w.alias(f"_s{i}") for i, w in enumerate(words)]
 
 
@@ -72,3 +75,17 @@ def count_bits() -> Column:
     for i in range(1, _WORDS):
         total = total + F.bit_count(f"_s{i}")
     return total.cast("long")
+
+
+def with_species_count(groups: DataFrame, rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``groups`` (``keys`` and merged words) with the exact number of distinct ids of ``rows`` in each.
+
+    The ids without a bit are read by a filter on ``species_id``, which files answer by their statistics where there are none;
+    they are combined per group and id before they are counted.
+    """
+    found = rows.filter(_bitless(F.col("species_id"))).groupBy(*keys, "species_id").agg(F.lit(1).alias("_one"))
+    others = found.groupBy(*keys).agg(F.count(F.lit(1)).alias("_others")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_others")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    joined = groups.join(others, same, "left").withColumn(name, count_bits() + F.coalesce("_others", F.lit(0)))
+    return joined.drop("_others", *[f"_k{i}" for i in range(len(keys))], *[f"_s{i}" for i in range(_WORDS)])

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roamgrid.functions.cells import cell_center, cell_id, cell_polygon, count_bits, merge_bits, species_bits, to_point, with_cell
+from roamgrid.functions.cells import (cell_center, cell_id, cell_polygon, merge_bits, species_bits, to_point, with_cell,
+                                      with_species_count)
 from roamgrid.operators.spatial import within_totals
 from roamgrid.schemas import GRID_DEG, MAX_HOTSPOTS
 from roamgrid.session import BROADCAST_ROWS
@@ -23,7 +24,8 @@ def agg_grid(df: DataFrame, deg: float = GRID_DEG) -> DataFrame:
         F.count(F.lit(1)).alias("n"), *merge_bits(species_bits(F.col("species_id"))))
     cells = points.groupBy("cx", "cy").agg(
         F.sum("n").alias("count"), F.count(F.lit(1)).alias("distinct_points"), *merge_bits())
-    shaped = cell_center(cells.withColumn("species", count_bits()).withColumn("cell_id", cell_id()), deg)
+    counted = with_species_count(cells, placed, ["cx", "cy"], "species")
+    shaped = cell_center(counted.withColumn("cell_id", cell_id()), deg)
     return shaped.select("cell_id", "cx", "cy", "count", "species", "distinct_points", "location", "lng_c", "lat_c")
 
 
@@ -32,7 +34,7 @@ def grid_bench(df: DataFrame, deg: float = GRID_DEG) -> DataFrame:
     placed = with_cell(df.select("lng", "lat", "species_id"), deg)
     cells = placed.groupBy("cx", "cy").agg(
         F.count(F.lit(1)).alias("size"), *merge_bits(species_bits(F.col("species_id"))))
-    return cells.select("cx", "cy", "size", count_bits().alias("nunique"))
+    return with_species_count(cells, placed, ["cx", "cy"], "nunique").select("cx", "cy", "size", "nunique")
 
 
 def grid_fingerprint(df: DataFrame, deg: float = GRID_DEG) -> DataFrame:

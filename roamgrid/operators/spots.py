@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roamgrid.functions.bands import VISIT_BANDS, gap_band, point_key, visits_band
-from roamgrid.functions.cells import count_bits, merge_bits, species_bits
+from roamgrid.functions.cells import merge_bits, species_bits, with_species_count
 from roamgrid.operators.quantiles import exact_quantiles
 from roamgrid.session import materialize
 from roamgrid.sources.catalog import catalog_side, type_flag
@@ -52,7 +52,8 @@ def point_summary(rows: DataFrame, by: list[str] | None = None) -> DataFrame:
     """All metrics over visits per point: A17, A18 and A25 in two combining aggregates."""
     by = by or []
     points = rows.groupBy(*by, "point").agg(F.count(F.lit(1)).alias("n"), *merge_bits(species_bits(F.col("species_id"))))
-    points = points.select(*by, "n", count_bits().alias("distinct_species"), visits_band(F.col("n")).alias("band"))
+    points = with_species_count(points, rows, [*by, "point"], "distinct_species").select(
+        *by, "n", "distinct_species", visits_band(F.col("n")).alias("band"))
     n, distinct, again = F.col("n"), F.col("distinct_species"), F.col("n") >= 2
     totals = points.groupBy(*by).agg(
         F.sum(n).alias("sightings"), F.count(F.lit(1)).alias("distinct_points"),

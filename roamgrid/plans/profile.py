@@ -10,7 +10,6 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamgrid.functions.documents import valid_species
 from roamgrid.operators import profile, spots
 from roamgrid.operators.cleaning import judged
 from roamgrid.session import materialize, use_utc
@@ -31,9 +30,9 @@ def profile_quality(raw: DataFrame, out: str, sample: int = 500_000, k: int = 12
 
 def profile_spots(raw: DataFrame, catalog: DataFrame, out: str, type_name: str = "water", prefix: int = 500_000,
                   stride: int = 4) -> dict[str, DataFrame]:
-    """Placed and dated documents with a species of the domain; the quality profile counts the others."""
-    documents = judged(with_line_numbers(raw)).filter((F.col("status") == "doc") & valid_species(F.col("species_id")))
-    placed = documents.dropna(subset=["lng", "lat", "appeared_utc"])
+    """Placed and dated documents with any species id."""
+    documents = judged(with_line_numbers(raw)).filter(F.col("status") == "doc")
+    placed = documents.dropna(subset=["lng", "lat", "appeared_utc", "species_id"])
     rows, counts = spots.stage_views(placed, catalog, type_name, prefix, stride)
     tables = {"views": spots.view_metrics(rows, counts), "histogram": spots.point_histogram(rows, ["view"]),
               "gap_rates": spots.gap_rates(counts, ["view"])}

@@ -24,18 +24,17 @@ def read_clean(spark: SparkSession, path: str, columns: list[str] | None = None)
 
 
 def to_documents(clean: DataFrame) -> DataFrame:
-    """Clean rows in the document shape: GeoJSON point, local date; no local timestamp."""
+    """Clean rows in the document shape: GeoJSON point, local date; no local timestamp. The coordinates also stand flat, as files have
+    statistics only of flat columns."""
     return clean.select(
-        F.col("id").alias("_id"), "species_id", "source", to_point("lng", "lat").alias("location"), "appeared_utc",
+        F.col("id").alias("_id"), "species_id", "source", to_point("lng", "lat").alias("location"), "lng", "lat", "appeared_utc",
         local_date(F.col("appeared_local")).alias("local_date"), "local_hour", "local_dow")
 
 
 def from_documents(documents: DataFrame) -> DataFrame:
-    """Sightings with flat coordinates, as the operators take them."""
-    coordinates = F.col("location.coordinates")
+    """Sightings as the operators take them; filters on them reach the scan."""
     return documents.select(
-        F.col("_id").alias("id"), "species_id", "source", coordinates[0].alias("lng"), coordinates[1].alias("lat"),
-        "appeared_utc", "local_date", "local_hour", "local_dow")
+        F.col("_id").alias("id"), "species_id", "source", "lng", "lat", "appeared_utc", "local_date", "local_hour", "local_dow")
 
 
 def _has_files(spark: SparkSession, path: str) -> bool:
@@ -63,7 +62,7 @@ def load_sightings(spark: SparkSession, clean_path: str, target: str, replace: b
         known = spark.read.parquet(target).select(F.col("_id").alias("known"))
         unique = unique.join(known, F.col("id").eqNullSafe(F.col("known")), "left_anti")
     new = materialize(unique, "load")
-    to_documents(new).write.mode("overwrite" if replace else "append").parquet(target)
+    write_clustered(to_documents(new), target, by="_id", mode="overwrite" if replace else "append")
     return load_report(rows, new)
 
 
@@ -87,12 +86,13 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
-def write_clustered(df: DataFrame, path: str, deg: float = GRID_DEG, parts: int | None = None) -> None:
+def write_clustered(df: DataFrame, path: str, deg: float = GRID_DEG, parts: int | None = None, by: str = "id",
+                    mode: str = "overwrite") -> None:
     """Write sightings ordered by cell, so that box and species filters skip files and row groups by their statistics.
 
-    The id closes the range key: a cell with any share of the rows is spread over as many files as it needs.
+    The id ``by`` closes the range key: a cell with any share of the rows is spread over as many files as it needs.
     """
-    key = ["cx", "cy", "species_id", "id"]
+    key = ["cx", "cy", "species_id", by]
     placed = with_cell(df, deg)
     ranged = placed.repartitionByRange(*key) if parts is None else placed.repartitionByRange(parts, *key)
-    ranged.sortWithinPartitions(*key).drop("cx", "cy").write.mode("overwrite").parquet(path)
+    ranged.sortWithinPartitions(*key).drop("cx", "cy").write.mode(mode).parquet(path)

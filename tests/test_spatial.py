@@ -224,6 +224,21 @@ def test_boxes_reach_the_scan(spark, skewed, tmp_path):
     assert hot > 1  # a crowded cell is spread over several files
 
 
+def test_boxes_reach_the_scan_of_loaded_documents(spark, skewed, tmp_path):
+    rows = spark.createDataFrame(skewed, "id string, species_id int, lng double, lat double").selectExpr(
+        "id", "species_id", "'S' AS source", "lng", "lat", "TIMESTAMP'2024-01-01 00:00:00' AS appeared_utc",
+        "TIMESTAMP'2024-01-01 00:00:00' AS appeared_local", "0 AS local_hour", "0 AS local_dow")
+    clean, target = str(tmp_path / "clean"), str(tmp_path / "documents")
+    store.write_clean(rows, clean)
+    store.load_sightings(spark, clean, target)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10000)
+    found = spatial.near(store.from_documents(spark.read.parquet(target)), lng=2.3522, lat=48.8566, radius_m=500, species=3, limit=1000)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert all(x in pushed for x in ("GreaterThanOrEqual(lat", "LessThanOrEqual(lat", "GreaterThanOrEqual(lng", "EqualTo(species_id"))
+    assert found.count() == sum(s == 3 and meters(2.3522, 48.8566, x, y) <= 500 for _, s, x, y in skewed)
+
+
 def test_hotspots_break_ties_as_listed(spark, two):
     rows = [(f"a{i}", s, 0.005, 0.005) for i, s in enumerate([16, 16, 19, 19])] + [("b", 16, 1.005, 0.005)]
     df = spark.createDataFrame(rows, "id string, species_id int, lng double, lat double")
@@ -235,7 +250,9 @@ def test_hotspots_break_ties_as_listed(spark, two):
     assert [r["rank"] for r in listings.list_hotspots(grid.hotspots(df, two), 1).collect()] == [1]
 
 
-def test_species_out_of_the_set_domain_is_an_error(spark):
-    df = spark.createDataFrame([("a", 500, 0.0, 1.0)], "id string, species_id int, lng double, lat double")
-    with pytest.raises(Exception, match="species_id outside"):
-        grid.grid_bench(df).collect()
+def test_any_species_id_is_counted(spark):
+    ids_ = [500, 500, -4, 191, 192, 0, 63, 64, 127, 128, 2**31 - 1, 5, 5]
+    rows = [(f"a{i}", s, 0.005, 0.005) for i, s in enumerate(ids_)] + [("b", 7, 1.005, 0.005), ("c", 900, 2.005, 0.005)]
+    df = spark.createDataFrame(rows, "id string, species_id int, lng double, lat double")
+    assert {(r["cx"], r["size"], r["nunique"]) for r in grid.grid_bench(df).collect()} == {(0, 13, 11), (100, 1, 1), (200, 1, 1)}
+    assert {(r["cx"], r["species"]) for r in grid.agg_grid(df).collect()} == {(0, 11), (100, 1), (200, 1)}

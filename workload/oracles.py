@@ -313,6 +313,9 @@ ORACLES = {
                                 f"list_contains(types, '{TYPE}')) ORDER BY distance_m, id LIMIT 200"),
     "geonear": with_(NEAR, f"SELECT {record(True)} FROM (SELECT * FROM f0 ORDER BY distance_m, id LIMIT 1000) f "
                            "LEFT JOIN c ON c.species_id = f.species_id"),
+    "near_documents": with_(f"{RAW}, one AS (SELECT DISTINCT id, lng, lat FROM good), d AS (SELECT *, {_D0} AS distance_m FROM one)",
+                            f"SELECT id, lng, lat, round(distance_m, 1) AS distance_m FROM (SELECT * FROM d WHERE distance_m <= {RADIUS_M} "
+                            "ORDER BY distance_m, id LIMIT 1000)"),
     "near_join": with_(f"{S}, {REQ}", f"""SELECT query_id, CAST(r AS INT) AS rank, id, species_id, round(d, 1) AS distance_m FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, id) AS r FROM (
             SELECT query_id, lim, radius_m, id, species_id, {haversine("q_lng", "q_lat", "lng", "lat")} AS d

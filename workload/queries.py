@@ -509,6 +509,16 @@ def load_report(spark, sf):
     return both.filter(F.col("input_file").isNull()).select("step", "rows", "inserted", "duplicate_ids")
 
 
+@query
+def near_documents(spark, sf):
+    """A search of the table that the load writes: its box reaches the scan of clustered files."""
+    clean_path, target = work_path(spark, "clean"), work_path(spark, "target")
+    store.write_clean(_clean(spark, sf), clean_path)
+    store.load_sightings(spark, clean_path, target)
+    found = spatial.geonear(store.from_documents(spark.read.parquet(target)), radius_m=RADIUS_M, limit=1000, **CENTER)
+    return found.select("id", "lng", "lat", "distance_m")
+
+
 @query
 def slim_catalog(spark, sf):
     rows = cat.slim_catalog(fx.species_responses(spark, sf))
