@@ -93,9 +93,10 @@ def edge_north_of(edge, x: Column, tan_lat: Column) -> Column:
     return (x >= w) & (x < e) & (tan_lat < at_x)
 
 
-def contains(edges: Column, origin: Column, lng: Column, tan_lat: Column) -> Column:
+def contains(edges: Column, whole: Column, origin: Column, lng: Column, tan_lat: Column) -> Column:
+    """Whether an odd number of edges passes north of a point; ``whole`` is what the edges left out add up to."""
     x = relative_lng(lng, origin)
-    return F.aggregate(edges, F.lit(False), lambda odd, e: odd != edge_north_of(e, x, tan_lat))
+    return F.aggregate(edges, whole, lambda odd, e: odd != edge_north_of(e, x, tan_lat))
 
 
 def contains_constant(edges: list[dict], origin: float, lng: Column, lat: Column) -> Column:
@@ -128,11 +129,13 @@ def prepare_polygons(polygons: DataFrame) -> DataFrame:
     """Replace ``rings`` by ``origin, edges`` and a bounding box that includes the bulge of the edges."""
     with_origin = polygons.withColumn("origin", F.col("rings")[0][0]["lng"])
     with_edges = compute_once(with_origin, edges=polygon_edges(F.col("rings"), F.col("origin"))).drop("rings")
+    ranged = F.transform("edges", lambda e: e.withField("top", _edge_top(e, 1)).withField("low", _edge_top(e, -1)))
+    with_edges = compute_once(with_edges, edges=ranged)
     edges = F.col("edges")
     return compute_once(
         with_edges,
-        south=F.array_min(F.transform(edges, lambda e: _edge_top(e, -1))) - _PAD,
-        north=F.array_max(F.transform(edges, lambda e: _edge_top(e, 1))) + _PAD,
+        south=F.array_min(F.transform(edges, lambda e: e["low"])) - _PAD,
+        north=F.array_max(F.transform(edges, lambda e: e["top"])) + _PAD,
         west=F.col("origin") + F.array_min(F.transform(edges, lambda e: e["w"])) - _PAD,
         east=F.col("origin") + F.array_max(F.transform(edges, lambda e: e["e"])) + _PAD)
 
@@ -158,22 +161,24 @@ class Level:
         return self.key(cx, F.floor((lat + 90) / F.lit(self.deg)))
 
 
-# Small boxes use small cells: candidates stay close to matches, and a box covers about a dozen cells. Only boxes wider
-# than three of the largest cells cover more, at most the whole largest lattice.
-LEVELS = [Level(0, 0.02), Level(1, 0.1), Level(2, 0.5)]
-# One step finer for the same boxes: a few hundred cells per box, for counts rather than rows.
-FINE_LEVELS = [Level(3, 0.004), Level(0, 0.02), Level(1, 0.1)]
+# Small boxes use small cells: candidates stay close to matches, and a box covers about a dozen cells. Boxes from 1.5 to 15
+# degrees cover up to 1,000 cells, wider ones at most the 2,592 cells of the whole largest lattice.
+LEVELS = [Level(0, 0.02), Level(1, 0.1), Level(2, 0.5), Level(4, 5.0)]
+_WIDEST = [3 * LEVELS[0].deg, 3 * LEVELS[1].deg, 30 * LEVELS[2].deg]
+# One step finer for the same boxes, for counts rather than rows: some hundred cells per box, and for a circle at a pole,
+# which is 360 degrees wide and less than one high, about 1,500.
+FINE_LEVELS = [Level(3, 0.004), Level(0, 0.02), Level(1, 0.1), Level(2, 0.5)]
 
 
 def box_level() -> Column:
     """Lattice level for the box columns of a row."""
     span = F.greatest(F.col("north") - F.col("south"), F.col("east") - F.col("west"))
-    return F.when(span <= 3 * LEVELS[0].deg, 0).when(span <= 3 * LEVELS[1].deg, 1).otherwise(2)
+    return reduce(lambda level, i: F.when(span <= _WIDEST[i], i).otherwise(level), reversed(range(len(_WIDEST))), F.lit(len(_WIDEST)))
 
 
 def _by_level(levels: list[Level], make) -> Column:
-    choice = F.when(F.col("level") == 0, make(levels[0])).when(F.col("level") == 1, make(levels[1]))
-    return choice.otherwise(make(levels[2]))
+    return reduce(lambda other, i: F.when(F.col("level") == i, make(levels[i])).otherwise(other),
+                  range(len(levels) - 1), make(levels[-1]))
 
 
 def with_box_range(boxes: DataFrame, levels: list[Level] = LEVELS) -> DataFrame:
@@ -199,6 +204,32 @@ def cover_cells(ranged: DataFrame, levels: list[Level] = LEVELS) -> DataFrame:
     return cells.withColumn("cell", key).drop("level", "cx0", "cx1", "cy0", "cy1", "across", "cells")
 
 
+def cell_edges(edges: Column, origin: Column) -> tuple[Column, Column]:
+    """What of a polygon the cell ``cx, cy, deg`` of its cover needs: a start value for the count of edges north of a point, and
+    the edges that still have to be looked at.
+
+    Edges beside or south of the cell never count. If no edge comes down to the cell, it is inside or outside as a whole, as its
+    middle is, and needs no edges. Otherwise edges north of it that span all its columns are counted beforehand.
+    """
+    middle = F.col("cx") * F.col("deg") - 180 - origin + F.col("deg") / 2
+    x0, x1 = middle - F.col("deg") / 2 - _PAD, middle + F.col("deg") / 2 + _PAD
+    south = F.col("cy") * F.col("deg") - 90 - _PAD
+    north = south + F.col("deg") + 2 * _PAD
+
+    def counts(e: Column) -> Column:
+        return (e["w"] < e["e"]) & (e["w"] < x1) & (e["e"] > x0) & (e["top"] >= south)
+
+    def always(e: Column) -> Column:
+        return (e["w"] <= x0) & (e["e"] >= x1) & (e["low"] > north)
+
+    # A meridian edge never counts, but it can divide a cell.
+    crossed = F.exists(edges, lambda e: (e["w"] < x1) & (e["e"] > x0) & (e["top"] >= south) & (e["low"] <= north))
+    at_middle = F.size(F.filter(edges, lambda e: counts(e) & (e["w"] <= middle) & (middle < e["e"]))) % 2 == 1
+    whole = F.size(F.filter(edges, lambda e: counts(e) & always(e))) % 2 == 1
+    return (F.when(crossed, whole).otherwise(at_middle),
+            F.when(crossed, F.filter(edges, lambda e: counts(e) & ~always(e))).otherwise(F.slice(edges, 1, 0)))
+
+
 def farthest_m(lng: Column, lat: Column) -> Column:
     """Distance from a point to the farthest corner of the cell ``cx, cy, deg``; no place in the cell is farther."""
     west, south = F.col("cx") * F.col("deg") - 180, F.col("cy") * F.col("deg") - 90

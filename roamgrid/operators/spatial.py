@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roamgrid.functions import geodesy as G
+from roamgrid.functions.once import compute_once
 from roamgrid.operators.requests import check_polygons, reject_self_intersections
 from roamgrid.schemas import DEFAULT_LIMIT, MAX_LIMIT, MAX_RADIUS_M, MAX_SPECIES, MIN_SPECIES
 from roamgrid.session import materialize
@@ -172,14 +173,14 @@ class _Cover:
         return df.withColumn("cell", keys[0] if len(keys) == 1 else F.explode(F.array(*keys)))
 
 
-def _cell_join(df: DataFrame, cover: _Cover, salt_by: list[str]) -> DataFrame:
+def _cell_join(df: DataFrame, cover: _Cover, salt_by: list[str], cells: DataFrame | None = None) -> DataFrame:
     """Pair every sighting with the boxes whose cells cover it: an equi-join on the lattice cell.
 
     The request side is broadcast when the checked size of its cover allows; sightings are then never shuffled. Beyond
     it both sides are shuffled by cell, and a cell that holds more than 1/2000 of all sightings is split by a salt, so
     that no task receives more than about that share.
     """
-    points, cells = cover.place(df), cover.cells().drop("cx", "cy", "deg")
+    points, cells = cover.place(df), (cover.cells() if cells is None else cells).drop("cx", "cy", "deg")
     if cover.small:
         return points.join(F.broadcast(cells), "cell")
     share = max(1, df.count() // _HOT_SHARES)
@@ -286,12 +287,16 @@ def polygon_pairs(df: DataFrame, polygons: DataFrame, max_bytes: int = BROADCAST
     too_wide = F.raise_error(F.concat(F.lit("polygon of 180 degrees or more, see check_polygons: "), F.col("polygon_id").cast("string")))
     prepared = materialize(G.prepare_polygons(polygons).withColumn(
         "east", F.when(width < 180 + 2 * G._PAD, F.col("east")).otherwise(too_wide.cast("double"))), "polygons")
-    cover = _Cover.of(prepared, F.lit(_POLYGON_ROW_BYTES) + F.size("edges") * _EDGE_BYTES, max_bytes)
-    pairs = _cell_join(df.withColumn("_tan", F.tan(F.radians("lat"))), cover, salt_by or ["id"])
-    box = {k: F.col(k) for k in ("south", "north", "west", "east")}
-    boxed = pairs.filter(G.in_box(F.col("lng"), F.col("lat"), box))
-    inside = boxed.filter(G.contains(F.col("edges"), F.col("origin"), F.col("lng"), F.col("_tan")))
-    return inside.select("polygon_id", *df.columns)
+    # Most cells need the few edges above their columns, counted twice here for the upper and the lower side.
+    columns = F.col("cx1") - F.col("cx0") + 1
+    edge_bytes = F.least(F.size("edges"), 4 + 2 * F.size("edges") / columns) * _EDGE_BYTES
+    cover = _Cover.of(prepared, F.lit(_POLYGON_ROW_BYTES) + edge_bytes, max_bytes)
+    whole, touched = G.cell_edges(F.col("edges"), F.col("origin"))
+    cells = compute_once(cover.cells(), _whole=whole, _touched=touched).filter("_whole or size(_touched) > 0").select(
+        "cell", "cx", "cy", "deg", "polygon_id", "origin", "_whole", "_touched")
+    pairs = _cell_join(df.withColumn("_tan", F.tan(F.radians("lat"))), cover, salt_by or ["id"], cells)
+    inside = G.contains(F.col("_touched"), F.col("_whole"), F.col("origin"), F.col("lng"), F.col("_tan"))
+    return pairs.filter(inside).select("polygon_id", *df.columns)
 
 
 def within_join(df: DataFrame, polygons: DataFrame, limit: int = DEFAULT_LIMIT, max_bytes: int = BROADCAST_BYTES,

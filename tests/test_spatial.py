@@ -143,6 +143,28 @@ def test_near_join(spark, skewed, max_bytes, crowd_rows):
         assert got.get(q, []) == [i for d, i in away if d <= radius][:limit], q
 
 
+def test_covers_are_small_and_hold_few_edges(spark):
+    """A polygon 170 degrees wide with 500 vertices: few cells, no edges in the inner ones, and right answers."""
+    n = 249
+    top = [(-85 + 170 * i / n, 60 + 10 * math.sin(i)) for i in range(n + 1)]
+    ring = top + [(x, -y) for x, y in reversed(top)]
+    ring = [*ring, ring[0]][:501]
+    ring[-1] = ring[0]
+    table = spark.createDataFrame([(1, [[{"lng": x, "lat": y} for x, y in ring]])],
+                                  "polygon_id int, rings array<array<struct<lng:double,lat:double>>>")
+    prepared = spatial.G.prepare_polygons(table)
+    cells = spatial.G.cover_cells(spatial.G.with_box_range(prepared))
+    whole, touched = spatial.G.cell_edges(F.col("edges"), F.col("origin"))
+    rows = cells.select(whole.alias("whole"), F.size(touched).alias("edges")).collect()
+    assert len(rows) < 10_000 and sum(r["whole"] and not r["edges"] for r in rows) > 300
+    assert sum(r["edges"] for r in rows) < 20 * len(ring)
+    rng = random.Random(5)
+    points = [(f"q{i:04}", 1, rng.uniform(-95, 95), rng.uniform(-80, 80)) for i in range(1500)]
+    df = spark.createDataFrame(points, "id string, species_id int, lng double, lat double")
+    got = sorted(r["id"] for r in spatial.polygon_pairs(df, table).select("id").collect())
+    assert got == [i for i, _, x, y in points if inside([ring], x, y)]
+
+
 def test_high_limits_are_honoured(spark):
     rows = spark.range(3000).select(F.format_string("p%05d", "id").alias("id"), F.lit(1).alias("species_id"), F.lit(5.0).alias("lng"),
                                     (F.col("id") / 1e6).alias("lat"))
