@@ -58,11 +58,10 @@ def profile_rows(raw: DataFrame) -> DataFrame:
     return rows.withColumns({"lng": F.when(located, F.col("lng")), "lat": F.when(located, F.col("lat"))})
 
 
-def profile_files(rows: DataFrame) -> DataFrame:
-    """Counters and extremes per file."""
+def _counters() -> list[Column]:
     status, ok = F.col("status"), F.col("category") == "ok"
     is_doc = status == "doc"
-    return rows.groupBy("file").agg(
+    return [
         F.count_if(is_doc).alias("rows"), F.count_if(status == "blank").alias("blank"),
         F.count_if(status == "invalid").alias("invalid_json"),
         F.count_if(is_doc & ~D.valid_species(F.col("species_id"))).alias("id_invalid"),
@@ -71,7 +70,28 @@ def profile_files(rows: DataFrame) -> DataFrame:
         F.min("date").alias("date_min"), F.max("date").alias("date_max"),
         F.min(F.when(ok, F.col("lat"))).alias("lat_min"), F.max(F.when(ok, F.col("lat"))).alias("lat_max"),
         F.min(F.when(ok, F.col("lng"))).alias("lng_min"), F.max(F.when(ok, F.col("lng"))).alias("lng_max"),
-    )
+    ]
+
+
+
+def profile_files(rows: DataFrame) -> DataFrame:
+    """Counters and extremes per file."""
+    return rows.groupBy("file").agg(*_counters())
+
+
+def _summed(per_file: DataFrame, *columns: str) -> DataFrame:
+    """One row with the sums over files."""
+    return per_file.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in columns]).withColumn("_one", F.lit(1))
+
+
+def profile_totals(rows: DataFrame, sample: DataFrame | None = None) -> DataFrame:
+    """The total row of the profile: counters and extremes over all files, repeated ids and events, and, with the table of
+    ``profile_sample``, its totals in columns ``sample_*``."""
+    total = rows.agg(*_counters()).withColumn("_one", F.lit(1)).join(_summed(profile_dups(rows), "dup_id", "dup_event"), "_one")
+    if sample is not None:
+        counted = ["rows", "coords_ok", "dup_event", "usable"]
+        total = total.join(_summed(sample, *counted).withColumnsRenamed({c: f"sample_{c}" for c in counted}), "_one")
+    return total.drop("_one")
 
 
 def profile_freq(rows: DataFrame) -> DataFrame:
@@ -92,13 +112,19 @@ def profile_freq(rows: DataFrame) -> DataFrame:
     return long.groupBy("file", "dim", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
-def top_k(freq: DataFrame, k: int) -> DataFrame:
-    """The most common values of every frequency table over all files, ties by value."""
-    total = freq.groupBy("dim", "value").agg(F.sum("count").alias("count"))
-    common = Window.partitionBy("dim").orderBy(F.desc("count"), "value")
+def top_k(freq: DataFrame, k: int, by: tuple[str, ...] = (), least: bool = False) -> DataFrame:
+    """The most common (or least common) values of every frequency table, ties by value: over all files, or ``by`` file."""
+    total = freq.groupBy(*by, "dim", "value").agg(F.sum("count").alias("count"))
+    order = F.asc("count") if least else F.desc("count")
+    common = Window.partitionBy(*by, "dim").orderBy(order, "value")
     return total.withColumn("rank", F.row_number().over(common)).filter(F.col("rank") <= k)
 
 
+def cells_with_data(freq: DataFrame) -> DataFrame:
+    """Number of one-degree cells that hold a placed document of any file."""
+    return freq.filter(F.col("dim") == "cell").select("value").distinct().agg(F.count(F.lit(1)).alias("cells"))
+
+
 def later_occurrences(rows: DataFrame, kinds: dict[str, list[str]]) -> DataFrame:
     """Per file, one column per kind of key: rows whose key occurred before, in an earlier file or higher up in the
     same one. A key of a single column counts only where it is set.

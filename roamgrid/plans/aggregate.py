@@ -14,7 +14,7 @@ from roamgrid.operators.grid import agg_grid, check_invariants, hotspots
 from roamgrid.operators.species import agg_species_hour, agg_type, species_from_hours
 from roamgrid.operators.temporal import agg_time
 from roamgrid.schemas import GRID_DEG, MAX_HOTSPOTS
-from roamgrid.session import use_utc
+from roamgrid.session import drop_intermediate, use_utc
 from roamgrid.sources.catalog import read_catalog
 from roamgrid.sources.store import from_documents, write_table
 
@@ -57,6 +57,7 @@ def main() -> None:
     sightings = from_documents(spark.read.parquet(args.documents))
     for name, table in aggregate(sightings, read_catalog(spark, args.catalog), args.out, args.deg, args.top).items():
         print(f"{name}: {table.count():,} rows")
+    drop_intermediate(spark)
 
 
 if __name__ == "__main__":

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roamgrid.operators.cleaning import clean_rows, dedup, judged
 from roamgrid.functions.documents import REASONS
-from roamgrid.session import materialize, use_utc
+from roamgrid.session import drop_intermediate, materialize, use_utc
 from roamgrid.sources.raw import read_raw, scan_plan, split_table, stride_sample, with_line_numbers
 from roamgrid.sources.store import read_clean, write_clean
 
@@ -55,6 +55,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = SparkSession.builder.appName("roamgrid-ingest").getOrCreate()
     ingest(spark, args.raw_glob, args.out, args.stride, args.parts).show(truncate=False)
+    drop_intermediate(spark)
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from roamgrid.session import use_utc
+from roamgrid.session import drop_intermediate, use_utc
 from roamgrid.sources.store import load_sightings
 
 
@@ -21,6 +21,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = use_utc(SparkSession.builder.appName("roamgrid-load").getOrCreate())
     load_sightings(spark, args.clean, args.documents, args.replace).orderBy("input_file").show(truncate=False)
+    drop_intermediate(spark)
 
 
 if __name__ == "__main__":

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from roamgrid.operators import profile, spots
 from roamgrid.operators.cleaning import judged
-from roamgrid.session import materialize, use_utc
+from roamgrid.session import drop_intermediate, materialize, use_utc
 from roamgrid.sources.catalog import read_catalog
 from roamgrid.sources.raw import read_raw, with_line_numbers
 from roamgrid.sources.store import write_table
@@ -22,10 +22,12 @@ def profile_quality(raw: DataFrame, out: str, sample: int = 500_000, k: int = 12
     """The text is parsed once; every table reads the staged rows."""
     rows = materialize(profile.profile_rows(raw), "profile")
     freq = write_table(profile.profile_freq(rows), out, "frequencies")
-    tables = {"files": profile.profile_files(rows), "top": profile.top_k(freq, k), "dups": profile.profile_dups(rows),
-              "sample": profile.profile_sample(rows, sample), "offsets": profile.profile_offsets(rows),
-              "examples": profile.bad_examples(rows)}
-    return {"frequencies": freq} | {name: write_table(df, out, name) for name, df in tables.items()}
+    sampled = write_table(profile.profile_sample(rows, sample), out, "sample")
+    tables = {"files": profile.profile_files(rows), "top": profile.top_k(freq, k), "top_files": profile.top_k(freq, k, ("file",)),
+              "rare": profile.top_k(freq, k, least=True), "cells": profile.cells_with_data(freq), "dups": profile.profile_dups(rows),
+              "offsets": profile.profile_offsets(rows), "examples": profile.bad_examples(rows),
+              "totals": profile.profile_totals(rows, sampled)}
+    return {"frequencies": freq, "sample": sampled} | {name: write_table(df, out, name) for name, df in tables.items()}
 
 
 def profile_spots(raw: DataFrame, catalog: DataFrame, out: str, type_name: str = "water", prefix: int = 500_000,
@@ -56,6 +58,7 @@ def main() -> None:
     for name, table in tables.items():
         print(name)
         table.show(20, truncate=False)
+    drop_intermediate(spark)
 
 
 if __name__ == "__main__":

@@ -52,9 +52,22 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/roamgrid-{name}-{uuid.uuid4().hex}"
 
 
+# Intermediate tables of this process, for ``drop_intermediate``.
+_WRITTEN: list[str] = []
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Delete the intermediate tables that this process has written. For the end of a job: nothing may read them any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while _WRITTEN:
+        path = hadoop(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, for inputs that several aggregates reuse."""
     path = work_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -120,3 +120,16 @@ def test_profiles(spark, raw, tmp_path):
     # The document with species 0 is a sighting of the profile too; only a missing id is not.
     assert views == {"complete": 41, "prefix": 20, "stride": 8}
     assert spots["histogram"].count() == 18
+
+
+def test_intermediate_tables_can_be_dropped(spark):
+    from roamgrid import session
+
+    table = session.materialize(spark.range(5), "gone")
+    path = session._WRITTEN[-1]
+    assert table.count() == 5 and spark.read.parquet(path).count() == 5
+    kept, session._WRITTEN[:] = session._WRITTEN[:-1], [path]
+    session.drop_intermediate(spark)
+    session._WRITTEN[:] = kept
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

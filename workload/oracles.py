@@ -365,6 +365,12 @@ ORACLES = {
     "top_k_freq": with_(FREQ, """SELECT dim, value, count, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (
         PARTITION BY dim ORDER BY count DESC, value) AS r FROM (SELECT dim, value, CAST(sum(count) AS BIGINT) AS count FROM freq
         GROUP BY dim, value)) WHERE r <= 5"""),
+    "top_k_files": with_(FREQ, """SELECT part, dim, value, count, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (
+        PARTITION BY part, dim ORDER BY count DESC, value) AS r FROM freq) WHERE r <= 3"""),
+    "least_freq": with_(FREQ, """SELECT dim, value, count, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (
+        PARTITION BY dim ORDER BY count, value) AS r FROM (SELECT dim, value, CAST(sum(count) AS BIGINT) AS count FROM freq
+        GROUP BY dim, value)) WHERE r <= 4"""),
+    "profile_cells": with_(FREQ, "SELECT count(DISTINCT value) AS cells FROM freq WHERE dim = 'cell'"),
     "profile_dups": with_(RAW, f"SELECT part, coalesce(dup_id, 0) AS dup_id, dup_event FROM "
                                f"{later('doc', 'sp_value, sp_is_text, rlng, rlat, date', 'dup_event')} LEFT JOIN {later('doc', 'id', 'dup_id')} USING (part)"),
     "profile_sample": with_(f"{RAW}, smp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY line) AS nth "
@@ -422,3 +428,11 @@ ORACLES = {
 }
 # Other physical forms of the same joins.
 ORACLES |= {f"{name}_shuffled": ORACLES[name] for name in ("near_join", "within_join")}
+ORACLES["profile_totals"] = (
+    "SELECT * FROM (SELECT CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(blank) AS BIGINT) AS blank, CAST(sum(invalid_json) AS BIGINT) AS invalid_json, "
+    "CAST(sum(id_invalid) AS BIGINT) AS id_invalid, CAST(sum(no_date) AS BIGINT) AS no_date, CAST(sum(bad_date) AS BIGINT) AS bad_date, "
+    "min(date_min) AS date_min, max(date_max) AS date_max, min(lat_min) AS lat_min, max(lat_max) AS lat_max, min(lng_min) AS lng_min, "
+    f"max(lng_max) AS lng_max FROM ({ORACLES['profile_files']})), "
+    f"(SELECT CAST(sum(dup_id) AS BIGINT) AS dup_id, CAST(sum(dup_event) AS BIGINT) AS dup_event FROM ({ORACLES['profile_dups']})), "
+    "(SELECT CAST(sum(rows) AS BIGINT) AS sample_rows, CAST(sum(coords_ok) AS BIGINT) AS sample_coords_ok, CAST(sum(dup_event) AS BIGINT) AS "
+    f"sample_dup_event, CAST(sum(usable) AS BIGINT) AS sample_usable FROM ({ORACLES['profile_sample']}))")

@@ -391,6 +391,27 @@ def top_k_freq(spark, sf):
     return profile.top_k(profile.profile_freq(_profile(spark, sf)), 5)
 
 
+@query
+def top_k_files(spark, sf):
+    return _part(profile.top_k(profile.profile_freq(_profile(spark, sf)), 3, ("file",)))
+
+
+@query
+def least_freq(spark, sf):
+    return profile.top_k(profile.profile_freq(_profile(spark, sf)), 4, least=True)
+
+
+@query
+def profile_cells(spark, sf):
+    return profile.cells_with_data(profile.profile_freq(_profile(spark, sf)))
+
+
+@query
+def profile_totals(spark, sf):
+    rows = _profile(spark, sf)
+    return profile.profile_totals(rows, profile.profile_sample(rows, SAMPLE))
+
+
 @query
 def profile_dups(spark, sf):
     return _part(profile.profile_dups(_profile(spark, sf)))
