@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,19 +81,19 @@ def profile_files(rows: DataFrame) -> DataFrame:
     return rows.groupBy("file").agg(*_counters())
 
 
-def _summed(per_file: DataFrame, *columns: str) -> DataFrame:
-    """One row with the sums over files."""
-    return per_file.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in columns]).withColumn("_one", F.lit(1))
+def _summed(per_file: DataFrame, names: dict[str, str]) -> DataFrame:
+    """One row with the sums over files, renamed."""
+    return per_file.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(n) for c, n in names.items()])
 
 
 def profile_totals(rows: DataFrame, sample: DataFrame | None = None) -> DataFrame:
     """The total row of the profile: counters and extremes over all files, repeated ids and events, and, with the table of
-    ``profile_sample``, its totals in columns ``sample_*``."""
-    total = rows.agg(*_counters()).withColumn("_one", F.lit(1)).join(_summed(profile_dups(rows), "dup_id", "dup_event"), "_one")
+    ``profile_sample``, its totals in columns ``sample_*``. The single rows of the parts are stacked and folded into one."""
+    parts = [rows.agg(*_counters()), _summed(profile_dups(rows), {c: c for c in ("dup_id", "dup_event")})]
     if sample is not None:
-        counted = ["rows", "coords_ok", "dup_event", "usable"]
-        total = total.join(_summed(sample, *counted).withColumnsRenamed({c: f"sample_{c}" for c in counted}), "_one")
-    return total.drop("_one")
+        parts.append(_summed(sample, {c: f"sample_{c}" for c in ("rows", "coords_ok", "dup_event", "usable")}))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def profile_freq(rows: DataFrame) -> DataFrame:
