@@ -31,6 +31,7 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"\S+")
+_AT = re.compile(r"@|\[at\]|\(at\)", re.IGNORECASE)
 
 
 def _luhn(digits: str) -> bool:
@@ -216,6 +217,10 @@ def _tagged(text: str) -> tuple[list[str], list[int]]:
     return words, tags
 
 
+_NAMES = ("ann", "jane.doe", "jane_doe", "jane-doe")
+_HOSTS = tuple(host + end for end in ("", ".", ",") for host in ("example.org", "mail.example.com", "my-host.example.org"))
+
+
 def _variants(words: list[str], tags: list[int]) -> Iterator[tuple[list[str], list[int]]]:
     """The window in other spellings; only for whole matches inside it."""
     phone, email, card = 7, 1, 5
@@ -235,6 +240,18 @@ def _variants(words: list[str], tags: list[int]) -> Iterator[tuple[list[str], li
             yield words[:i] + [".".join(words[i:end])] + words[end:], tags[:i] + [card] + tags[end:]
 
 
+def _lettered(words: list[str], tags: list[int]) -> Iterator[tuple[list[str], list[int]]]:
+    """The window with spelled-out addresses of letters only in place of a whole match, also alone, and with an "at" that has no host."""
+    for i, tag in enumerate(tags):
+        if tag == 1 and tags[i + 1: i + 2] != [2] and words[i].count("@") == 1:
+            for at in ("[at]", "(at)"):
+                for n, host in enumerate(_HOSTS):
+                    spelled = [_NAMES[n % len(_NAMES)], at, host]
+                    yield spelled, [1, 2, 2]
+                    yield words[:i] + spelled + words[i + 1:], tags[:i] + [1, 2, 2] + tags[i + 1:]
+                yield words[:i] + ["was", at, "home"] + words[i + 1:], tags[:i] + [0, 0, 0] + tags[i + 1:]
+
+
 def _window_rows(batches: Iterator[pa.RecordBatch], around: int = 4) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         rows = []
@@ -261,7 +278,9 @@ def train(docs: DataFrame, max_docs: int = 400, max_windows: int = 1500) -> Fiel
     rows = (sample.mapInArrow(_window_rows, "words array<string>, tags array<int>").distinct()
             .orderBy(F.xxhash64("words"), "words", "tags").limit(max_windows).toArrow())
     windows = list(zip(rows.column("words").to_pylist(), rows.column("tags").to_pylist()))
-    return fit([*windows, *(v for w, t in windows for v in _variants(w, t))])
+    # The field sees shapes only, so one window of equal shapes is enough of these.
+    lettered = {(*map(shape, w), *t): (w, t) for window in windows for w, t in _lettered(*window)}
+    return fit([*windows, *(v for w, t in windows for v in _variants(w, t)), *lettered.values()])
 
 
 class _Codes(dict):
@@ -306,17 +325,20 @@ class Finder:
 
     @staticmethod
     def _added(text: str, tags: np.ndarray, base: list) -> list[tuple[int, int, int]]:
-        found = []
+        found, before = [], None
         for tag, m in zip(tags.tolist(), _WORD.finditer(text)):
             if tag:
                 kind = (tag - 1) // 2
                 if tag % 2 == 0 and found and found[-1][0] == kind and found[-1][3]:
                     found[-1] = (kind, found[-1][1], m.end(), True)
                 else:
-                    found.append((kind, m.start(), m.end(), True))
+                    # A name of unknown shape is outside for the field; it stands before the "at".
+                    named = kind == 0 and before is not None and _AT.fullmatch(m[0])
+                    found.append((kind, before if named else m.start(), m.end(), True))
             elif found:
                 found[-1] = (*found[-1][:3], False)
-        # Punctuation around words belongs to the sentence; a span without a digit or an "at" is no personal data.
+            before = None if tag else m.start()
+        # Punctuation around words belongs to the sentence; a span without a digit is no personal data, but for an address with an "at".
         taken = sorted((s, e) for _, s, e in base)
         added = []
         for kind, start, end, _ in found:
@@ -325,7 +347,8 @@ class Finder:
             while start < end and not (text[start].isalnum() or text[start] in "(+"):
                 start += 1
             piece = text[start:end]
-            if any(c.isdigit() for c in piece) and all(e <= start or s >= end for s, e in taken):
+            told = any(c.isdigit() for c in piece) or (kind == 0 and _AT.search(piece))
+            if told and all(e <= start or s >= end for s, e in taken):
                 added.append((kind, start, end))
                 taken.append((start, end))
         return added

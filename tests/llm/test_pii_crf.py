@@ -94,3 +94,17 @@ def test_empty_and_unlabelled_tables(spark):
     assert pii_crf.spans(empty, pii_crf.train(empty)).count() == 0
     quiet = many(spark, ["no data here"] * 5)
     assert pii_crf.spans(quiet, pii_crf.train(quiet)).filter("spans <> ''").count() == 0
+
+
+def test_spelled_out_addresses_without_digits(spark):
+    texts = [f"call +1 ({100 + i}) 555-{1000 + i} or write ann.{i}@mail{i % 7}.example.com now" for i in range(40)]
+    new = {"write jane.doe [at] mail.example.com today": "write <email> today", "ann (at) example.org": "<email>",
+           "ask ann (at) example.org, or o'neil [AT] my-host.example.org.": "ask <email>, or <email>.",
+           "he was (at) home today": "he was (at) home today", "see foo (or) bar.com": "see foo (or) bar.com"}
+    docs = many(spark, texts + list(new))
+    field = pii_crf.train(docs)
+    got, texts = by_id(pii_crf.spans(docs, field)), by_id(pii_crf.mask(docs, field))
+    for i, (text, masked) in enumerate(new.items(), 40):
+        assert texts[i][0]["text"] == masked
+        assert got[i][0]["added"] == masked.count("<email>") and got[i][0]["n_email"] == 0
+    assert got[40][0]["spans"] == "email:6:36" and got[41][0]["spans"] == "email:0:20"
