@@ -70,41 +70,51 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text.cast("string")), F.lit(0)).cast("long") + 8
 
 
-def shuffle(rows: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
+def shuffle(rows: DataFrame, shards: int = SHARDS, seed: int = 0, stored: bool = False) -> DataFrame:
     """The input with ``shard`` and ``slot``: a uniform random arrangement, fixed by ``seed``, with shard sizes at most one apart.
 
-    ``rows`` needs ``doc_id``; it is written once, so pass only columns that are to be moved. Null ids share a part. The
+    ``rows`` needs ``doc_id``; it is written once, unless it is ``stored`` already and gives equal rows whenever it is read. All its columns are moved
+    twice, to the part and to the shard. Null ids share a part. The
     order of rows that are equal in all columns is arbitrary and makes no difference. Slots of a shard are counted per block of
     random keys and shifted by the blocks before, so no task holds a shard.
     """
     every = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    table = materialize(rows, "rows")
+    table = rows if stored else materialize(rows, "rows")
     parts = max(MIN_PARTS, -(-table.count() // PART_ROWS))
     keyed = table.select(every.alias("row"), F.pmod(F.xxhash64("doc_id", F.lit(seed), F.lit(1)), F.lit(parts)).cast("int").alias("part"),
                          F.xxhash64("doc_id", F.lit(seed), F.lit(2)).alias("key"), F.xxhash64(every, F.lit(3)).alias("tie"))
-    found = keyed.groupBy("part").count()
+    numbers = materialize(keyed.drop("row"), "numbers")
+    found = numbers.groupBy("part").count()
     counts = found.agg(F.map_from_entries(F.collect_list(F.struct("part", "count"))).alias("m")).select(
         F.expr(f"transform(sequence(0, {parts - 1}), p -> coalesce(m[p], 0L))").alias("n"))
     matrix = materialize(counts.select(F.posexplode(F.expr(matrix_sql("n", shards, seed))).alias("to_part", "to_shards")).withColumn(
         "ends", F.expr("transform(sequence(1, size(to_shards)), i -> aggregate(slice(to_shards, 1, i), 0L, (x, y) -> x + y))")), "matrix")
-    local = keyed.withColumn("at", F.row_number().over(W.partitionBy("part").orderBy("key", "tie")))
-    sent = local.join(matrix.select("to_part", "ends"), F.col("part") == F.col("to_part")).select(
-        "row", "tie", F.expr("size(filter(ends, e -> e < at))").alias("shard"),
-        F.xxhash64("key", "tie", F.lit(seed), F.lit(4)).alias("again"))
-    sent = sent.withColumn("block", F.pmod("again", F.lit(BLOCKS)).cast("int"))
-    sent = materialize(sent, "sent")
-    sizes = sent.groupBy("shard", "block").count()
+
+    def sent(some: DataFrame) -> DataFrame:
+        local = some.withColumn("at", F.row_number().over(W.partitionBy("part").orderBy("key", "tie")))
+        again = F.xxhash64("key", "tie", F.lit(seed), F.lit(4))
+        return local.join(matrix.select("to_part", "ends"), F.col("part") == F.col("to_part")).drop("to_part").withColumns({
+            "shard": F.expr("size(filter(ends, e -> e < at))"), "again": again,
+            "block": F.pmod(again, F.lit(BLOCKS)).cast("int")}).drop("ends", "at", "part", "key")
+
+    # Equal numbers are equal in all that follows, so the sizes of blocks are found without moving the rows.
+    sizes = materialize(sent(numbers).groupBy("shard", "block").count(), "sizes")
     before = F.sum("count").over(W.partitionBy("shard").orderBy("block").rowsBetween(W.unboundedPreceding, 0)) - F.col("count")
     offsets = sizes.select(F.col("shard").alias("s"), F.col("block").alias("b"), before.alias("offset"))
     inside = F.row_number().over(W.partitionBy("shard", "block").orderBy("again", "tie")) - 1
-    return sent.withColumn("inside", inside).join(
+    return sent(keyed).withColumn("inside", inside).join(
         offsets, (F.col("shard") == F.col("s")) & (F.col("block") == F.col("b"))).select(
         "row.*", "shard", (F.col("offset") + F.col("inside")).cast("long").alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = 0) -> DataFrame:
-    """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` of every document; null texts count as empty ones."""
-    narrow = docs.select("doc_id", text_size(F.col("text")).alias("size"),
-                         F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("text_crc32"))
-    return shuffle(narrow, shards, seed).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` of every document; null texts count as empty ones.
+
+    Whole documents go to their shards; size and checksum are of the texts that arrive. ``docs`` is read more than once, so it
+    must be a stored table.
+    """
+    whole = docs.select("doc_id", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+    text = F.col("document.text").cast("string")
+    return shuffle(whole, shards, seed, stored=True).select(
+        "doc_id", text_size(text).alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

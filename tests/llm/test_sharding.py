@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
-from edges import by_id, documents, many  # noqa: E402
+from edges import F, by_id, documents, many  # noqa: E402
 from roamgrid.llm import sharding  # noqa: E402
 
 
@@ -66,3 +66,23 @@ def test_awkward_rows(spark):
     assert got[13][0]["size"] == 8 + len(by_id(documents(spark))[13][0]["text"].encode()) and got[4][0]["text_crc32"] == 0
     assert all(r["grown_shard"] is None for rs in got.values() for r in rs)
     assert sharding.shard_documents(documents(spark, [])).count() == 0
+
+
+def test_whole_documents_are_moved(spark, monkeypatch):
+    """Size and checksum are of the texts that arrive, and every column goes along."""
+    docs, shuffle, moved = many(spark, [f"text {i}" for i in range(30)]), sharding.shuffle, []
+
+    def spoiled(rows, *args, **options):
+        moved.append(rows.schema["document"].dataType.names)
+        return shuffle(rows, *args, **options).withColumn("document", F.col("document").withField("text", F.lit("spoiled")))
+
+    monkeypatch.setattr(sharding, "shuffle", spoiled)
+    rows = sharding.shard_documents(docs).collect()
+    assert moved == [docs.columns] and len(rows) == 30
+    assert all(r["size"] == 15 and r["text_crc32"] == zlib.crc32(b"spoiled") for r in rows)
+
+
+def test_texts_cross_both_exchanges(spark):
+    plan = sharding.shard_documents(many(spark, ["a b", "c"]))._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len([line for line in windows if "row_number" in line]) == 2
