@@ -114,19 +114,42 @@ def _row_key(source: str, key: str, crc: str) -> Column:
                              F.col(source)).cast("binary"))
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The documents as they are trained on: a row per copy, all columns of the input, range-sorted by position.
+def _numbered(plan: DataFrame) -> DataFrame:
+    """The plan with the key of its row and the number among rows of that key."""
+    return plan.withColumn("__plan_key", _row_key("source", "key", "crc")).withColumn(
+        "__plan_nth", F.row_number().over(W.partitionBy("__plan_key").orderBy("size", F.desc("copies"), "positions")))
+
+
+def _copies(docs: DataFrame, numbered: DataFrame) -> DataFrame:
+    """A row per copy with the columns of ``docs``, ``__plan_key``, ``__plan_nth`` and ``__at``, range-sorted by position.
 
     A document finds its copies by a hash of id, text and source and by its number among rows that are equal in these. The window and
     the join use that one key, so texts are moved once for both and once more for the sort.
     """
-    plan = curriculum(docs, **options).withColumn("__plan_key", _row_key("source", "key", "crc")).withColumn(
-        "__plan_nth", F.row_number().over(W.partitionBy("__plan_key").orderBy("size", F.desc("copies"), "positions"))).filter(
-        "copies > 0").select("__plan_key", "__plan_nth", F.col("positions").alias("__plan_positions"))
+    plan = numbered.filter("copies > 0").select("__plan_key", "__plan_nth", F.col("positions").alias("__plan_positions"))
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     keyed = docs.withColumns({"__id": key, "__crc": F.crc32(F.col("text").cast("binary"))}).withColumn(
         "__key", _row_key("source", "__id", "__crc"))
     keyed = keyed.withColumn("__nth", F.row_number().over(W.partitionBy("__key").orderBy("__crc")))
     joined = keyed.join(plan, (F.col("__key") == F.col("__plan_key")) & (F.col("__nth") == F.col("__plan_nth")))
-    copies = joined.withColumn("__at", F.explode("__plan_positions")).orderBy("__at", "__key")
+    return joined.withColumn("__at", F.explode("__plan_positions")).orderBy("__at", "__key")
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The documents as they are trained on: a row per copy, all columns of the input, range-sorted by position."""
+    copies = _copies(docs, _numbered(curriculum(docs, **options)))
     return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, size, source_size, target, taken, copies, first_position`` of every row; the last three are of its copies in the mix.
+
+    The words are counted in the texts that come out of the range sort. Writing the counts keeps the sort in the plan.
+    """
+    plan = materialize(_numbered(curriculum(docs, **options)), "plan")
+    copies = materialize(_copies(docs, plan).select("__plan_key", "__plan_nth", "__at", words(F.col("text")).alias("words")), "copies")
+    found = copies.groupBy(F.col("__plan_key").alias("k"), F.col("__plan_nth").alias("n")).agg(
+        F.sum("words").alias("taken"), F.count("*").cast("int").alias("found"), F.min("__at").alias("first_position"))
+    joined = plan.join(found, (F.col("__plan_key") == F.col("k")) & (F.col("__plan_nth") == F.col("n")), "left")
+    return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+                         F.coalesce("found", F.lit(0)).alias("copies"), "first_position")

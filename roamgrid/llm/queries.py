@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roamgrid.llm import (embedding_forest, knn_join, minhash_dedup, mixing, packing, pii_crf, quality_gam, sharding,
                           toxicity_cnn, url_rules)
@@ -43,9 +42,7 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.curriculum(table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"),
-                       F.col("copies").cast("int").alias("copies"), F.get("positions", F.lit(0)).alias("first_position"))
+    return mixing.mixed_documents(table(spark, sf_dir, "documents"))
 
 
 @query

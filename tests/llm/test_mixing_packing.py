@@ -69,6 +69,18 @@ def test_mixture_repeats_and_sorts(spark, mixed):
     assert out.columns == mixed.columns and {i: len(rows.get(i, [])) for i in plan} == plan
 
 
+def test_documents_are_counted_in_the_mix(spark, mixed, monkeypatch):
+    for docs in (mixed, documents(spark)):
+        plan = mixing.curriculum(docs).selectExpr(
+            "doc_id", "size", "source_size", "target", "size * copies AS taken", "copies", "get(positions, 0) AS first_position")
+        assert same(mixing.mixed_documents(docs), plan)
+    whole = mixing._copies
+    monkeypatch.setattr(mixing, "_copies", lambda docs, plan: whole(docs, plan).filter("__at < 0.5"))
+    half = mixing.mixed_documents(mixed).collect()
+    early = {r["doc_id"]: sum(x < 0.5 for x in r["positions"]) for r in mixing.curriculum(mixed).collect()}
+    assert {r["doc_id"]: r["copies"] for r in half} == early and all(r["taken"] == r["size"] * r["copies"] for r in half)
+
+
 def test_mixing_awkward_rows(spark):
     docs = documents(spark)
     got = mixing.curriculum(docs).collect()
