@@ -100,6 +100,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), cluster.alias("cluster"),
         F.regexp_count(text, F.lit(WORD_SQL)).cast("long").alias("words")), "items")
     shards = max(1, -(-items.count() // shard_rows))
-    dealt = items.withColumns({"rest": F.col("words") % capacity, "hash": F.xxhash64("doc_id", "cluster")}).withColumn(
-        "shard", F.pmod(F.xxhash64("hash", F.lit(7)), F.lit(shards)).cast("int"))
+    hashed = items.withColumns({"rest": F.col("words") % capacity, "hash": F.xxhash64("doc_id", "cluster"),
+                                "nth": F.monotonically_increasing_id()})
+    # Rows equal in id and cluster that are more than a share of a shard are dealt in blocks of about that share.
+    share = max(1, shard_rows // 8)
+    crowded = hashed.groupBy(F.col("hash").alias("h")).count().filter(F.col("count") > share).select(
+        "h", F.ceil(F.col("count") / share).alias("blocks"))
+    dealt = hashed.join(crowded, F.col("hash") == F.col("h"), "left").withColumn("shard", F.pmod(
+        F.when(F.col("blocks").isNull(), F.xxhash64("hash", F.lit(7))).otherwise(
+            F.xxhash64("hash", F.lit(7), F.pmod(F.xxhash64("nth"), "blocks"))), F.lit(shards)).cast("int")).drop("h", "blocks", "nth")
     return dealt.groupBy("shard").applyInPandas(_pack_shard(capacity), _SCHEMA)

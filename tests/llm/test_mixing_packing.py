@@ -164,3 +164,14 @@ def test_packing_awkward_rows(spark):
     twice = packing.pack(documents(spark), capacity=1024).filter("doc_id = 11").collect()
     assert len(twice) == 2 and twice[0]["bin"] != twice[1]["bin"]
     assert packing.pack(documents(spark, [])).count() == 0
+
+
+def test_a_repeated_row_is_dealt_over_shards(spark):
+    row = (1, "one two three", "en", "a", 13, 0.5, "k", "c")
+    docs = documents(spark, [row] * 3000 + [(i, f"t{i}", "en", "b", 3, 0.5, "k", "c") for i in range(2, 202)])
+    pieces = packing.pack(docs, shard_rows=200).collect()
+    per_shard = {}
+    for p in pieces:
+        per_shard[p["shard"]] = per_shard.get(p["shard"], 0) + 1
+    assert len(pieces) == 3200 and max(per_shard.values()) < 800
+    assert len({(p["shard"], p["bin"]) for p in pieces if p["doc_id"] == 1}) == 3000
