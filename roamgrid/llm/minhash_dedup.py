@@ -224,6 +224,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     nodes = materialize(
         valid.join(node_of.withColumnsRenamed({"high": "h", "low": "l"}),
                    (F.col("high") == F.col("h")) & (F.col("low") == F.col("l")) & (F.col("doc_id") == F.col("node")))
+        # A repeated row is one node.
+        .groupBy("node", "high", "low").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
         .select("node", "n_shingles", "sketch"), "nodes")
 
     values = nodes.select("node", "n_shingles", F.explode("sketch").alias("value"))
@@ -242,6 +244,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     likely = materialize(wide.select("hub", "one", "two", "block", "node", "n_shingles", "sketch").mapInArrow(
         _candidates(k), "hub long, node long").distinct(), "likely")
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    # One text of each repeated row, taken among the few that are compared.
+    texts = texts.join(likely.select("node").distinct(), "node", "left_semi").withColumn("same", F.md5(F.col("text").cast("binary")))
+    texts = texts.dropDuplicates(["node", "same"]).drop("same")
     narrow = _blocked(likely.join(nodes.select("node", "n_shingles"), "node"))
     links = _tasks(narrow.join(texts, "node")).select("hub", "one", "two", "block", "node", "text").mapInArrow(
         _verify(width, percent, k), "u long, v long")

@@ -98,3 +98,16 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}, 300: 300, 301: 300}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_a_repeated_row_is_one_node_and_one_text(spark, monkeypatch):
+    from roamgrid.llm import minhash_dedup
+
+    base = words(1, 100)
+    rows = [(1, " ".join(base))] * 300 + [(2, " ".join([*base[:-1], "other"]))] * 200 + [(3, "a b c d e f")] * 50
+    seen, tasks = [], minhash_dedup._tasks
+    monkeypatch.setattr(minhash_dedup, "_tasks", lambda rows: seen.append(rows.count()) or tasks(rows))
+    got = by_id(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5))
+    assert {i: len(v) for i, v in got.items()} == {1: 300, 2: 200, 3: 50}
+    assert {i: {(r["component_id"], r["kept"]) for r in v} for i, v in got.items()} == {1: {(1, True)}, 2: {(1, False)}, 3: {(3, True)}}
+    assert seen == [2, 2]
