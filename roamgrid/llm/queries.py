@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roamgrid.llm import (embedding_forest, knn_join, minhash_dedup, mixing, packing, pii_crf, quality_gam, sharding,
-                          toxicity_cnn, url_rules)
+from roamgrid.llm import (embedding_forest, knn_join, minhash_dedup, mixing, packing, pii_crf, quality_gam, secret_entropy,
+                          sharding, toxicity_cnn, url_rules)
 from roamgrid.llm.oracles import ORACLES  # noqa: F401
 from roamgrid.llm.shared import table
 
@@ -68,3 +68,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@query
+def op13_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_entropy.scan(table(spark, sf_dir, "documents"))
