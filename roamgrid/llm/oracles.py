@@ -24,6 +24,34 @@ def _listed(column: str) -> str:
         for h, p, v in longest) + " END"
 
 
+def _crc32(text: str) -> str:
+    """The checksum of an ASCII text, as an unsigned number."""
+    byte_codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    eight = "list_reduce([xor(acc, b)] || range(8), lambda a, k: xor(a >> 1, 3988292384 * (a & 1)))"
+    return f"xor(list_reduce([4294967295::BIGINT] || {byte_codes}, lambda acc, b: {eight}), 4294967295)"
+
+
+# Best edits by state of the grammar, as texts of a nine-digit cost and the audit: the least text is the answer.
+_NEXT = (2, 2, 3, 2)
+
+
+def _after(state: str, cost: str, edit: str) -> str:
+    return f"lpad(CAST(CAST(substr({state}, 1, 9) AS INTEGER) + {cost} AS VARCHAR), 9, '0') || '{edit}' || substr({state}, 10)"
+
+
+def _repair_step() -> str:
+    """One turn ``x`` (``letter, cut``) before the costs ``acc``: first the turn's own edits, then insertions before it."""
+    keep = {0: "CASE x.letter WHEN 's' THEN acc.f1 WHEN 'u' THEN acc.f2 END", 1: "CASE x.letter WHEN 'u' THEN acc.f2 END",
+            2: "CASE x.letter WHEN 'a' THEN acc.f3 END", 3: "CASE x.letter WHEN 'u' THEN acc.f2 END"}
+    own = ", ".join(f"""f{q} := least({_after(f'acc.f{q}', '3', 'D')}, {_after(keep[q], 'x.cut', 'K')},
+        CASE WHEN x.letter <> 'x' THEN {_after(f'acc.f{_NEXT[q]}', '2 + x.cut', 'R')} END)""" for q in range(4))
+    more = "struct_pack(" + ", ".join(f"f{q} := least(g.f{q}, {_after(f'g.f{_NEXT[q]}', '2', 'I')})" for q in range(4)) + ")"
+    step = f"[struct_pack({own})]"
+    for _ in range(4):
+        step = f"list_transform({step}, lambda g: {more})"
+    return f"({step})[1]"
+
+
 _VALID = """embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
 
 ORACLES = {
@@ -106,4 +134,35 @@ ORACLES = {
     {_components('w', 'links')}
     SELECT w.id AS doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, p.component_id, p.component_id = w.id AS kept
     FROM w JOIN parts p ON p.id = w.id LEFT JOIN sizes s ON s.id = w.id""",
+    "op12_repair_dawg": f"""
+    WITH p AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+    d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM p WHERE kind <> 0),
+    r AS (SELECT *, row_number() OVER o AS pos, left(role, 1) AS initial, NOT regexp_matches(text, {_WORDS}) AS blank,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS seen,
+        NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut, lag(left(role, 1)) OVER o AS initial_before
+        FROM d WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+    l AS (SELECT *, CASE WHEN blank OR seen THEN 'x' WHEN initial IN ('s', 'u', 'a') THEN initial ELSE 'o' END AS letter FROM r),
+    c AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+        count_if(NOT blank AND seen) AS duplicate, count_if(NOT blank AND NOT seen AND cut) AS truncated,
+        count_if(initial_before IS NOT NULL AND initial_before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+        list(struct_pack(letter := letter, cut := CAST(cut AS INTEGER)) ORDER BY pos DESC) AS letters FROM l GROUP BY conv_id),
+    f AS (SELECT *, list_reduce(letters, lambda acc, x: {_repair_step()},
+        struct_pack(f0 := '000000000', f1 := '000000004II', f2 := '000000002I', f3 := '000000000')).f0 AS best FROM c),
+    e AS (SELECT conv_id, substr(best, 10) AS audit, generate_subscripts(string_split(substr(best, 10), ''), 1) AS i FROM f WHERE best <> '000000000'),
+    t AS (SELECT conv_id, i, substr(audit, i, 1) AS edit,
+        length(replace(left(audit, i), 'I', '')) AS pos, length(replace(left(audit, i), 'D', '')) AS out,
+        length(replace(audit, 'D', '')) % 2 AS has_system FROM e),
+    o AS (SELECT t.conv_id, t.out, CASE WHEN edit = 'K' THEN l.role WHEN (t.out - has_system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+        || CASE WHEN edit = 'I' THEN '' ELSE l.text END AS line
+        FROM t LEFT JOIN l ON l.conv_id IS NOT DISTINCT FROM t.conv_id AND l.pos = t.pos AND edit <> 'I' WHERE edit <> 'D'),
+    s AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY out)) AS repaired_sha256 FROM o GROUP BY conv_id),
+    every AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT k.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+        CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+        CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(CAST(substr(best, 1, 9) AS INTEGER), 0) AS BIGINT) AS cost,
+        coalesce(substr(best, 10), '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+    FROM every k LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM k.conv_id LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM k.conv_id""",
 }
