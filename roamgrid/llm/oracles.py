@@ -165,4 +165,27 @@ ORACLES = {
         CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(CAST(substr(best, 1, 9) AS INTEGER), 0) AS BIGINT) AS cost,
         coalesce(substr(best, 10), '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
     FROM every k LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM k.conv_id LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM k.conv_id""",
+    "op11_prefix_trie": f"""
+    WITH t AS (SELECT conv_id, words, print, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, print) AS k FROM (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(len(regexp_extract_all(text, {_WORDS})), 0) AS words,
+            sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS print
+        FROM conversations WHERE conv_id IS NOT NULL)),
+    c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM t),
+    heads AS (SELECT c.conv_id, t.k AS depth, print, words FROM c JOIN t ON t.conv_id = c.base AND t.k <= c.h),
+    r AS (SELECT * FROM heads UNION ALL
+        SELECT c.conv_id, t.k - c.h + (SELECT count(*) FROM heads WHERE heads.conv_id = c.conv_id), print, words
+        FROM c JOIN t ON t.conv_id = c.conv_id AND t.k > c.h),
+    p AS (SELECT conv_id, depth, words, string_agg(print, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM r
+        UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+    ends AS (SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256 FROM (
+        SELECT conv_id, max(path) AS path FROM p GROUP BY conv_id) GROUP BY path),
+    n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words FROM p GROUP BY path, depth),
+    m AS (SELECT *, CASE WHEN depth > 0 THEN left(path, CAST(64 * (depth - 1) AS INTEGER)) END AS above FROM n),
+    k AS (SELECT above, count(*) AS n_children FROM m WHERE depth > 0 GROUP BY above),
+    x AS (SELECT m.*, coalesce(n_children, 0) AS n_children FROM m LEFT JOIN k ON m.path = k.above)
+    SELECT a.conv_id, a.depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children,
+        (SELECT count(*) FROM x s WHERE starts_with(s.path, a.path) AND s.n_children = 0) AS n_leaves,
+        (SELECT CAST(sum((s.n_convs - 1) * s.words) AS BIGINT) FROM x s WHERE starts_with(s.path, a.path)) AS saved_tokens,
+        coalesce(ends_sha256, sha256('')) AS ends_sha256
+    FROM x a LEFT JOIN x b ON a.above = b.path LEFT JOIN ends ON ends.path = a.path""",
 }

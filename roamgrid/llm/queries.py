@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roamgrid.llm import (embedding_forest, knn_join, minhash_dedup, mixing, packing, pii_crf, quality_gam, repair_dawg,
-                          secret_entropy, sharding, toxicity_cnn, url_rules)
+from roamgrid.llm import (embedding_forest, knn_join, minhash_dedup, mixing, packing, pii_crf, quality_gam, prefix_trie,
+                          repair_dawg, secret_entropy, sharding, toxicity_cnn, url_rules)
 from roamgrid.llm.oracles import ORACLES  # noqa: F401
 from roamgrid.llm.shared import table
 
@@ -70,6 +70,11 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op12_repair_dawg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_dawg.damage_and_repair(table(spark, sf_dir, "conversations"))
