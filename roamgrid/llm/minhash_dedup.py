@@ -10,7 +10,7 @@
 3. The smallest node of a list is its hub, and the nodes of all lists of a hub are its group: nodes that share a list share a group,
    and the rows are linear in the lists. A group is cut into blocks of bounded rows, and pairs of blocks are tasks.
 4. Overlaps of sketches and the union-sketch estimate, as matrices in a task, leave the nodes that have a possible partner. Only
-   their texts are moved.
+   their texts are moved, and those that a bitmap of fixed size over the hashes of these nodes lets pass by chance.
 5. Full shingle sets verify the possible pairs that are not yet connected inside a task. No pairs are written: a task returns one row per
    node, the smallest node it is connected to, and the components of all tasks are joined.
 """
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roamgrid.llm.components import components
@@ -35,6 +35,8 @@ NEED = 15
 DEVIATIONS = 4.7
 BLOCK_ROWS = 2048
 BLOCK_SHINGLES = 1_500_000
+# Bits of the filter on texts: 8 MB in rows of 4 KB at any size of the input.
+FILTER_BITS = 1 << 26
 
 
 def _sketch_rows(width: int, k: int):
@@ -51,15 +53,21 @@ def _sketch_rows(width: int, k: int):
                 low.append((whole & ((1 << 64) - 1)) - (1 << 63))
                 sketches.append(shingles[:k])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()),
-                 pa.array(low, pa.int64()), long_list(sketches)], names=["doc_id", "n_shingles", "high", "low", "sketch"])
+                [batch.column("doc_id"), batch.column("print"), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()),
+                 pa.array(low, pa.int64()), long_list(sketches)], names=["doc_id", "print", "n_shingles", "high", "low", "sketch"])
     return run
 
 
+def text_print(text: Column) -> Column:
+    """A digest of the text as it is; null and empty texts differ."""
+    return F.coalesce(F.md5(text.cast("string").cast("binary")), F.lit(""))
+
+
 def sketch_table(docs: DataFrame, width: int, k: int = SKETCH) -> DataFrame:
-    """``doc_id, n_shingles, high, low, sketch`` of every document."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _sketch_rows(width, k), "doc_id long, n_shingles long, high long, low long, sketch array<long>")
+    """``doc_id, print, n_shingles, high, low, sketch`` of every document."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_print(F.col("text")).alias("print"),
+                       F.col("text").cast("string").alias("text")).mapInArrow(
+        _sketch_rows(width, k), "doc_id long, print string, n_shingles long, high long, low long, sketch array<long>")
 
 
 def possible(sketches: list[np.ndarray], sizes: np.ndarray, k: int) -> np.ndarray:
@@ -207,6 +215,36 @@ def _tasks(rows: DataFrame) -> DataFrame:
     return rows.repartition("hub", "one", "two").sortWithinPartitions("hub", "one", "two")
 
 
+def _bit(node: str) -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(FILTER_BITS))
+
+
+def _bitmaps(nodes: DataFrame, name: str) -> DataFrame:
+    """The bits of ``nodes`` as at most ``FILTER_BITS / 32768`` rows of 4 KB, combined before they are moved."""
+    return nodes.withColumn("h", _bit("node")).groupBy(F.bitmap_bucket_number("h").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias(name))
+
+
+def _is_set(bitmap: str, h: Column) -> Column:
+    at = F.bitmap_bit_position(h)
+    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.pmod(F.floor(byte / F.element_at(F.array(*(F.lit(1 << i) for i in range(8))), (at % 8 + 1).cast("int"))), F.lit(2)) == 1,
+                      F.lit(False))
+
+
+def _texts(docs: DataFrame, nodes: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``node, text`` of all ``nodes`` and a few more: the texts that pass a filter of fixed size, before any of them is moved.
+
+    Ids of several rows have a filter of their own: of these, and of what it passes by chance, each text is taken once.
+    """
+    filters = _bitmaps(nodes, "likely").join(_bitmaps(nodes.join(repeated, "node", "left_semi"), "again"), "bucket", "left")
+    passed = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).withColumn("h", _bit("node"))
+    passed = materialize(passed.join(F.broadcast(filters), F.bitmap_bucket_number("h") == F.col("bucket")).filter(
+        _is_set("likely", F.col("h"))).select("node", "text", _is_set("again", F.col("h")).alias("again")), "texts")
+    once = passed.filter("again").withColumn("print", text_print(F.col("text"))).dropDuplicates(["node", "print"])
+    return passed.filter("not again").select("node", "text").unionByName(once.select("node", "text"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKETCH) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document; extra columns of the input are ignored.
 
@@ -215,6 +253,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     kept. A repeated row gets the same result as the first; the texts of one id are one document, and each of its rows gets the
     component of its text.
     """
+    return judged(docs, width, percent, k).drop("print", "high", "low")
+
+
+def judged(docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKETCH) -> DataFrame:
+    """``near_duplicates`` with ``print`` (digest of the text) and ``high, low`` (fingerprint of its words), which tell the texts of an id apart."""
     if percent < 80:
         raise ValueError("the sketch bounds hold for a similarity of 0.8 or more")
     prefix = k - NEED + 1
@@ -243,10 +286,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     wide = _tasks(_blocked(members).join(nodes.select("node", "sketch"), "node"))
     likely = materialize(wide.select("hub", "one", "two", "block", "node", "n_shingles", "sketch").mapInArrow(
         _candidates(k), "hub long, node long").distinct(), "likely")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    # One text of each repeated row, taken among the few that are compared.
-    texts = texts.join(likely.select("node").distinct(), "node", "left_semi").withColumn("same", F.md5(F.col("text").cast("binary")))
-    texts = texts.dropDuplicates(["node", "same"]).drop("same")
+    repeated = rows.filter("doc_id is not null").groupBy(F.col("doc_id").alias("node")).agg(F.count("*").alias("n")).filter("n > 1")
+    texts = _texts(docs, likely.select("node"), repeated.select("node"))
     narrow = _blocked(likely.join(nodes.select("node", "n_shingles"), "node"))
     links = _tasks(narrow.join(texts, "node")).select("hub", "one", "two", "block", "node", "text").mapInArrow(
         _verify(width, percent, k), "u long, v long")
@@ -256,5 +297,5 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
         F.col("high").alias("h"), F.col("low").alias("l"), F.coalesce("component", "node").alias("component"))
     joined = rows.join(found, (F.col("high") == F.col("h")) & (F.col("low") == F.col("l")) & (F.col("n_shingles") > 0), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"),
+    return joined.select("doc_id", "print", "high", "low", "n_shingles", component.alias("component_id"),
                          F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
