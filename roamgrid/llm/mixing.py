@@ -20,6 +20,8 @@ WEIGHTS = (3, 1, 2)
 SCHEDULES = ((2.0, 1.0, 0.5), (1.0, 1.0, 1.0), (0.5, 1.0, 2.0))
 BUDGET = 1.5
 MOST_COPIES = 2
+# Hexadecimal digits of the hash that make a part of a source.
+PART_DIGITS = 4
 
 
 def intervals(knots: tuple[float, ...]) -> list[tuple[float, float, float, float, float]]:
@@ -78,78 +80,92 @@ def targets(sizes: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int
                          F.when(F.col("cap") <= share, F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
+def _sized(docs: DataFrame) -> DataFrame:
+    """``docs`` with the key of the order within a source, the part of that order, and what breaks ties."""
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    # A null source differs from every text, so that plain equality joins sources.
+    source = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
+    sized = docs.withColumns({"__source": source, "__key": key, "__crc": F.crc32(F.col("text").cast("binary")), "__size": words(F.col("text"))})
+    return sized.withColumn("__part", F.substring("__key", 1, PART_DIGITS))
+
+
+def _offsets(docs: DataFrame, weights, budget: float, most: int) -> DataFrame:
+    """A row for each source and part: the words of the source before the part, and what holds for the source."""
+    parts = materialize(_sized(docs).groupBy("source", "__source", "__part").agg(F.sum("__size").alias("part_size")), "parts")
+    before = F.sum("part_size").over(W.partitionBy("__source").orderBy("__part").rowsBetween(W.unboundedPreceding, 0))
+    sources = targets(parts.select("source", F.col("part_size").alias("size")), weights, budget, most)
+    sources = sources.withColumn("__s", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))).drop("source")
+    placed = parts.withColumn("__offset", before - F.col("part_size")).join(sources, F.col("__source") == F.col("__s"))
+    return placed.select("__s", F.col("__part").alias("__p"), "__offset", F.col("source_size").alias("__source_size"),
+                         F.col("schedule").alias("__schedule"), F.col("target").alias("__target"))
+
+
+def _placed(docs: DataFrame, offsets: DataFrame, schedules, most: int) -> DataFrame:
+    """``docs`` with ``__rank`` (in its part), ``__size``, ``__source_size``, ``__target`` and the positions of the copies.
+
+    The window and the join use the same two keys, so a row, and whatever columns ride along, is moved once.
+    """
+    order = W.partitionBy("__source", "__part").orderBy("__key", "__size", "__crc")
+    ranked = _sized(docs).withColumns({
+        "__rank": F.row_number().over(order),
+        "__inside": F.sum("__size").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("__size")})
+    # Both sides are partitioned by these keys; a broadcast would be as right, but its size would grow with the sources.
+    placed = ranked.join(offsets.hint("merge"), (F.col("__source") == F.col("__s")) & (F.col("__part") == F.col("__p")))
+    placed = placed.withColumn("__middle", (F.col("__offset") + F.col("__inside")).cast("double") + F.col("__size") / 2.0)
+    middles = [F.col("__middle") + F.lit(float(e)) * F.col("__source_size") for e in range(most)]
+    shares = F.array(*[F.when(m < F.col("__target"), m / F.col("__target")) for m in middles])
+    positions = F.expr(f"transform(__shares, x -> {progress_sql('x', '__schedule', schedules)})")
+    return placed.withColumn("__shares", F.array_compact(shares)).withColumn("__positions", positions).drop(
+        "__s", "__p", "__offset", "__inside", "__middle", "__shares", "__schedule")
+
+
 def curriculum(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, budget: float = BUDGET,
                most: int = MOST_COPIES) -> DataFrame:
-    """``doc_id, source, key, size, source_size, target, copies, positions`` of every row: its words, its copies (0 to ``most``) and
-    the positions (progress in training, 0 to 1) of the copies as an array.
+    """``doc_id, source, size, source_size, target, copies, positions`` of every row: its words, its copies (0 to ``most``) and
+    the positions (progress in training, 0 to 1) of the copies as an array; ``part`` and ``rank`` tell rows of a source apart.
 
     A copy is taken when the middle of its words lies within the target of its source. Null and empty texts have size 0.
     A null source is a source of its own, the last; null ids are allowed. The order within a source is by a hash of
     the id, so reruns agree; equal rows are interchangeable. The prefix sums are taken per (source, part of the hash) and
-    shifted by the sums of the parts before, so a source with a third of all rows is spread over 4096 windows.
+    shifted by the sums of the parts before, so a source with a third of all rows is spread over 65,536 windows.
     """
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sized = materialize(docs.select("doc_id", "source", key.alias("key"), F.crc32(F.col("text").cast("binary")).alias("crc"),
-                                    words(F.col("text")).alias("size")).withColumn("part", F.substring("key", 1, 3)), "sizes")
-    parts = sized.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
-    before = F.sum("part_size").over(W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, 0))
-    offsets = parts.select(F.col("source").alias("s"), F.col("part").alias("p"), (before - F.col("part_size")).alias("offset"))
-    sources = targets(parts.select("source", F.col("part_size").alias("size")), weights, budget, most)
-    offsets = offsets.join(sources, F.col("s").eqNullSafe(F.col("source"))).drop("source")
-    inside = F.sum("size").over(W.partitionBy("source", "part").orderBy("key", "size", "crc")
-                                .rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
-    placed = (sized.withColumn("inside", inside)
-              .join(offsets, F.col("source").eqNullSafe(F.col("s")) & (F.col("part") == F.col("p")))
-              .withColumn("middle", (F.col("offset") + F.col("inside")).cast("double") + F.col("size") / 2.0))
-    copy_middles = [F.col("middle") + F.lit(float(e)) * F.col("source_size") for e in range(most)]
-    shares = F.array(*[F.when(m < F.col("target"), m / F.col("target")) for m in copy_middles])
-    positions = F.expr(f"transform(shares, x -> {progress_sql('x', 'schedule', schedules)})")
-    return placed.withColumn("shares", F.array_compact(shares)).withColumn("positions", positions).select(
-        "doc_id", "source", "key", "crc", "size", "source_size", "target", F.size("shares").alias("copies"), "positions")
+    plain = docs.select("doc_id", "source", "text")
+    placed = _placed(plain, _offsets(plain, weights, budget, most), schedules, most)
+    return _plan(placed)
 
 
-def _row_key(source: str, key: str, crc: str) -> Column:
-    """One text for id, content and source; a null source differs from every other."""
-    return F.md5(F.concat_ws(":", F.col(key), F.coalesce(F.col(crc), F.lit(-1)).cast("string"), F.col(source).isNull().cast("string"),
-                             F.col(source)).cast("binary"))
+def _plan(placed: DataFrame) -> DataFrame:
+    return placed.select("doc_id", "source", F.col("__source").alias("src"), F.col("__part").alias("part"), F.col("__rank").alias("rank"),
+                         F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
+                         F.size("__positions").alias("copies"), F.col("__positions").alias("positions"))
 
 
-def _numbered(plan: DataFrame) -> DataFrame:
-    """The plan with the key of its row and the number among rows of that key."""
-    return plan.withColumn("__plan_key", _row_key("source", "key", "crc")).withColumn(
-        "__plan_nth", F.row_number().over(W.partitionBy("__plan_key").orderBy("size", F.desc("copies"), "positions")))
+def _copies(docs: DataFrame, offsets: DataFrame, schedules=SCHEDULES, most: int = MOST_COPIES) -> DataFrame:
+    """A row per copy with the columns of ``docs``, what ``_placed`` adds and ``__at``, range-sorted by position.
 
-
-def _copies(docs: DataFrame, numbered: DataFrame) -> DataFrame:
-    """A row per copy with the columns of ``docs``, ``__plan_key``, ``__plan_nth`` and ``__at``, range-sorted by position.
-
-    A document finds its copies by a hash of id, text and source and by its number among rows that are equal in these. The window and
-    the join use that one key, so texts are moved once for both and once more for the sort.
+    A text is moved to its part of its source, and its copies to their range. Rows without a copy stop at the first of these.
     """
-    plan = numbered.filter("copies > 0").select("__plan_key", "__plan_nth", F.col("positions").alias("__plan_positions"))
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    keyed = docs.withColumns({"__id": key, "__crc": F.crc32(F.col("text").cast("binary"))}).withColumn(
-        "__key", _row_key("source", "__id", "__crc"))
-    keyed = keyed.withColumn("__nth", F.row_number().over(W.partitionBy("__key").orderBy("__crc")))
-    joined = keyed.join(plan, (F.col("__key") == F.col("__plan_key")) & (F.col("__nth") == F.col("__plan_nth")))
-    return joined.withColumn("__at", F.explode("__plan_positions")).orderBy("__at", "__key")
+    placed = _placed(docs, offsets, schedules, most).filter(F.size("__positions") > 0)
+    return placed.withColumn("__at", F.explode("__positions")).orderBy("__at", "__key", "__rank")
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, budget: float = BUDGET, most: int = MOST_COPIES) -> DataFrame:
     """The documents as they are trained on: a row per copy, all columns of the input, range-sorted by position."""
-    copies = _copies(docs, _numbered(curriculum(docs, **options)))
+    copies = _copies(docs, _offsets(docs.select("doc_id", "source", "text"), weights, budget, most), schedules, most)
     return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, budget: float = BUDGET, most: int = MOST_COPIES) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies, first_position`` of every row; the last three are of its copies in the mix.
 
     The words are counted in the texts that come out of the range sort. Writing the counts keeps the sort in the plan.
     """
-    plan = materialize(_numbered(curriculum(docs, **options)), "plan")
-    copies = materialize(_copies(docs, plan).select("__plan_key", "__plan_nth", "__at", words(F.col("text")).alias("words")), "copies")
-    found = copies.groupBy(F.col("__plan_key").alias("k"), F.col("__plan_nth").alias("n")).agg(
+    offsets = materialize(_offsets(docs.select("doc_id", "source", "text"), weights, budget, most), "offsets")
+    plan = _plan(_placed(docs.select("doc_id", "source", "text"), offsets, schedules, most)).drop("positions", "copies")
+    copies = materialize(_copies(docs, offsets, schedules, most).select(
+        F.col("__source").alias("s"), F.col("__part").alias("p"), F.col("__rank").alias("r"), "__at", words(F.col("text")).alias("words")), "copies")
+    found = copies.groupBy("s", "p", "r").agg(
         F.sum("words").alias("taken"), F.count("*").cast("int").alias("found"), F.min("__at").alias("first_position"))
-    joined = plan.join(found, (F.col("__plan_key") == F.col("k")) & (F.col("__plan_nth") == F.col("n")), "left")
+    joined = plan.join(found, (F.col("src") == F.col("s")) & (F.col("part") == F.col("p")) & (F.col("rank") == F.col("r")), "left")
     return joined.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
                          F.coalesce("found", F.lit(0)).alias("copies"), "first_position")

@@ -75,12 +75,20 @@ def test_documents_are_counted_in_the_mix(spark, mixed, monkeypatch):
             "doc_id", "size", "source_size", "target", "size * copies AS taken", "copies", "get(positions, 0) AS first_position")
         assert same(mixing.mixed_documents(docs), plan)
     whole = mixing._copies
-    monkeypatch.setattr(mixing, "_copies", lambda docs, plan: whole(docs, plan).filter("__at < 0.5"))
+    monkeypatch.setattr(mixing, "_copies", lambda *given: whole(*given).filter("__at < 0.5"))
     half = mixing.mixed_documents(mixed).collect()
     early = {r["doc_id"]: sum(x < 0.5 for x in r["positions"]) for r in mixing.curriculum(mixed).collect()}
     assert {r["doc_id"]: r["copies"] for r in half} == early and all(r["taken"] == r["size"] * r["copies"] for r in half)
 
 
+def test_texts_are_moved_to_their_part_and_to_their_range_only(spark, mixed):
+    offsets = mixing.materialize(mixing._offsets(mixed.select("doc_id", "source", "text"), mixing.WEIGHTS, 1.5, 2), "offsets")
+    plan = mixing._copies(mixed, offsets)._jdf.queryExecution().executedPlan().toString()
+    with_text = [x for x in plan.splitlines() if "Exchange " in x and "__offset" not in x]
+    assert sum("rangepartitioning" in x for x in with_text) == 1 and sum("hashpartitioning" in x for x in with_text) <= 2
+    assert plan.count("Exchange ") == 3, plan
+
+
 def test_mixing_awkward_rows(spark):
     docs = documents(spark)
     got = mixing.curriculum(docs).collect()
