@@ -29,10 +29,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, 0.8 or more): the one with the smallest id.
 
-    Documents without words and rows without an id are kept; of repeated rows one is kept.
+    Documents without words and rows without an id are kept. Of rows with equal id and equal words one is kept. Different texts of one id
+    are judged each by its own group, so a text stays unless a copy or near copy of it stays.
     """
-    kept = minhash_dedup.near_duplicates(docs, width=5).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    one = docs.join(kept, docs["doc_id"] == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    kept = minhash_dedup.judged(docs, width=5).filter("kept").groupBy("doc_id", "high", "low").agg(F.min("print").alias("__print"))
+    kept = kept.select(F.col("doc_id").alias("__kept"), "__print").distinct()
+    named = docs.withColumn("__text", minhash_dedup.text_print(F.col("text")))
+    one = named.join(kept, (F.col("doc_id") == F.col("__kept")) & (F.col("__text") == F.col("__print")), "left_semi")
+    one = one.dropDuplicates(["doc_id", "__text"]).drop("__text")
     return one.unionByName(docs.filter("doc_id is null"))
 
 
