@@ -68,11 +68,26 @@ def test_stages_on_awkward_rows(spark):
     assert set(single) == {1, 4, 5, 6, 7, 9, 10, 11, 12, 13, None} and len(single[11]) == 1 and len(single[None]) == 2
 
 
+def test_texts_of_one_id_are_judged_each(spark):
+    from edges import words
+
+    a, b, c = (" ".join(words(seed, 80)) for seed in (21, 22, 23))
+
+    def kept(rows):
+        out = pipeline.dedup(spark, documents(spark, [(i, t, "en", "a", 0, 0.5, "k", "c") for i, t in rows]), SF)
+        return sorted((r["doc_id"], r["text"]) for r in out.collect())
+
+    assert kept([(1, a), (5, a), (5, b)]) == sorted([(1, a), (5, b)])
+    assert kept([(5, a), (5, b), (7, c)]) == sorted([(5, a), (5, b), (7, c)])
+    assert kept([(5, a), (5, a), (5, b), (5, b), (7, b + " more")]) == sorted([(5, a), (5, b)])
+    assert len(kept([(5, a), (5, a.upper()), (9, "")])) == 2
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(llm.ORACLES) <= set(llm.QUERIES) <= names and set(llm.ORACLES) <= set(entry.oracle_sql())
     assert minhash_dedup.NEED < minhash_dedup.SKETCH
 
