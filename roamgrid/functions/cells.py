@@ -89,3 +89,31 @@ def with_species_count(groups: DataFrame, rows: DataFrame, keys: list[str], name
     same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
     joined = groups.join(others, same, "left").withColumn(name, count_bits() + F.coalesce("_others", F.lit(0)))
     return joined.drop("_others", *[f"_k{i}" for i in range(len(keys))], *[f"_s{i}" for i in range(_WORDS)])
+
+
+CURVE_BITS = 20
+_SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
+
+
+def _spread(number: Column) -> Column:
+    """The bits of a number below 2^32 at every second place."""
+    for shift, mask in _SPREAD:
+        number = number.bitwiseOR(F.shiftleft(number, shift)).bitwiseAND(F.lit(mask).cast("long"))
+    return number
+
+
+def curve_key(lng: str | Column = "lng", lat: str | Column = "lat") -> Column:
+    """Place on a Z-order curve over the globe: 2^20 steps a side, so that points of a small box have few ranges of keys."""
+    lng, lat = (F.col(c) if isinstance(c, str) else c for c in (lng, lat))
+    steps = 1 << CURVE_BITS
+
+    def step(share: Column) -> Column:
+        return F.least(F.greatest(F.floor(share * steps), F.lit(0)), F.lit(steps - 1)).cast("long")
+
+    return _spread(step((lng + 180) / 360)).bitwiseOR(F.shiftleft(_spread(step((lat + 90) / 180)), 1))
+
+
+def with_curve(df: DataFrame, deg: float = GRID_DEG) -> DataFrame:
+    """``df`` with the cell ``cx, cy`` and the curve place ``_curve`` of its centre: rows of one cell stay together."""
+    placed = with_cell(df, deg)
+    return placed.withColumn("_curve", curve_key((F.col("cx") + 0.5) * deg, (F.col("cy") + 0.5) * deg))

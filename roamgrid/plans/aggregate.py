@@ -16,7 +16,8 @@ from roamgrid.operators.temporal import agg_time
 from roamgrid.schemas import GRID_DEG, MAX_HOTSPOTS
 from roamgrid.session import drop_intermediate, use_utc
 from roamgrid.sources.catalog import read_catalog
-from roamgrid.sources.store import from_documents, write_table
+from roamgrid.sources.served import write_grid, write_time
+from roamgrid.sources.store import from_documents, read_table, write_table
 
 
 def _keyed(df: DataFrame, key) -> DataFrame:
@@ -30,10 +31,14 @@ def aggregate(sightings: DataFrame, catalog: DataFrame, out: str, deg: float = G
     def write(name: str, df: DataFrame, key) -> DataFrame:
         return write_table(_keyed(df, key), out, name)
 
-    tables = {"agg_grid": write("agg_grid", agg_grid(sightings, deg), F.col("cell_id"))}
+    # The two tables that are listed by box and by granularity have a layout of their own.
+    spark, root = sightings.sparkSession, out.rstrip("/")
+    write_grid(_keyed(agg_grid(sightings, deg), F.col("cell_id")), f"{root}/agg_grid")
+    tables = {"agg_grid": read_table(spark, root, "agg_grid")}
     tables["agg_hotspots"] = write(
         "agg_hotspots", hotspots(sightings, catalog, top, deg, tables["agg_grid"]), F.col("rank"))
-    tables["agg_time"] = write("agg_time", agg_time(sightings), F.concat_ws(":", "granularity", "key"))
+    write_time(_keyed(agg_time(sightings), F.concat_ws(":", "granularity", "key")), f"{root}/agg_time")
+    tables["agg_time"] = read_table(spark, root, "agg_time")
     hours = write("agg_species_hour", agg_species_hour(sightings), F.concat_ws(":", "species_id", "local_hour"))
     tables["agg_species_hour"] = hours
     tables["agg_species"] = write("agg_species", species_from_hours(hours, catalog), F.col("species_id"))

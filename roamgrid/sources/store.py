@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roamgrid.functions.cells import to_point, with_cell
+from roamgrid.functions.cells import to_point, with_curve
 from roamgrid.functions.times import local_date
 from roamgrid.schemas import CLEAN, GRID_DEG
 from roamgrid.session import materialize
+from roamgrid.sources.manifest import Served, box_facts, describe
+
+IDS = "_ids"
+# Ranges of new ids that are held against the files of the id index.
+_ID_RANGES = 256
 
 
 def write_clean(df: DataFrame, path: str, parts: int | None = None) -> None:
@@ -47,22 +52,55 @@ def _has_files(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def index_documents(spark: SparkSession, path: str) -> None:
+    """Bring the id index and the manifest of a document table up to date with its files.
+
+    Both follow from the files, so this may run at any time. Ids are written before the manifest names their files: a load that
+    stops between the two leaves ids that are written again, never files without.
+    """
+    path = path.rstrip("/")
+
+    def write_ids(rows: DataFrame) -> None:
+        rows.select("_id").repartitionByRange("_id").sortWithinPartitions("_id").write.mode("append").parquet(f"{path}/{IDS}")
+
+    describe(spark, path, *box_facts(), first=write_ids)
+    describe(spark, f"{path}/{IDS}", F.min("_id").alias("first"), F.max("_id").alias("last"), F.count_if(F.col("_id").isNull()).alias("nulls"))
+
+
+def known_ids(spark: SparkSession, path: str, ids: DataFrame) -> DataFrame:
+    """Of the ids of a document table, those in the files of its index that may hold one of ``ids``.
+
+    The ids are cut into ranges of like numbers, and a file is read when its own range meets one of them. Ids that grow with
+    time meet the last files only.
+    """
+    cut = ids.repartitionByRange(_ID_RANGES, "id").groupBy(F.spark_partition_id()).agg(
+        F.min("id").alias("low"), F.max("id").alias("high"), F.count_if(F.col("id").isNull()).alias("nulls")).collect()
+    ranges = [(r["low"], r["high"]) for r in cut if r["low"] is not None]
+    nulls = any(r["nulls"] for r in cut)
+    index = Served(spark, f"{path.rstrip('/')}/{IDS}")
+    hit = [e["file"] for e in index.entries if (nulls and e["nulls"]) or e["first"] is not None and any(
+        low <= e["last"] and e["first"] <= high for low, high in ranges)]
+    return index.read(hit)
+
+
 def load_sightings(spark: SparkSession, clean_path: str, target: str, replace: bool = False) -> DataFrame:
     """Add the clean table to the document table, ignoring ids that are there already. Returns the load report.
 
     Of several rows with one id the first is kept. What is new is written to the shared folder first: the load and the
-    report read the same rows, and running a load again inserts nothing.
+    report read the same rows, and running a load again inserts nothing. Of the ids that are there only those near the new ones
+    are read, from an index beside the table.
     """
     rows = read_clean(spark, clean_path).select(
         "*", F.col("_metadata.file_name").alias("input_file"), F.col("_metadata.row_index").alias("row"))
     rest = [c for c in rows.columns if c not in ("id", "input_file", "row")]
     first = F.min(F.struct("input_file", "row", *rest)).alias("_row")
-    unique = rows.groupBy("id").agg(first).select("id", "_row.*")
+    new = materialize(rows.groupBy("id").agg(first).select("id", "_row.*"), "load")
     if not replace and _has_files(spark, target):
-        known = spark.read.parquet(target).select(F.col("_id").alias("known"))
-        unique = unique.join(known, F.col("id").eqNullSafe(F.col("known")), "left_anti")
-    new = materialize(unique, "load")
+        index_documents(spark, target)
+        known = known_ids(spark, target, new.select("id")).select(F.col("_id").alias("known"))
+        new = materialize(new.join(known, F.col("id").eqNullSafe(F.col("known")), "left_anti"), "load")
     write_clustered(to_documents(new), target, by="_id", mode="overwrite" if replace else "append")
+    index_documents(spark, target)
     return load_report(rows, new)
 
 
@@ -88,11 +126,12 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def write_clustered(df: DataFrame, path: str, deg: float = GRID_DEG, parts: int | None = None, by: str = "id",
                     mode: str = "overwrite") -> None:
-    """Write sightings ordered by cell, so that box and species filters skip files and row groups by their statistics.
+    """Write sightings in the order of a space-filling curve over cells, so that box filters skip files and row groups by their
+    statistics in both directions. A cell stays together.
 
     The id ``by`` closes the range key: a cell with any share of the rows is spread over as many files as it needs.
     """
-    key = ["cx", "cy", "species_id", by]
-    placed = with_cell(df, deg)
+    key = ["_curve", "cx", "cy", "species_id", by]
+    placed = with_curve(df, deg)
     ranged = placed.repartitionByRange(*key) if parts is None else placed.repartitionByRange(parts, *key)
-    ranged.sortWithinPartitions(*key).drop("cx", "cy").write.mode(mode).parquet(path)
+    ranged.sortWithinPartitions(*key).drop("_curve", "cx", "cy").write.mode(mode).parquet(path)

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roamgrid.functions.times import local_columns, local_date
+from roamgrid.plans.aggregate import aggregate
 from roamgrid.session import use_utc, work_path
-from roamgrid.sources.store import write_clustered
+from roamgrid.sources.store import load_sightings, write_clean, write_clustered
 
 LINES_PER_FILE = 4096
 SIGHTINGS = """id string, species_id int, source string, lng double, lat double, appeared_utc timestamp, file string,
@@ -68,6 +69,24 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return use_utc(spark).read.schema("species_id int, name string, types array<string>").parquet(path)
 
 
+def aggregates(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the aggregate tables, as the job writes them."""
+    def write(path: str) -> None:
+        aggregate(sightings(spark, sf_dir), catalog(spark, sf_dir), path)
+
+    return _once(spark, sf_dir, "aggregates", write)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the document table with all sightings, as the load writes it."""
+    def write(path: str) -> None:
+        clean = work_path(spark, "clean")
+        write_clean(sightings(spark, sf_dir), clean)
+        load_sightings(spark, clean, path)
+
+    return _once(spark, sf_dir, "documents", write)
+
+
 def part_species(spark: SparkSession, sf_dir: str) -> DataFrame:
     """151 species: each takes its name and types from its first part."""
     parts = table(spark, sf_dir, "part").selectExpr("CAST(p_partkey % 151 + 1 AS INT) AS species_id", "*")

@@ -313,6 +313,10 @@ ORACLES = {
                                 f"list_contains(types, '{TYPE}')) ORDER BY distance_m, id LIMIT 200"),
     "geonear": with_(NEAR, f"SELECT {record(True)} FROM (SELECT * FROM f0 ORDER BY distance_m, id LIMIT 1000) f "
                            "LEFT JOIN c ON c.species_id = f.species_id"),
+    "served_near": with_(NEAR, f"SELECT {record(False)} FROM (SELECT * FROM f0 ORDER BY distance_m, id LIMIT 50) f "
+                               "LEFT JOIN c ON c.species_id = f.species_id"),
+    "served_geonear": with_(NEAR, "SELECT id, species_id, lng, lat, round(distance_m, 1) AS distance_m FROM f0 ORDER BY distance_m, id LIMIT 1000"),
+    "served_within": with_(INSIDE, "SELECT id, species_id, lng, lat FROM inside ORDER BY id LIMIT 100"),
     "near_documents": with_(f"{RAW}, one AS (SELECT DISTINCT id, lng, lat FROM good), d AS (SELECT *, {_D0} AS distance_m FROM one)",
                             f"SELECT id, lng, lat, round(distance_m, 1) AS distance_m FROM (SELECT * FROM d WHERE distance_m <= {RADIUS_M} "
                             "ORDER BY distance_m, id LIMIT 1000)"),

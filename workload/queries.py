@@ -11,7 +11,7 @@ from roamgrid.operators import cleaning, grid, listings, profile, requests, spec
 from roamgrid.session import materialize, work_path
 from roamgrid.sources import catalog as cat
 from roamgrid.sources import raw as raw_source
-from roamgrid.sources import store
+from roamgrid.sources import served, store
 from workload import fixtures as fx
 
 TYPE = "economy"
@@ -140,53 +140,60 @@ def type_vocabulary(spark, sf):
     return cat.type_vocabulary(fx.catalog(spark, sf))
 
 
-# ---- listings -------------------------------------------------------------------------------------------------------
+# ---- listings: all of these read the stored aggregates ---------------------------------------------------------------
+
+def _stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return store.read_table(spark, fx.aggregates(spark, sf), name)
+
+
+def _stored_grid(spark: SparkSession, sf: str) -> served.ServedGrid:
+    return served.ServedGrid(spark, f"{fx.aggregates(spark, sf)}/agg_grid")
+
 
 @query
 def list_hotspots(spark, sf):
-    hot = grid.hotspots(fx.sightings(spark, sf), fx.catalog(spark, sf))
-    return listings.list_hotspots(hot).select("rank", "cell_id", "count", F.size("top_species").alias("top"))
+    return listings.list_hotspots(_stored(spark, sf, "agg_hotspots")).select("rank", "cell_id", "count", F.size("top_species").alias("top"))
 
 
 @query
 def list_grid(spark, sf):
-    return listings.list_grid(grid.agg_grid(fx.sightings(spark, sf))).select("cell_id", "count", "species")
+    return _stored_grid(spark, sf).list_grid().select("cell_id", "count", "species")
 
 
 @query
 def list_time(spark, sf):
-    return listings.list_time(temporal.agg_time(fx.sightings(spark, sf)), "dow")
+    return listings.list_time(_stored(spark, sf, "agg_time"), "dow").select(*temporal.agg_time(fx.sightings(spark, sf)).columns)
 
 
 @query
 def list_types(spark, sf):
-    return listings.list_types(type_counts(spark, sf))
+    return listings.list_types(_stored(spark, sf, "agg_type").drop("_id"))
 
 
 @query
 def list_species(spark, sf):
-    return _text(listings.list_species(species.agg_species(fx.sightings(spark, sf), fx.catalog(spark, sf))), "types")
+    return _text(listings.list_species(_stored(spark, sf, "agg_species").drop("_id")), "types")
 
 
 @query
 def list_species_hours(spark, sf):
-    hours = species.agg_species_hour(fx.sightings(spark, sf))
+    hours = _stored(spark, sf, "agg_species_hour")
     return listings.list_species_hours(hours, fx.catalog(spark, sf), 2)
 
 
 @query
 def bbox_grid(spark, sf):
-    return listings.bbox_filter(grid.agg_grid(fx.sightings(spark, sf)), **BOX).select("cell_id", "count", "lng_c", "lat_c")
+    return listings.bbox_filter(_stored(spark, sf, "agg_grid"), **BOX).select("cell_id", "count", "lng_c", "lat_c")
 
 
 @query
 def heat(spark, sf):
-    return listings.heat(grid.agg_grid(fx.sightings(spark, sf)), **BOX)
+    return _stored_grid(spark, sf).heat(**BOX)
 
 
 @query
 def share_of_max(spark, sf):
-    listed = listings.list_species(species.agg_species(fx.sightings(spark, sf), fx.catalog(spark, sf)), 15)
+    listed = listings.list_species(_stored(spark, sf, "agg_species"), 15)
     return listings.share_of_max(listed).select("species_id", "name", "count", "pct_of_max")
 
 
@@ -221,6 +228,29 @@ def geonear(spark, sf):
     return _record(spatial.geonear(fx.sightings(spark, sf), radius_m=RADIUS_M, limit=1000, **CENTER), spark, sf)
 
 
+# ---- lookups in the stored documents, which read the files that the manifest names ----------------------------------
+
+def _documents(spark: SparkSession, sf: str) -> served.ServedDocuments:
+    return served.ServedDocuments(spark, fx.documents(spark, sf))
+
+
+@query
+def served_near(spark, sf):
+    found = _documents(spark, sf).near(radius_m=RADIUS_M, **CENTER)
+    return _record(found, spark, sf)
+
+
+@query
+def served_geonear(spark, sf):
+    found = _documents(spark, sf).geonear(radius_m=RADIUS_M, limit=1000, **CENTER)
+    return found.select("id", "species_id", "lng", "lat", "distance_m")
+
+
+@query
+def served_within(spark, sf):
+    return _documents(spark, sf).within(POLYGON, limit=100).select("id", "species_id", "lng", "lat")
+
+
 def _point_queries(spark: SparkSession, sf: str) -> DataFrame:
     checked = requests.check_point_requests(fx.point_requests(spark, sf), fx.catalog(spark, sf))
     return checked.filter(F.col("reason").isNull()).drop("reason")
@@ -532,11 +562,11 @@ def load_report(spark, sf):
 
 @query
 def near_documents(spark, sf):
-    """A search of the table that the load writes: its box reaches the scan of clustered files."""
+    """A search of the table that the load writes: only the files near the point are read."""
     clean_path, target = work_path(spark, "clean"), work_path(spark, "target")
     store.write_clean(_clean(spark, sf), clean_path)
     store.load_sightings(spark, clean_path, target)
-    found = spatial.geonear(store.from_documents(spark.read.parquet(target)), radius_m=RADIUS_M, limit=1000, **CENTER)
+    found = served.ServedDocuments(spark, target).geonear(radius_m=RADIUS_M, limit=1000, **CENTER)
     return found.select("id", "lng", "lat", "distance_m")
 
 
