@@ -63,6 +63,16 @@ def species_bits(species: Column) -> list[Column]:
     return [w.alias(f"_s{i}") for i, w in enumerate(words)]
 
 
+def species_chunk(species: Column) -> Column:
+    """The number of the chunk of 192 ids that an id is in; ids of one chunk share their words."""
+    return F.floor(species / (64 * _WORDS)).cast("long")
+
+
+def chunk_bits(species: Column) -> list[Column]:
+    """Row-level set words of an id within its chunk; a null id sets no bit."""
+    return species_bits(F.pmod(species, F.lit(64 * _WORDS)))
+
+
 def merge_bits(words: list[Column] | None = None) -> list[Column]:
     """Aggregates that union the set words of a group."""
     words = words or [F.col(f"_s{i}") for i in range(_WORDS)]

@@ -24,11 +24,33 @@ def typed_document(line: Column) -> Column:
     return F.from_json(line, RAW_TYPED, _JSON)
 
 
+# Strings, and whatever else is no brace. Possessive: linear in the line, and no recursion.
+_NO_BRACES = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^{}"]++'
+_PLAIN_DEPTH = 6
+
+
+def ends_with_object(line: Column) -> Column:
+    """Whether the object at the start of a line is the whole line, for a line that starts with a well-formed object.
+
+    With strings and all but braces removed, what stands between the first and the last brace must pair off. If the first
+    object ended before, it would close a brace that it does not open. A pass removes the innermost pairs; few passes
+    do for common depths, and deeper lines take as many as they need.
+    """
+    braces = F.regexp_replace(line, _NO_BRACES, "")
+    inner = F.substring(braces, F.lit(2), F.greatest(F.length(braces) - 2, F.lit(0)))
+    pair, nothing = F.lit("{}"), F.lit("")
+    for _ in range(_PLAIN_DEPTH):
+        inner = F.replace(inner, pair, nothing)
+    deep = F.aggregate(F.sequence(F.lit(0), F.length(inner)), inner, lambda rest, _: F.replace(rest, pair, nothing))
+    closed = F.btrim(line, F.lit(" \t\r\n\x0b\f")).endswith("}")
+    return closed & ((inner == "") | (deep == ""))
+
+
 def is_broken(line: Column, typed: Column) -> Column:
-    """Whether the line is no JSON object. A type mismatch also marks the typed parse, so only marked lines are parsed
-    again with every key as text."""
-    return F.when(typed.isNull(), True).when(typed["_corrupt"].isNull(), False).otherwise(
-        F.from_json(line, RAW_TEXT, _JSON)["_corrupt"].isNotNull())
+    """Whether the line is no JSON object, or more than one. A type mismatch also marks the typed parse, so only marked lines are
+    parsed again with every key as text. The parser reads the first object only, so the end of the line is looked at as well."""
+    return F.when(typed.isNull(), True).when(typed["_corrupt"].isNull(), ~ends_with_object(line)).otherwise(
+        F.from_json(line, RAW_TEXT, _JSON)["_corrupt"].isNotNull() | ~ends_with_object(line))
 
 
 def lng_lat(doc: Column) -> tuple[Column, Column]:

@@ -42,9 +42,16 @@ BROKEN = {
         {"pokemonId": 1}, {"pokemonId": 151}, *[dated(x) for x in (
             "2021-02-03", "2021-02-03 04:05:06", "2021-02-03T04:05:06", "2021-02-03T04:05:06.123456Z", "2021-02-03T04:05:06+05:30")]],
 }
+DEEP = {"a": {}}
+for _ in range(12):
+    DEEP = {"b": DEEP, "}": ["{"]}
 CASES = [(reason, line(**change)) for reason, changes in BROKEN.items() for change in changes] + [
     ("ok", "\t" + line() + "  \r"), ("invalid", "{" + line()), ("invalid", line()[1:]), ("invalid", '"text"'), ("invalid", "[]"),
     ("invalid", "17"), ("blank", ""), ("blank", "\t \r"),
+    # Text after the object, whatever it looks like; braces in strings are no braces.
+    *[("invalid", line() + x) for x in (" xyz", "{}", "}", "]", "] x}", "} x}", ",{}", "\\", "{", ' {"a":"}"}')],
+    ("ok", line(more="} {")), ("ok", line(more='\\"} {')), ("ok", line(more=DEEP)),
+    ("invalid", line(more=DEEP) + "{}"),
 ]
 
 
@@ -182,3 +189,31 @@ def test_parsed_prefix(spark, small_splits, files, n):
     got = raw_source.parsed_prefix(parsed, n).select(F.col("doc._id.$oid").alias("id")).collect()
     wanted = [json.loads(v)["_id"]["$oid"] for lines in contents.values() for v in [x for x in lines if len(x) > 1][:n]]
     assert sorted(r["id"] for r in got) == sorted(wanted)
+
+
+# Every form is compared with the standard library's reading of it.
+ISO_FORMS = """20210203 2021-W05 2021W05 2021-W05-3 2021W053 2021-W54-1 2021-W53-1 2020-W53-1 2020-W53-7 2021-W00-1 2021-W05-0 2021-W05-8 20210203T0405
+2021-02-03T04 2021-02-03T04:05 2021-02-03x04:05:06 2021-02-03T040506 2021-02-03T0405:06 20210203T04:05:06. 2021-02-03T04:05:06,5 2021-02-03é04:05
+2021-02-03T04:05:06.1234567891 2021-02-03T04:05:06+02 2021-02-03T04:05:06+0200 2021-02-03T04:05:06+02:99 2021-02-03T04:05:06+23:59
+2021-02-03T04:05:06-23:59 2021-02-03T04:05:06+24:00 2021-02-03T04:05:06+02:00:30 2021-02-03T04:05:06-02:00:30.5 2021-02-03T04:05:06+020030
+2021-02-03T24:00 2021-02-03T04:60 2021-02-03T04:05:60 2021-02-03T04:05+0200 2021-02-03T 20210203040506 2021-02-03+02:00 202102030405 2021-02-03Z
+2021-W05T04 2021W05T04:05 2021-W05-3T04:05Z 2021-0203 2021-W053 0000-01-01 0001-01-02 2021-02-03T04:05:06-00:00 2021-02-03T04.5 2021-034
+2021-02-03TT04:05 2021W0504:05 2021-W05-04:05 2021-W05-31 20210203T040506.25+05 2021-02-03T04:05:06ZZ 20210230 20211301T00 99991231T235959 2021-02-03T4
+2021-02-03T04:05:06+02:0030 2021-02-03T04:05:06+18:30 20210203T040506Z 2009-W01-1 2008-W52-7 2010-W53-6 2019-W01 |2021 2021||02""".split()
+
+
+def test_iso_forms(spark):
+    from datetime import datetime, timezone
+
+    from roamgrid.functions.times import iso_z, parse_utc
+
+    def read(text):
+        try:
+            found = datetime.fromisoformat(text.replace("Z", "+00:00"))
+        except ValueError:
+            return None
+        found = found.astimezone(timezone.utc).replace(tzinfo=None) if found.tzinfo else found
+        return f"{found.year:04d}" + found.isoformat()[4:] + "Z"
+
+    rows = spark.createDataFrame([(x,) for x in ISO_FORMS], "t string").withColumn("z", iso_z(parse_utc(F.col("t")))).collect()
+    assert {r["t"]: r["z"] for r in rows} == {x: read(x) for x in ISO_FORMS}

@@ -277,4 +277,5 @@ def test_any_species_id_is_counted(spark):
     rows = [(f"a{i}", s, 0.005, 0.005) for i, s in enumerate(ids_)] + [("b", 7, 1.005, 0.005), ("c", 900, 2.005, 0.005)]
     df = spark.createDataFrame(rows, "id string, species_id int, lng double, lat double")
     assert {(r["cx"], r["size"], r["nunique"]) for r in grid.grid_bench(df).collect()} == {(0, 13, 11), (100, 1, 1), (200, 1, 1)}
+    assert str(grid.grid_bench(df)._jdf.queryExecution().optimizedPlan()).count("Join") == 0
     assert {(r["cx"], r["species"]) for r in grid.agg_grid(df).collect()} == {(0, 11), (100, 1), (200, 1)}

@@ -144,7 +144,8 @@ _RAW_LINE = """CASE
     WHEN event_id % 100 = 57 THEN '  \\t'
     WHEN event_id % 50 = 7 THEN ''
     WHEN event_id % 29 = 3 THEN element_at(array(substring(whole, 1, length(whole) - 9), replace(whole, '"', "'"),
-                                                 '[1]', '5'), CAST(event_id div 29 % 4 AS INT) + 1)
+                                                 '[1]', '5', concat(whole, ' xyz'), concat(whole, '{"a":"}"}')),
+                                           CAST(event_id div 29 % 6 AS INT) + 1)
     ELSE whole END"""
 
 
@@ -153,7 +154,13 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = placed_events(spark, sf_dir).selectExpr(
         "line AS event_id", "species_id", "source", "lng", "lat", "appeared_utc", "appeared_local",
         "explode(CASE WHEN line % 20 = 0 THEN array(0, 1) ELSE array(0) END) AS copy")
-    dated = base.selectExpr("*", """CASE WHEN event_id % 73 = 4
+    # Forms of the date: an offset, and for some of the dates that are none of the bad ones, basic, week and short-offset forms.
+    dated = base.selectExpr("*", """CASE WHEN event_id % 79 = 6 AND event_id % 31 <> 2 THEN element_at(array(
+            date_format(appeared_utc, "yyyyMMdd'T'HHmmss.SSS'Z'"),
+            concat(extract(YEAROFWEEK FROM appeared_utc), '-W', lpad(CAST(weekofyear(appeared_utc) AS STRING), 2, '0'), '-',
+                weekday(appeared_utc) + 1, date_format(appeared_utc, "'T'HH:mm:ss.SSS'Z'")),
+            concat(date_format(appeared_utc + interval 2 hours, "yyyy-MM-dd'T'HH:mm:ss,SSS"), '+0200')), CAST(event_id div 79 % 3 AS INT) + 1)
+        WHEN event_id % 73 = 4
         THEN concat(date_format(appeared_utc + interval 2 hours, "yyyy-MM-dd'T'HH:mm:ss.SSS"), '+02:00')
         ELSE date_format(appeared_utc, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") END AS date_text""")
     pieces = dated.selectExpr("event_id", "copy", *[f"{e} AS {n}" for n, e in _RAW_PARTS.items()])

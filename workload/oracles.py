@@ -156,7 +156,9 @@ x1 AS (SELECT e, copy, 'part' || lpad(CAST(e // 4096 AS VARCHAR), 6, '0') AS par
         'no_numerico_o_nulo'][e // 37 % 10 + 1] END AS category,
     CASE WHEN e % 37 <> 4 THEN lng ELSE [NULL, 0, 181 + e % 100, lng, NULL, NULL, NULL, NULL, NULL, NULL][e // 37 % 10 + 1] END AS rlng,
     CASE WHEN e % 37 <> 4 THEN lat ELSE [NULL, 0, lat, -91 - e % 50, NULL, NULL, NULL, NULL, NULL, NULL][e // 37 % 10 + 1] END AS rlat,
-    CASE WHEN e % 31 <> 2 THEN CASE WHEN e % 73 = 4 THEN strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S.%g') || '+02:00'
+    CASE WHEN e % 31 <> 2 THEN CASE WHEN e % 79 = 6 THEN [strftime(ts, '%Y%m%dT%H%M%S.%g') || 'Z', strftime(ts, '%G-W%V-%uT%H:%M:%S.%g') || 'Z',
+                  strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S,%g') || '+0200'][e // 79 % 3 + 1]
+              WHEN e % 73 = 4 THEN strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S.%g') || '+02:00'
               ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' END
          WHEN e // 31 % 6 = 0 THEN 'no-date' WHEN e // 31 % 6 = 4 THEN '12:00:00'
          WHEN e // 31 % 6 = 5 THEN strftime(ts + CASE WHEN e % 73 = 4 THEN INTERVAL 2 HOUR ELSE INTERVAL 0 HOUR END, '%Y-%m-%dT%H:%M:%S')
@@ -385,7 +387,7 @@ ORACLES = {
     "profile_offsets": with_(RAW, "SELECT count(offset_min) AS offsets, count(*) FILTER (WHERE offset_min % 15 <> 0) AS odd_offsets FROM doc "
                                   "WHERE date IS NOT NULL"),
     "bad_examples": with_(RAW, """SELECT part, CAST(r AS INT) AS rank, example FROM (SELECT part,
-        row_number() OVER (PARTITION BY part ORDER BY line) AS r, CASE e // 29 % 4 WHEN 2 THEN '[1]' WHEN 3 THEN '5'
+        row_number() OVER (PARTITION BY part ORDER BY line) AS r, CASE e // 29 % 6 WHEN 2 THEN '[1]' WHEN 3 THEN '5'
         WHEN 1 THEN replace(head, '"', '''') ELSE head END AS example FROM (SELECT *, substr('{"_id":{"$oid":"' || id || '"}'
         || CASE WHEN e % 41 = 5 THEN '' WHEN e % 43 = 6 THEN ',"pokemonId":' || sp WHEN e % 47 = 8 THEN
             ',"pokemonId":"' || sp_value || '"' WHEN sp IS NULL THEN ',"pokemonId":' || CASE WHEN e % 53 = 9 THEN sp_value || '.0' ELSE 'true' END
