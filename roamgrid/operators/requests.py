@@ -165,27 +165,83 @@ def check_polygons(requests: DataFrame) -> DataFrame:
     return checked.select("polygon_id", F.when(F.col("reason").isNull(), F.col("rings")).alias("rings"), "reason")
 
 
-def _turn(a: Column, b: Column, c: Column) -> Column:
-    return F.signum((b["lng"] - a["lng"]) * (c["lat"] - a["lat"]) - (b["lat"] - a["lat"]) * (c["lng"] - a["lng"]))
+# Volumes of three unit vectors below this are taken as zero: the points lie on one great circle.
+_FLAT = 1e-15
+
+
+def _vertex(point: Column, origin: Column) -> Column:
+    """A position with its longitude from the origin and its unit vector."""
+    lng, lat = F.radians(point["lng"]), F.radians(point["lat"])
+    return F.struct(relative_lng(point["lng"], origin).alias("rel"), point["lat"].alias("lat"), (F.cos(lat) * F.cos(lng)).alias("x"),
+                    (F.cos(lat) * F.sin(lng)).alias("y"), F.sin(lat).alias("z"))
+
+
+def _volume(a: Column, b: Column, c: Column) -> Column:
+    """The determinant of three unit vectors: positive if ``c`` lies left of the great circle from ``a`` to ``b``."""
+    return ((a["y"] * b["z"] - a["z"] * b["y"]) * c["x"] + (a["z"] * b["x"] - a["x"] * b["z"]) * c["y"]
+            + (a["x"] * b["y"] - a["y"] * b["x"]) * c["z"])
+
+
+def _at_one_place(p: Column, q: Column) -> Column:
+    return (p["rel"] == q["rel"]) & (p["lat"] == q["lat"])
+
+
+def _cross(e: Column, f: Column) -> Column:
+    """Whether two arcs without a common end meet inside: the ends of each lie on either side of the other, on one half of the globe."""
+    a, b, c, d = e["a"], e["b"], f["a"], f["b"]
+    first, second, third, fourth = -_volume(a, b, c), _volume(a, b, d), -_volume(c, d, b), _volume(c, d, a)
+    return (first * second > 0) & (first * third > 0) & (first * fourth > 0)
+
+
+def _fold(at: Column, p: Column, q: Column) -> Column:
+    """Whether the arcs from ``at`` to two points leave in one direction, so that one retraces the other."""
+    forward = ((p["x"] - at["x"]) * (q["x"] - at["x"]) + (p["y"] - at["y"]) * (q["y"] - at["y"]) + (p["z"] - at["z"]) * (q["z"] - at["z"]))
+    return (F.abs(_volume(p, at, q)) <= _FLAT) & (forward > 0)
+
+
+def _clash(e: Column, f: Column) -> Column:
+    """Whether two edges cross or run along each other. Arcs stay between the longitudes of their ends, which rules out most pairs."""
+    aa, ab = _at_one_place(e["a"], f["a"]), _at_one_place(e["a"], f["b"])
+    ba, bb = _at_one_place(e["b"], f["a"]), _at_one_place(e["b"], f["b"])
+    folded = ((aa & _fold(e["a"], e["b"], f["b"])) | (ab & _fold(e["a"], e["b"], f["a"])) | (ba & _fold(e["b"], e["a"], f["b"]))
+              | (bb & _fold(e["b"], e["a"], f["a"])))
+    beside = (e["west"] <= f["east"]) & (f["west"] <= e["east"])
+    return beside & F.when(aa | ab | ba | bb, folded).otherwise(_cross(e, f))
+
+
+def _edges(ring: Column, origin: Column) -> Column:
+    """The edges of a ring as arcs; a repeated position makes none."""
+    vertices = F.transform(ring, lambda p: _vertex(p, origin))
+    n = F.size(ring) - 1
+    arcs = F.zip_with(F.slice(vertices, 1, n), F.slice(vertices, 2, n), lambda a, b: F.struct(
+        a.alias("a"), b.alias("b"), F.least(a["rel"], b["rel"]).alias("west"), F.greatest(a["rel"], b["rel"]).alias("east")))
+    return F.filter(arcs, lambda e: ~_at_one_place(e["a"], e["b"]))
 
 
 def self_intersects(rings: Column) -> Column:
-    """Whether two edges of one ring cross. Works inside the row: a polygon has at most 500 vertices."""
-    def crosses(e: Column, f: Column) -> Column:
-        return ((_turn(e["a"], e["b"], f["a"]) * _turn(e["a"], e["b"], f["b"]) < 0)
-                & (_turn(f["a"], f["b"], e["a"]) * _turn(f["a"], f["b"], e["b"]) < 0))
+    """Whether edges of a polygon, as arcs of great circles, cross or retrace each other, within a ring or between rings; a ring of fewer
+    than three places or with a place it comes back to counts as well.
+
+    Works inside the row: a polygon has at most 500 vertices. Edges are taken from west to east, and each is compared with the later
+    ones that start before it ends.
+    """
+    origin = rings[0][0]["lng"]
+    by_ring = F.transform(rings, lambda ring: _edges(ring, origin))
+
+    def thin(edges: Column) -> Column:
+        places = F.transform(edges, lambda e: F.struct(e["a"]["rel"], e["a"]["lat"]))
+        return (F.size(edges) < 3) | (F.size(F.array_distinct(places)) < F.size(edges))
 
-    def ring_crosses(ring: Column) -> Column:
-        n = F.size(ring) - 1
-        edges = F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n),
-                           lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        return F.exists(edges, lambda e: F.exists(edges, lambda f: crosses(e, f)))
+    def later(edges: Column, e: Column, i: Column) -> Column:
+        return F.exists(F.slice(edges, i + 2, F.size(edges)), lambda f: (f["west"] <= e["east"]) & _clash(e, f))
 
-    return F.exists(rings, ring_crosses)
+    ordered = F.array_sort(F.flatten(by_ring), lambda e, f: F.when(e["west"] < f["west"], -1).when(e["west"] > f["west"], 1).otherwise(0))
+    found = F.transform(F.array(ordered), lambda edges: F.array_contains(F.transform(edges, lambda e, i: later(edges, e, i)), True))
+    return F.exists(by_ring, thin) | F.element_at(found, 1)
 
 
 def reject_self_intersections(checked: DataFrame) -> DataFrame:
-    """Turn accepted polygons with a crossing ring into rejected ones."""
+    """Turn accepted polygons with a crossing or degenerate ring into rejected ones."""
     crossing = F.coalesce(self_intersects(F.col("rings")), F.lit(False))
     marked = compute_once(checked, reason=F.coalesce("reason", F.when(crossing, "ring:self_intersection")))
     return marked.withColumn("rings", F.when(F.col("reason").isNull(), F.col("rings")))

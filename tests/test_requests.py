@@ -1,8 +1,13 @@
 """Request tables: every bad request of the known lists is rejected for its reason."""
 
+import itertools
 import json
+import math
+import random
+from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from roamgrid.operators import requests
 
@@ -78,3 +83,51 @@ def test_polygons(spark):
     assert [r["reason"] for r in got] == [reason for _, reason in POLYGONS] + ["body:not_an_object"]
     assert [[p["lng"], p["lat"]] for p in got[1]["rings"][0]] == SQUARE
     assert got[4]["rings"] is None
+
+
+def plane_crosses(rings):
+    """Great circles are straight lines in the plane that touches the globe at the middle of the polygon: exact tests with fractions."""
+    points = [p for ring in rings for p in ring]
+    lng0, lat0 = (math.radians((min(c) + max(c)) / 2) for c in zip(*points))
+
+    def flat(p):
+        lng, lat = math.radians(p[0]) - lng0, math.radians(p[1])
+        depth = math.sin(lat0) * math.sin(lat) + math.cos(lat0) * math.cos(lat) * math.cos(lng)
+        return (Fraction(math.cos(lat) * math.sin(lng) / depth),
+                Fraction((math.cos(lat0) * math.sin(lat) - math.sin(lat0) * math.cos(lat) * math.cos(lng)) / depth))
+
+    def side(a, b, c):
+        return (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+
+    edges = [(flat(a), flat(b)) for ring in rings for a, b in zip(ring, ring[1:])]
+    return any(side(*e, f[0]) * side(*e, f[1]) < 0 and side(*f, e[0]) * side(*f, e[1]) < 0 for e, f in itertools.combinations(edges, 2)
+               if not {*e} & {*f})
+
+
+def test_crossings_on_the_sphere(spark):
+    rng, shapes = random.Random(7), []
+    for n in range(150):
+        x, y, size = rng.uniform(-170, 170), rng.uniform(-60, 60), rng.choice([0.01, 1, 25])
+        rings = []
+        for _ in range(rng.choice([1, 1, 2])):
+            around = sorted(rng.uniform(0, 6.28) for _ in range(rng.randrange(3, 9)))
+            if rng.random() < 0.3:
+                rng.shuffle(around)
+            ring = [[x + size * rng.uniform(0.2, 1) * math.cos(t), y + size * rng.uniform(0.2, 1) * math.sin(t)] for t in around]
+            rings.append([*ring, ring[0]])
+        shapes.append((rings, plane_crosses(rings)))
+    assert 30 < sum(c for _, c in shapes) < 120
+    box = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
+    shapes += [([box], False), ([box, [[1, 1], [2, 1], [2, 2], [1, 1]]], False), ([box, [[1, 1], [9, 1], [2, 2], [1, 1]]], True),
+               ([[[0, 0], [4, 0], [4, 4], [6, 6], [4, 4], [0, 4], [0, 0]]], True),  # a spike
+               ([[[0, 0], [4, 0], [2, 0], [2, 4], [0, 0]]], True),  # back along the equator, not as far
+               ([[[1, 1]] * 4], True), ([[[0, 0], [4, 0], [0, 0], [4, 0], [0, 0]]], True), ([[[0, 0], [0, 0], [4, 0], [4, 4], [0, 0]]], False),
+               ([[[0, 0], [2, 2], [4, 0], [4, 4], [2, 2], [0, 4], [0, 0]]], True),  # comes back to a place
+               ([box, box], True), ([[[-40, 50], [40, 50], [41, 52], [0, 54], [-41, 52], [-40, 50]]], True),
+               ([[[-40, 5], [40, 5], [41, 52], [0, 54], [-41, 52], [-40, 5]]], False),
+               ([[[170, 0], [-170, 0], [-170, 5], [170, 5], [170, 0]]], False), ([[[170, 0], [-170, 5], [-170, 0], [170, 5], [170, 0]]], True),
+               ([[[x, y] for x, y in ((math.cos(i / 499 * 6.2), math.sin(i / 499 * 6.2)) for i in range(499))] + [[1.0, 0.0]]], False)]
+    rows = [(i, [[{"lng": float(x), "lat": float(y)} for x, y in ring] for ring in rings]) for i, (rings, _) in enumerate(shapes)]
+    table = spark.createDataFrame(rows, "polygon_id int, rings array<array<struct<lng:double,lat:double>>>")
+    got = {r["polygon_id"]: r["c"] for r in table.select("polygon_id", requests.self_intersects(F.col("rings")).alias("c")).collect()}
+    assert [i for i, (_, c) in enumerate(shapes) if got[i] != c] == []

@@ -225,17 +225,28 @@ def _corners_sql() -> str:
     return re.sub(r"p\(([^,]+), ([^)]+)\)", r"concat('[', x + (\1), ',', y + (\2), ']')", _CORNERS)
 
 
+def _planted(*rings: str) -> str:
+    """SQL for a polygon of rings given as ``lng,lat`` expressions of a supplier's place: a hole across its shell, a spike, a ring of one
+    place, and edges that cross as great circles only."""
+    def position(pair: str) -> str:
+        lng, lat = pair.split(",")
+        return f"'[', {lng}, ',', {lat}, ']'"
+
+    texts = ["'[', " + ", ',', ".join(map(position, ring.split())) + ", ']'" for ring in rings]
+    return """concat('{"type":"Polygon","coordinates":[', """ + ", ',', ".join(texts) + ", ']}')"
+
+
 def polygon_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One GeoJSON request per supplier, with faults planted by the supplier number."""
     placed = table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS k", "-74.0D + CAST(s_suppkey * 53 % 256 AS DOUBLE) / 1024 + 1 / 2048D AS x",
         "40.5D + CAST(s_suppkey * 29 % 200 AS DOUBLE) / 1024 + 1 / 2048D AS y",
         "CAST(1 + s_suppkey % 8 AS DOUBLE) / 256 AS h")
-    shaped = placed.selectExpr("k", f"{_corners_sql()} AS corners")
+    shaped = placed.selectExpr("k", "x", "y", "h", f"{_corners_sql()} AS corners")
     rings = shaped.selectExpr(
-        "k", "concat('[', array_join(transform(corners, r -> concat('[', array_join(r, ','), ']')), ','), ']') AS rings")
+        "k", "x", "y", "h", "concat('[', array_join(transform(corners, r -> concat('[', array_join(r, ','), ']')), ','), ']') AS rings")
     polygon = rings.selectExpr(
-        "k", """CASE WHEN k % 3 = 0 THEN concat('{"type":"Feature","geometry":{"type":"Polygon","coordinates":', rings, '}}')
+        "k", "x", "y", "h", """CASE WHEN k % 3 = 0 THEN concat('{"type":"Feature","geometry":{"type":"Polygon","coordinates":', rings, '}}')
                 ELSE concat('{"type":"Polygon","coordinates":', rings, '}') END AS body""")
     many = """concat('{"type":"Polygon","coordinates":[[', array_join(transform(sequence(0, 500),
         i -> concat('[', i / 1024D, ',', i % 7 / 1024D, ']')), ','), ',[0,0]]]}')"""
@@ -250,5 +261,9 @@ def polygon_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN 22 THEN '{{"type":"Polygon","coordinates":[[[0,0],[1,0,5],[1,1],[0,0]]]}}'
         WHEN 23 THEN {many}
         WHEN 24 THEN '{{"type":"Polygon"'
+        WHEN 27 THEN {_planted("x,y x+h,y x+h,y+h x,y+h x,y", "x+h/2,y+h/2 x+2*h,y+h/2 x+h/2,y+h/4 x+h/2,y+h/2")}
+        WHEN 28 THEN {_planted("x,y x+h,y x+h,y+h x+2*h,y+2*h x+h,y+h x,y+h x,y")}
+        WHEN 31 THEN {_planted("x,y x,y x,y x,y")}
+        WHEN 32 THEN {_planted("x-40,y+h x+40,y+h x+41,y+2 x,y+4 x-41,y+2 x-40,y+h")}
         WHEN 26 THEN '{{"type":"Polygon","coordinates":[[[-100,0],[0,-1],[100,0],[0,50],[-100,0]]]}}'
         ELSE body END AS body""")

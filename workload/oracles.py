@@ -118,17 +118,24 @@ _POLYGON_REASON = """CASE k % 50 WHEN 11 THEN 'body:not_an_object' WHEN 12 THEN
     WHEN 21 THEN 'position:not_numeric' WHEN 22 THEN 'position:shape' WHEN 23 THEN 'vertices:too_many'
     WHEN 24 THEN 'body:not_an_object' WHEN 26 THEN 'polygon:too_wide' END"""
 
+# Bow-ties, and what the request table plants by the supplier number.
+_CROSSING = "(k % 10 = 9 OR k % 50 IN (27, 28, 31, 32))"
+
 SHAPE = f"""p0 AS (SELECT s_suppkey AS k, CAST(-74 AS DOUBLE) + CAST(k * 53 % 256 AS DOUBLE)/1024 + CAST(1 AS DOUBLE)/2048 AS x,
     CAST(40.5 AS DOUBLE) + CAST(k * 29 % 200 AS DOUBLE)/1024 + CAST(1 AS DOUBLE)/2048 AS y,
     CAST(1 + k % 8 AS DOUBLE)/256 AS h, {_POLYGON_REASON} AS reason FROM supplier),
-p1 AS (SELECT *, CASE
+p1 AS (SELECT *, CASE k % 50
+    WHEN 27 THEN [[[0, 0], [h, 0], [h, h], [0, h], [0, 0]], [[h/2, h/2], [2*h, h/2], [h/2, h/4], [h/2, h/2]]]
+    WHEN 28 THEN [[[0, 0], [h, 0], [h, h], [2*h, 2*h], [h, h], [0, h], [0, 0]]]
+    WHEN 31 THEN [[[0, 0], [0, 0], [0, 0], [0, 0]]]
+    WHEN 32 THEN [[[-40, h], [40, h], [41, 2], [0, 4], [-41, 2], [-40, h]]] ELSE CASE
     WHEN k % 10 = 9 THEN [[[-h, -h], [h, h], [h, -h], [-h, h], [-h, -h]]]
     WHEN k % 4 = 0 THEN [[[-h, -h], [h, -h], [h, h], [-h, h], [-h, -h]]]
     WHEN k % 4 = 1 THEN [[[-h, -h], [h, -h], [0, 0], [h, h], [-h, h], [-h, -h]]]
     WHEN k % 4 = 2 THEN [[[-h, -h], [h, -h], [h, h], [-h, h], [-h, -h]],
                          [[-h/2, -h/2], [h/2, -h/2], [h/2, h/2], [-h/2, h/2], [-h/2, -h/2]]]
-    ELSE [[[-h, -h], [h, 0], [-h, h], [-h, -h]]] END AS rings FROM p0),
-pring AS (SELECT k, x, y, h, unnest(rings) AS ring FROM p1 WHERE reason IS NULL AND k % 10 <> 9),
+    ELSE [[[-h, -h], [h, 0], [-h, h], [-h, -h]]] END END AS rings FROM p0),
+pring AS (SELECT k, x, y, h, unnest(rings) AS ring FROM p1 WHERE reason IS NULL AND NOT {_CROSSING}),
 pedge0 AS (SELECT k, x, y, h, ring, unnest(range(1, len(ring))) AS i FROM pring),
 pedge AS (SELECT k, x + h AS reach_e, x - h AS reach_w, y + h + CAST(0.01 AS DOUBLE) AS reach_n, y - h AS reach_s,
     x - h AS o, (x + ring[i][1]) - (x - h) AS xa, y + ring[i][2] AS ya,
@@ -333,7 +340,7 @@ ORACLES = {
     "within_join": with_(f"{S}, {SHAPE}", "SELECT polygon_id, CAST(r AS INT) AS rank, id, species_id FROM (SELECT k AS polygon_id, id, "
                          "species_id, row_number() OVER (PARTITION BY k ORDER BY id) AS r FROM pin) WHERE r <= 200"),
     "within_totals": with_(f"{S}, {SHAPE}", "SELECT p1.k AS polygon_id, count(pin.id) AS count FROM p1 LEFT JOIN pin ON pin.k = p1.k "
-                            "WHERE reason IS NULL AND p1.k % 10 <> 9 GROUP BY p1.k"),
+                            f"WHERE reason IS NULL AND NOT {_CROSSING.replace('k %', 'p1.k %')} GROUP BY p1.k"),
     "within_top_species": with_(INSIDE, "SELECT species_id, count(*) AS count FROM inside GROUP BY species_id "
                                         "ORDER BY count DESC, species_id LIMIT 5"),
     "species_filter_type": with_(f"{S}, {C}", "SELECT s.species_id, count(*) AS count FROM s JOIN c ON c.species_id = s.species_id "
@@ -422,7 +429,7 @@ ORACLES = {
         FROM req"""),
     "polygon_checks": with_(f"{S}, {SHAPE}", "SELECT k AS polygon_id, reason, CASE WHEN reason IS NULL THEN CAST(len(rings) AS INT) END "
                             "AS n_rings, CASE WHEN reason IS NULL THEN CAST(len(flatten(rings)) AS INT) END AS n_points FROM p1"),
-    "self_intersection": with_(f"{S}, {SHAPE}", "SELECT k AS polygon_id, k % 10 = 9 AS crosses FROM p1 WHERE reason IS NULL"),
+    "self_intersection": with_(f"{S}, {SHAPE}", f"SELECT k AS polygon_id, {_CROSSING} AS crosses FROM p1 WHERE reason IS NULL"),
     "load_report": with_(RAW, """SELECT step, count(*) AS rows, CASE WHEN step = 'first' THEN count(DISTINCT id) ELSE 0 END AS inserted,
         count(*) - CASE WHEN step = 'first' THEN count(DISTINCT id) ELSE 0 END AS duplicate_ids
         FROM good, (VALUES ('first'), ('again')) t(step) GROUP BY step"""),
