@@ -65,32 +65,30 @@ ORACLES = {
         p.component_id = n.id AS kept
     FROM nodes n JOIN parts p ON p.id = n.id""",
     "op4_url_rules": f"""
-    WITH u0 AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+    WITH RECURSIVE u0 AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
     u1 AS (SELECT *, split_part(split_part(rest, '#', 1), '?', 1) AS place FROM u0),
     u2 AS (SELECT page_id, url, coalesce(translate(split_part(place, '/', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
         CASE WHEN strpos(place, '/') > 0 THEN substr(place, strpos(place, '/')) ELSE '' END AS path,
         CASE WHEN strpos(url, '?') > 0 THEN regexp_extract(url, '\\?([^#]*)', 1) ELSE '' END AS query FROM u1),
-    u3 AS (SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS names,
-        list_filter(flatten(list_transform(list_filter(string_split(host, '.'), lambda x: contains(x, '-')),
-            lambda x: string_split(x, '-'))), lambda x: x <> '') AS words FROM u2),
+    u3 AS (SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS names FROM u2),
+    u4 AS (SELECT *, list_slice(names, 1, greatest(0, len(names) - 2)) AS labels FROM u3),
+    u5 AS (SELECT *, list_filter(flatten(list_transform(labels, lambda x: string_split(x, '-'))), lambda x: x <> '') AS words FROM u4),
     urls AS (SELECT page_id, host, path, {_listed('rule')} AS rule, {_listed('verdict')} AS listed, words,
         CASE WHEN strpos(url, '://') > 0 AND host <> '' THEN list_distinct(flatten([
             ['scheme:' || lower(split_part(url, '://', 1))],
             ['site:' || array_to_string(list_slice(names, greatest(0, len(names) - 2) + 1, len(names)), '.')],
-            list_transform(list_slice(names, 1, greatest(0, len(names) - 2)), lambda x: 'host:' || x),
+            list_transform(list_filter(labels, lambda x: contains(x, '-')), lambda x: 'host:' || x),
             list_transform(words, lambda x: 'word:' || x),
             list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: 'path:' || regexp_replace(x, '[0-9]+', '#', 'g')),
             list_transform(list_filter(string_split(query, '&'), lambda x: x <> ''), lambda x: 'query:' || split_part(x, '=', 1)),
-            CASE WHEN strpos(url, '#') > 0 THEN ['anchor'] ELSE [] END])) ELSE [] END AS tokens FROM u3),
+            CASE WHEN strpos(url, '#') > 0 THEN ['anchor'] ELSE [] END])) ELSE [] END AS tokens FROM u5),
     flags AS (SELECT page_id, bool_or(bad) AS bad FROM (SELECT doc_id AS page_id, quality = 0 OR toxic = 1 AS bad FROM labels
         UNION ALL SELECT page_id, true FROM urls WHERE list_has_any(words, {list(SEED_WORDS)!r})) GROUP BY page_id),
     marked AS (SELECT u.page_id, tokens, bad FROM urls u JOIN flags f ON u.page_id = f.page_id WHERE len(tokens) > 0 AND bad IS NOT NULL),
     least AS (SELECT greatest({MIN_ROWS}, ceil({MIN_SUPPORT}::DOUBLE * count(*))) AS n FROM marked),
     tok AS (SELECT page_id, bad, unnest(tokens) AS t FROM marked),
-    combos AS (SELECT [t] AS rule_tokens, bad FROM tok
-        UNION ALL SELECT [a.t, b.t], a.bad FROM tok a JOIN tok b ON a.page_id = b.page_id AND a.t < b.t
-        UNION ALL SELECT [a.t, b.t, c.t], a.bad FROM tok a JOIN tok b ON a.page_id = b.page_id AND a.t < b.t
-            JOIN tok c ON a.page_id = c.page_id AND b.t < c.t),
+    combos AS (SELECT page_id, [t] AS rule_tokens, bad FROM tok
+        UNION ALL SELECT c.page_id, list_append(c.rule_tokens, b.t), c.bad FROM combos c JOIN tok b ON c.page_id = b.page_id AND c.rule_tokens[-1] < b.t),
     rules AS (SELECT rule_tokens, count_if(bad)::DOUBLE / count(*) AS confidence FROM combos GROUP BY rule_tokens
         HAVING count_if(bad) >= (SELECT n FROM least) AND count_if(bad)::DOUBLE / count(*) >= {MIN_CONFIDENCE}::DOUBLE),
     pruned AS (SELECT * FROM rules r WHERE NOT EXISTS (SELECT 1 FROM rules p WHERE len(p.rule_tokens) < len(r.rule_tokens)

@@ -1,8 +1,8 @@
 """URL filters: a rule list, and association rules mined from labelled URLs for the URLs that no listed rule fits.
 
-A URL is a set of tokens: its scheme, its site, the labels of its host before that and their hyphenated words, its path segments
-(numbers as ``#``) and its query keys. FP-growth mines the token combinations of the labelled URLs; a combination of up to ``MOST_TOKENS`` tokens is a rule if enough
-labelled URLs have it (support), enough of those are bad (confidence), and it is no worse than each of its parts. Rules are
+A URL is a set of tokens: its scheme, its site, the words of the host labels before that and the hyphenated labels themselves, its path
+segments (numbers as ``#``) and its query keys. FP-growth mines the token combinations of the labelled URLs; a combination of any size is a
+rule if enough labelled URLs have it (support), enough of those are bad (confidence), and it is better than each rule inside it. Rules are
 found through an inverted index: a rule is listed under its rarest token, a URL looks up its tokens there, and the
 other tokens of the rule are then compared. All steps are DataFrame and SQL functions.
 """
@@ -20,7 +20,6 @@ from roamgrid.session import materialize
 MIN_SUPPORT = 0.002
 MIN_ROWS = 8
 MIN_CONFIDENCE = 0.8
-MOST_TOKENS = 3
 # Words in a host label that mark a URL as bad when labels are made.
 SEED_WORDS = ("ads", "adult", "bets", "casino", "gambling", "malware", "phishing", "pills", "porn", "spam", "warez", "xxx")
 # Fixed values of the rule list: host ending, path prefix, verdict.
@@ -51,10 +50,15 @@ def listed_rule(host: Column, path: Column, rules=LISTED) -> tuple[Column, Colum
     return rule, verdict
 
 
+def _labels(host: Column) -> Column:
+    """The labels of a host before its site, which is the last two."""
+    names = F.filter(F.split(host, r"\."), lambda x: x != "")
+    return F.slice(names, F.lit(1), F.greatest(F.lit(0), F.size(names) - 2))
+
+
 def host_words(host: Column) -> Column:
-    """The words of the hyphenated labels of a host."""
-    hyphenated = F.filter(F.split(host, r"\."), lambda x: x.contains("-"))
-    return F.filter(F.flatten(F.transform(hyphenated, lambda x: F.split(x, "-"))), lambda x: x != "")
+    """The words of the labels of a host before its site, split at hyphens."""
+    return F.filter(F.flatten(F.transform(_labels(host), lambda x: F.split(x, "-"))), lambda x: x != "")
 
 
 def tokens(url: Column, host: Column, path: Column) -> Column:
@@ -62,8 +66,7 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     names = F.filter(F.split(host, r"\."), lambda x: x != "")
     cut = F.greatest(F.lit(0), F.size(names) - 2)
     site = F.array(F.concat(F.lit("site:"), F.concat_ws(".", F.slice(names, cut + 1, F.lit(2)))))
-    before = F.slice(names, F.lit(1), cut)
-    labels = F.transform(before, lambda x: F.concat(F.lit("host:"), x))
+    labels = F.transform(F.filter(_labels(host), lambda x: x.contains("-")), lambda x: F.concat(F.lit("host:"), x))
     parts = F.transform(host_words(host), lambda x: F.concat(F.lit("word:"), x))
     segments = F.filter(F.split(path, "/"), lambda x: x != "")
     shaped = F.transform(segments, lambda x: F.concat(F.lit("path:"), F.regexp_replace(x, "[0-9]+", "#")))
@@ -86,8 +89,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                        F.coalesce(tokens(F.col("url"), F.col("host"), F.col("path")), F.array().cast("array<string>")).alias("tokens"))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-         most_tokens: int = MOST_TOKENS) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``rule_tokens, support, confidence`` of the rules "these tokens, hence bad" from ``tokens`` and ``bad`` (boolean) rows.
 
     The support of a rule is the number of bad rows with its tokens, at least ``min_support`` of all rows and ``MIN_ROWS``. A rule that
@@ -103,7 +105,7 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     if least > total:
         return labelled.sparkSession.createDataFrame([], schema)
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / total), minConfidence=min_confidence).fit(baskets)
-    sets = materialize(model.freqItemsets.filter(F.size("items") <= most_tokens + 1).select(
+    sets = materialize(model.freqItemsets.select(
         F.array_sort("items").alias("items"), F.col("freq").cast("long").alias("freq")), "itemsets")
     bad = sets.filter(F.array_contains("items", _BAD) & (F.size("items") > 1)).select(
         F.array_remove("items", _BAD).alias("rule_tokens"), F.col("freq").alias("support"))
@@ -111,22 +113,27 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     rules = bad.join(every, "rule_tokens").select("rule_tokens", "support", (F.col("support") / F.col("seen")).alias("confidence")).filter(
         F.col("confidence") >= min_confidence)
     rules = materialize(rules, "rules")
-    # Parts of a rule: its combinations without one token or, of three, without two.
-    parts = rules.select(F.col("rule_tokens").alias("whole"), F.col("confidence").alias("own"), F.explode(F.array_union(
-        F.transform("rule_tokens", lambda x: F.array_remove("rule_tokens", x)),
-        F.transform("rule_tokens", lambda x: F.array(x)))).alias("rule_tokens")).filter("size(rule_tokens) < size(whole)")
-    worse = parts.join(rules, "rule_tokens").filter("confidence >= own").select(F.col("whole").alias("rule_tokens")).distinct()
-    return rules.join(worse, "rule_tokens", "left_anti")
+    # Rules inside a rule are found like rules inside a URL: by their rarest token.
+    inside = _indexed(rules, rules.select(F.explode("rule_tokens").alias("token"))).select(
+        "token", F.col("rule_tokens").alias("part"), F.col("confidence").alias("part_confidence"))
+    asked = rules.select("rule_tokens", "confidence", F.explode("rule_tokens").alias("token"))
+    worse = asked.join(inside, "token").filter((F.size("part") < F.size("rule_tokens")) & (F.col("part_confidence") >= F.col("confidence"))
+                                               & (F.size(F.array_except("part", "rule_tokens")) == 0))
+    return rules.join(worse.select("rule_tokens").distinct(), "rule_tokens", "left_anti")
+
+
+def _indexed(rules: DataFrame, found: DataFrame) -> DataFrame:
+    """``token, rule_tokens, confidence``: every rule under the token of it that is rarest among the ``token`` rows of ``found``."""
+    weights = found.groupBy("token").count()
+    listed = materialize(rules.select(F.monotonically_increasing_id().alias("id"), "rule_tokens", "confidence"), "index")
+    rarest = listed.select("id", F.explode("rule_tokens").alias("token")).join(weights, "token").groupBy("id").agg(
+        F.min(F.struct("count", "token")).alias("first"))
+    return listed.join(rarest, "id").select(F.col("first.token").alias("token"), "rule_tokens", "confidence")
 
 
 def match(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """``page_id, confidence``: the best confidence of the rules whose tokens a page has, for pages with one."""
-    weights = rows.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    listed = rules.select(F.monotonically_increasing_id().alias("id"), "rule_tokens", "confidence")
-    listed = materialize(listed, "index")
-    rarest = listed.select("id", F.explode("rule_tokens").alias("token")).join(weights, "token").groupBy("id").agg(
-        F.min(F.struct("count", "token")).alias("first"))
-    index = listed.join(rarest, "id").select(F.col("first.token").alias("token"), "rule_tokens", "confidence")
+    index = _indexed(rules, rows.select(F.explode("tokens").alias("token")))
     asked = rows.select("page_id", "tokens", F.explode("tokens").alias("token"))
     hits = asked.join(index, "token").filter(F.size(F.array_except("rule_tokens", "tokens")) == 0)
     return hits.groupBy("page_id").agg(F.max("confidence").alias("confidence"))

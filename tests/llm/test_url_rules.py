@@ -37,6 +37,7 @@ def test_parts_and_listed_rules(spark):
         assert (got[i]["host"], got[i]["path"]) == (host, path), url
         assert (got[i]["rule"], got[i]["listed"]) == listed(host, path), url
     assert got[URLS.index("org/fr/")]["tokens"] == [] and got[URLS.index(None)]["tokens"] == []
+    assert "word:b" in got[URLS.index("http://b.example.org/fr/9#top")]["tokens"]
     assert {"word:casino", "word:b", "host:a-b", "site:example.com", "path:x"} <= set(got[len(URLS) - 1]["tokens"])
 
 
@@ -46,12 +47,12 @@ def baskets():
     out = []
     for _ in range(400):
         own = {t for t in "abcdefg" if rng.random() < 0.4}
-        bad = {"a", "b"} <= own or ("c" in own and rng.random() < 0.5) or {"d", "e", "f"} <= own
+        bad = {"a", "b"} <= own or ("c" in own and rng.random() < 0.5) or {"d", "e", "f", "g"} <= own
         out.append((sorted(own), bad))
     return out
 
 
-def mined(baskets, support, confidence, most=3):
+def mined(baskets, support, confidence, most=7):
     least, found = max(url_rules.MIN_ROWS, -(-support * len(baskets) // 1)), {}
     for n in range(1, most + 1):
         for combo in itertools.combinations("abcdefg", n):
@@ -67,6 +68,8 @@ def test_mined_rules_against_all_combinations(spark, baskets, support, confidenc
     rows = spark.createDataFrame([(own, bad) for own, bad in baskets if own], "tokens array<string>, bad boolean")
     got = {tuple(r["rule_tokens"]): (r["support"], pytest.approx(r["confidence"])) for r in url_rules.mine(rows, support, confidence).collect()}
     assert got == mined([b for b in baskets if b[0]], support, confidence)
+    if support < 0.05:
+        assert ("d", "e", "f", "g") in got  # no bound on the tokens of a rule
 
 
 def test_matching_through_the_index(spark, baskets):
@@ -94,3 +97,11 @@ def test_judge(spark):
     assert url_rules.judge(pages.limit(0), url_rules.page_labels(pages.limit(0), none)).count() == 0
     plain = pages.filter("url not like '%casino%'")
     assert plain.count() == url_rules.judge(plain, url_rules.page_labels(plain, none)).count()
+
+
+def test_words_of_every_label_count(spark):
+    urls = [(i, f"http://{'casino' if i % 4 == 0 else 'plain'}.example.com/en/{i}") for i in range(80)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1, 80, 4)], "doc_id long, quality int, toxic int")
+    rows = url_rules.judge(pages, url_rules.page_labels(pages, labels)).collect()
+    assert {r["page_id"] for r in rows if r["verdict"] == "block"} == set(range(0, 80, 4))
