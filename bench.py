@@ -23,7 +23,7 @@ from workload.queries import QUERIES
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 REPS = int(os.environ.get("BENCH_REPS", "3"))
-HEADLINE = ["grid_bench", "grid_cells", "hotspots", "time_all", "species_hour", "near", "near_species", "geonear", "heat", "within", "near_join",
+HEADLINE = ["grid_bench", "grid_cells", "hotspots", "time_all", "species_hour", "near", "near_species", "geonear", "served_near", "served_geonear", "served_within", "heat", "list_grid", "within", "near_join",
             "within_totals", "within_join", "dedup", "clean_report", "stride_sample", "profile_freq", "profile_dups",
             "point_stats", "pair_stats", "compare_views", "load_report"]
 # Row counts of the published timings, and seconds of the fastest published configuration for each.
