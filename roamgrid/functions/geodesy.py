@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -48,31 +49,68 @@ def in_box(lng: Column, lat: Column, box: dict[str, Column]) -> Column:
 # ---- polygons -------------------------------------------------------------------------------------------------------
 # Edges are great circles. A point is inside when an odd number of edges lies north of it on its meridian; the edges of
 # all rings go in one list, so a hole takes its area out by itself. Longitudes are relative to the first vertex, which
-# keeps polygons across +-180 in one piece; a polygon must span less than 180 degrees.
+# keeps polygons across +-180 in one piece. A polygon of 180 degrees or more is measured from a line of the lattice, its edges
+# are cut where they cross the opposite meridian, and the north pole counts as inside when the smaller side of its rings holds it.
 
 def relative_lng(lng: Column, origin: Column) -> Column:
     return F.pmod(lng - origin + 180, F.lit(360.0)) - 180
 
 
+def lng_span(rings: Column) -> Column:
+    """Degrees of longitude between the outermost vertices, measured from the first one, so also across +-180."""
+    places = F.transform(F.flatten(rings), lambda p: relative_lng(p["lng"], rings[0][0]["lng"]))
+    return F.array_max(places) - F.array_min(places)
+
+
 def polygon_edges(rings: Column, origin: Column) -> Column:
     """Edges as (west, east, tan of the latitude at either end, sine of the width); meridian edges never count."""
-    def edge(a: Column, b: Column) -> Column:
-        xa, xb = relative_lng(a["lng"], origin), relative_lng(b["lng"], origin)
-        ta, tb = F.tan(F.radians(a["lat"])), F.tan(F.radians(b["lat"]))
-        forward = xa <= xb
-        return F.struct(
-            F.least(xa, xb).alias("w"), F.greatest(xa, xb).alias("e"),
-            F.when(forward, ta).otherwise(tb).alias("tw"), F.when(forward, tb).otherwise(ta).alias("te"),
-            F.sin(F.radians(F.abs(xb - xa))).alias("s"),
-        )
+    def place(p: Column) -> Column:
+        return F.struct(relative_lng(p["lng"], origin).alias("x"), F.tan(F.radians(p["lat"])).alias("t"))
+
+    def edge(w: Column, tw: Column, e: Column, te: Column) -> Column:
+        return F.struct(w.alias("w"), e.alias("e"), tw.alias("tw"), te.alias("te"), F.sin(F.radians(e - w)).alias("s"))
+
+    def pieces(a: Column, b: Column) -> Column:
+        west, east = F.when(a["x"] <= b["x"], a).otherwise(b), F.when(a["x"] <= b["x"], b).otherwise(a)
+        # The shorter way leads over the meridian at 180 degrees from the origin, from the eastern end on.
+        begin, end = east["x"], west["x"] + 360
+        at_seam = (F.sin(F.radians(end - 180)) * east["t"] + F.sin(F.radians(180 - begin)) * west["t"]) / F.sin(F.radians(end - begin))
+        return F.when(end - begin < 180, F.array(edge(begin, east["t"], F.lit(180.0), at_seam), edge(F.lit(-180.0), at_seam, west["x"], west["t"]))) \
+            .otherwise(F.array(edge(west["x"], west["t"], east["x"], east["t"])))
 
     def ring_edges(ring: Column) -> Column:
-        n = F.size(ring) - 1
-        return F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n), edge)
+        n, placed = F.size(ring) - 1, F.transform(ring, place)
+        return F.flatten(F.zip_with(F.slice(placed, 1, n), F.slice(placed, 2, n), pieces))
 
     return F.flatten(F.transform(rings, ring_edges))
 
 
+def poles_inside(rings: Column) -> tuple[Column, Column]:
+    """Whether the north and the south pole are inside; the inside of a ring is its smaller side.
+
+    Areas between edges and the equator add up to the area of the side that does not hold the north pole, less the southern half
+    globe if the ring goes around the poles. Of two equal sides, the one to the left of the ring is meant.
+    """
+    def step(a: Column, b: Column) -> Column:
+        turn = relative_lng(b["lng"], a["lng"])
+        ua, ub = F.tan(F.radians(a["lat"]) / 2), F.tan(F.radians(b["lat"]) / 2)
+        return F.struct(turn.alias("turn"), (F.atan2(F.tan(F.radians(turn) / 2) * (ua + ub), ua * ub + 1) * 2).alias("area"))
+
+    def sums(ring: Column) -> Column:
+        n, zero = F.size(ring) - 1, F.struct(F.lit(0.0).alias("turn"), F.lit(0.0).alias("area"))
+        return F.aggregate(F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n), step), zero, lambda s, e: F.struct(
+            (s["turn"] + e["turn"]).alias("turn"), (s["area"] + e["area"]).alias("area")))
+
+    def northern(r: Column) -> Column:
+        around = F.abs(r["turn"]) > 180
+        side = F.when(around, F.signum(r["turn"]) * r["area"]).otherwise(F.abs(r["area"]) - 2 * math.pi)
+        return F.when(F.abs(side) < 1e-9, F.when(around, r["turn"] > 0).otherwise(r["area"] > 0)).otherwise(side > 0)
+
+    rings = F.transform(rings, sums)
+    north = F.aggregate(rings, F.lit(False), lambda odd, r: odd != northern(r))
+    return north, F.aggregate(rings, north, lambda odd, r: odd != (F.abs(r["turn"]) > 180))
+
+
 def constant_edges(rings: list[list[tuple[float, float]]]) -> list[dict]:
     """The same edges of one known polygon. Their ends are numbers and everything else folds to constants."""
     origin = rings[0][0][0]
@@ -126,18 +164,30 @@ def _edge_top(e: Column, sign: int) -> Column:
 
 
 def prepare_polygons(polygons: DataFrame) -> DataFrame:
-    """Replace ``rings`` by ``origin, edges`` and a bounding box that includes the bulge of the edges."""
-    with_origin = polygons.withColumn("origin", F.col("rings")[0][0]["lng"])
-    with_edges = compute_once(with_origin, edges=polygon_edges(F.col("rings"), F.col("origin"))).drop("rings")
+    """Replace ``rings`` by ``origin, edges``, whether the north pole is inside (``pole``), and a bounding box that includes the bulge
+    of the edges.
+
+    The box of a polygon with a pole inside takes all longitudes. Boxes of wide polygons end at 180 degrees from the origin, a line
+    of the largest lattice.
+    """
+    first, wide = F.col("rings")[0][0]["lng"], lng_span(F.col("rings")) >= 180
+    largest = LEVELS[-1].deg
+    with_origin = compute_once(polygons, wide=wide, origin=F.when(wide, F.round(first / largest) * largest).otherwise(first))
+    north, south = poles_inside(F.col("rings"))
+    no = F.lit(False)
+    with_edges = compute_once(with_origin, edges=polygon_edges(F.col("rings"), F.col("origin")), pole=F.when(F.col("wide"), north).otherwise(no),
+                              south_pole=F.when(F.col("wide"), south).otherwise(no)).drop("rings")
     ranged = F.transform("edges", lambda e: e.withField("top", _edge_top(e, 1)).withField("low", _edge_top(e, -1)))
     with_edges = compute_once(with_edges, edges=ranged)
-    edges = F.col("edges")
+    edges, any_pole = F.col("edges"), F.col("pole") | F.col("south_pole")
+    west, east = F.array_min(F.transform(edges, lambda e: e["w"])) - _PAD, F.array_max(F.transform(edges, lambda e: e["e"])) + _PAD
+    full = F.lit(180.0)
     return compute_once(
         with_edges,
-        south=F.array_min(F.transform(edges, lambda e: e["low"])) - _PAD,
-        north=F.array_max(F.transform(edges, lambda e: e["top"])) + _PAD,
-        west=F.col("origin") + F.array_min(F.transform(edges, lambda e: e["w"])) - _PAD,
-        east=F.col("origin") + F.array_max(F.transform(edges, lambda e: e["e"])) + _PAD)
+        south=F.when(F.col("south_pole"), F.lit(-90.0)).otherwise(F.array_min(F.transform(edges, lambda e: e["low"])) - _PAD),
+        north=F.when(F.col("pole"), F.lit(90.0)).otherwise(F.array_max(F.transform(edges, lambda e: e["top"])) + _PAD),
+        west=F.col("origin") + F.when(any_pole, -full).when(F.col("wide"), F.greatest(west, -full)).otherwise(west),
+        east=F.col("origin") + F.when(any_pole, full).when(F.col("wide"), F.least(east, full)).otherwise(east)).drop("wide", "south_pole")
 
 
 # ---- lattice --------------------------------------------------------------------------------------------------------
@@ -204,9 +254,9 @@ def cover_cells(ranged: DataFrame, levels: list[Level] = LEVELS) -> DataFrame:
     return cells.withColumn("cell", key).drop("level", "cx0", "cx1", "cy0", "cy1", "across", "cells")
 
 
-def cell_edges(edges: Column, origin: Column) -> tuple[Column, Column]:
+def cell_edges(edges: Column, origin: Column, pole: Column | None = None) -> tuple[Column, Column]:
     """What of a polygon the cell ``cx, cy, deg`` of its cover needs: a start value for the count of edges north of a point, and
-    the edges that still have to be looked at.
+    the edges that still have to be looked at. ``pole`` tells whether the north pole is inside.
 
     Edges beside or south of the cell never count. If no edge comes down to the cell, it is inside or outside as a whole, as its
     middle is, and needs no edges. Otherwise edges north of it that span all its columns are counted beforehand.
@@ -226,7 +276,7 @@ def cell_edges(edges: Column, origin: Column) -> tuple[Column, Column]:
     crossed = F.exists(edges, lambda e: (e["w"] < x1) & (e["e"] > x0) & (e["top"] >= south) & (e["low"] <= north))
     at_middle = F.size(F.filter(edges, lambda e: counts(e) & (e["w"] <= middle) & (middle < e["e"]))) % 2 == 1
     whole = F.size(F.filter(edges, lambda e: counts(e) & always(e))) % 2 == 1
-    return (F.when(crossed, whole).otherwise(at_middle),
+    return (F.when(crossed, whole).otherwise(at_middle) != (F.lit(False) if pole is None else pole),
             F.when(crossed, F.filter(edges, lambda e: counts(e) & ~always(e))).otherwise(F.slice(edges, 1, 0)))
 
 

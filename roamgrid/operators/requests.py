@@ -134,11 +134,19 @@ def _points(ring: Column) -> Column:
     return F.transform(_items(ring), point)
 
 
-def _width(rings: Column) -> Column:
-    """Degrees of longitude between the outermost vertices, measured from the first one, so also across +-180."""
-    origin = rings[0][0]["lng"]
-    places = F.transform(F.flatten(rings), lambda p: relative_lng(p["lng"], origin))
-    return F.array_max(places) - F.array_min(places)
+def _antipodal(rings: Column) -> Column:
+    """Whether an edge joins opposite places of the globe, so that no great circle is the shortest."""
+    def vector(p: Column) -> Column:
+        return F.struct(F.radians(p["lng"]).alias("lng"), F.sin(F.radians(p["lat"])).alias("z"), F.cos(F.radians(p["lat"])).alias("r"))
+
+    def opposite(a: Column, b: Column) -> Column:
+        return a["r"] * b["r"] * F.cos(a["lng"] - b["lng"]) + a["z"] * b["z"] < -1 + 1e-14
+
+    def found(ring: Column) -> Column:
+        vectors, n = F.transform(ring, vector), F.size(ring) - 1
+        return F.array_contains(F.zip_with(F.slice(vectors, 1, n), F.slice(vectors, 2, n), opposite), True)
+
+    return F.exists(rings, found)
 
 
 def check_polygons(requests: DataFrame) -> DataFrame:
@@ -160,13 +168,15 @@ def check_polygons(requests: DataFrame) -> DataFrame:
         (~F.try_variant_get("_g", "$.type", "string").eqNullSafe("Polygon"), "type:not_polygon"),
         (F.coalesce(F.size("_rings"), F.lit(-1)) < 1, "rings:missing"),
     ]).otherwise(F.coalesce(ring_problem, F.when(vertices > MAX_VERTICES, "vertices:too_many"),
-                            F.when(_width(F.col("rings")) >= 180, "polygon:too_wide")))
+                            F.when(_antipodal(F.col("rings")), "edge:antipodal")))
     checked = compute_once(shaped, reason=reason)
     return checked.select("polygon_id", F.when(F.col("reason").isNull(), F.col("rings")).alias("rings"), "reason")
 
 
 # Volumes of three unit vectors below this are taken as zero: the points lie on one great circle.
 _FLAT = 1e-15
+# What rounding alone makes of such a volume.
+_NOISE = 4e-16
 
 
 def _vertex(point: Column, origin: Column) -> Column:
@@ -189,14 +199,21 @@ def _at_one_place(p: Column, q: Column) -> Column:
 def _cross(e: Column, f: Column) -> Column:
     """Whether two arcs without a common end meet inside: the ends of each lie on either side of the other, on one half of the globe."""
     a, b, c, d = e["a"], e["b"], f["a"], f["b"]
-    first, second, third, fourth = -_volume(a, b, c), _volume(a, b, d), -_volume(c, d, b), _volume(c, d, a)
-    return (first * second > 0) & (first * third > 0) & (first * fourth > 0)
+    volumes = -_volume(a, b, c), _volume(a, b, d), -_volume(c, d, b), _volume(c, d, a)
+    return ((F.least(*volumes) > 0) | (F.greatest(*volumes) < 0)) & (F.greatest(*map(F.abs, volumes)) > _NOISE)
 
 
 def _fold(at: Column, p: Column, q: Column) -> Column:
     """Whether the arcs from ``at`` to two points leave in one direction, so that one retraces the other."""
-    forward = ((p["x"] - at["x"]) * (q["x"] - at["x"]) + (p["y"] - at["y"]) * (q["y"] - at["y"]) + (p["z"] - at["z"]) * (q["z"] - at["z"]))
-    return (F.abs(_volume(p, at, q)) <= _FLAT) & (forward > 0)
+    def away(u: Column) -> list[Column]:
+        return [u[c] - at[c] for c in "xyz"]
+
+    def dot(u: list[Column], v: list[Column]) -> Column:
+        return u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
+
+    up = [at[c] for c in "xyz"]
+    # Both directions lie in the plane that touches the globe there.
+    return (F.abs(_volume(p, at, q)) <= _FLAT) & (dot(away(p), away(q)) > dot(away(p), up) * dot(away(q), up))
 
 
 def _clash(e: Column, f: Column) -> Column:
@@ -210,11 +227,16 @@ def _clash(e: Column, f: Column) -> Column:
 
 
 def _edges(ring: Column, origin: Column) -> Column:
-    """The edges of a ring as arcs; a repeated position makes none."""
+    """The edges of a ring as arcs; a repeated position makes none. One that crosses the meridian opposite the origin takes all longitudes."""
     vertices = F.transform(ring, lambda p: _vertex(p, origin))
     n = F.size(ring) - 1
-    arcs = F.zip_with(F.slice(vertices, 1, n), F.slice(vertices, 2, n), lambda a, b: F.struct(
-        a.alias("a"), b.alias("b"), F.least(a["rel"], b["rel"]).alias("west"), F.greatest(a["rel"], b["rel"]).alias("east")))
+
+    def arc(a: Column, b: Column) -> Column:
+        beyond = F.abs(a["rel"] - b["rel"]) >= 180
+        return F.struct(a.alias("a"), b.alias("b"), F.when(beyond, F.lit(-180.0)).otherwise(F.least(a["rel"], b["rel"])).alias("west"),
+                        F.when(beyond, F.lit(180.0)).otherwise(F.greatest(a["rel"], b["rel"])).alias("east"))
+
+    arcs = F.zip_with(F.slice(vertices, 1, n), F.slice(vertices, 2, n), arc)
     return F.filter(arcs, lambda e: ~_at_one_place(e["a"], e["b"]))
 
 

@@ -106,7 +106,8 @@ def inside_polygon(df: DataFrame, rings, species=None) -> DataFrame:
     rings = checked_rings(df.sparkSession, rings)
     rows = _filter_species(df, species)
     edges, origin = G.constant_edges(rings), rings[0][0][0]
-    if len(edges) > _MAX_UNROLLED:
+    wide = max(max(e["w"], e["e"]) for e in edges) - min(min(e["w"], e["e"]) for e in edges) >= 180
+    if wide or len(edges) > _MAX_UNROLLED:
         table = [(0, [[{"lng": x, "lat": y} for x, y in ring] for ring in rings])]
         schema = "polygon_id int, rings array<array<struct<lng:double,lat:double>>>"
         return polygon_pairs(rows, df.sparkSession.createDataFrame(table, schema)).drop("polygon_id")
@@ -283,15 +284,12 @@ def near_join(df: DataFrame, queries: DataFrame, max_bytes: int = BROADCAST_BYTE
 def polygon_pairs(df: DataFrame, polygons: DataFrame, max_bytes: int = BROADCAST_BYTES,
                   salt_by: list[str] | None = None) -> DataFrame:
     """All (polygon, row) matches. ``polygons``: ``polygon_id, rings`` as accepted by the polygon checks."""
-    width = F.col("east") - F.col("west")
-    too_wide = F.raise_error(F.concat(F.lit("polygon of 180 degrees or more, see check_polygons: "), F.col("polygon_id").cast("string")))
-    prepared = materialize(G.prepare_polygons(polygons).withColumn(
-        "east", F.when(width < 180 + 2 * G._PAD, F.col("east")).otherwise(too_wide.cast("double"))), "polygons")
+    prepared = materialize(G.prepare_polygons(polygons), "polygons")
     # Most cells need the few edges above their columns, counted twice here for the upper and the lower side.
     columns = F.col("cx1") - F.col("cx0") + 1
     edge_bytes = F.least(F.size("edges"), 4 + 2 * F.size("edges") / columns) * _EDGE_BYTES
     cover = _Cover.of(prepared, F.lit(_POLYGON_ROW_BYTES) + edge_bytes, max_bytes)
-    whole, touched = G.cell_edges(F.col("edges"), F.col("origin"))
+    whole, touched = G.cell_edges(F.col("edges"), F.col("origin"), F.col("pole"))
     cells = compute_once(cover.cells(), _whole=whole, _touched=touched).filter("_whole or size(_touched) > 0").select(
         "cell", "cx", "cy", "deg", "polygon_id", "origin", "_whole", "_touched")
     pairs = _cell_join(df.withColumn("_tan", F.tan(F.radians("lat"))), cover, salt_by or ["id"], cells)

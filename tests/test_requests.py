@@ -71,7 +71,11 @@ POLYGONS = [
     (polygon(SQUARE, [[0, 0], [1, 0]]), "ring:size"),
     (polygon([[i / 1000, i % 7] for i in range(500)] + [[0, 0]]), "vertices:too_many"),
     (polygon([[0, 0], [1, 1], [1, 0], [0, 1], [0, 0]]), "ring:self_intersection"),
-    (polygon([[-100, 0], [0, -1], [100, 0], [0, 50], [-100, 0]]), "polygon:too_wide"),
+    (polygon([[-100, 0], [0, -1], [100, 0], [0, 50], [-100, 0]]), None),
+    (polygon([[0, 60], [90, 60], [180, 60], [-90, 60], [0, 60]]), None),
+    (polygon([[0, 60], [180, 60], [90, 60], [-90, 60], [0, 60]]), "ring:self_intersection"),
+    (polygon([[-170, 70], [100, 20], [170, 70], [100, 80], [-170, 70]]), None),
+    (polygon([[10, 20], [-170, -20], [50, 50], [10, 20]]), "edge:antipodal"),
     (polygon([[170, 0], [-170, 0], [-170, 5], [170, 5], [170, 0]]), None),
 ]
 

@@ -79,7 +79,7 @@ def test_bad_arguments(four, bad):
 @pytest.mark.parametrize("rings", [
     None, [], [[]], [[(0, 0), (1, 0), (0, 0)]], [[(0, 0), (1, 0), (1, 1), (0, 1)]], [[(0, 0), (200, 0), (1, 1), (0, 0)]],
     [[(0, 0), (1, 95), (1, 1), (0, 0)]], [[(0, 0), ("1", 0), (1, 1), (0, 0)]], [[(0, 0), (1, 0, 5), (1, 1), (0, 0)]],
-    [[(i / 1000, i % 2) for i in range(501)] + [(0, 0)]], [[(-100, 0), (0, -1), (100, 0), (0, 50), (-100, 0)]],
+    [[(i / 1000, i % 2) for i in range(501)] + [(0, 0)]], [[(10, 20), (-170, -20), (50, 50), (10, 20)]],
     [[(30.4, -10.1), (30.6, -9.9), (30.6, -10.1), (30.4, -9.9), (30.4, -10.1)]], [[(0, 0), (math.nan, 0), (1, 1), (0, 0)]], {1}])
 def test_bad_polygons(four, rings):
     with pytest.raises(ValueError):
@@ -175,11 +175,77 @@ def test_high_limits_are_honoured(spark):
         assert counts == {1: 2500, 2: 10}
 
 
-def test_wide_polygons_are_refused_in_bulk(spark, four):
-    wide = [(1, [[{"lng": float(x), "lat": float(y)} for x, y in ((-100, 0), (0, -1), (100, 0), (0, 50), (-100, 0))]])]
-    polygons = spark.createDataFrame(wide, "polygon_id int, rings array<array<struct<lng:double,lat:double>>>")
-    with pytest.raises(Exception, match="180 degrees"):
-        spatial.within_totals(four, polygons).collect()
+def unit(p):
+    lng, lat = math.radians(p[0]), math.radians(p[1])
+    return math.cos(lat) * math.cos(lng), math.cos(lat) * math.sin(lng), math.sin(lat)
+
+
+def volume(a, b, c):
+    return ((a[1] * b[2] - a[2] * b[1]) * c[0] + (a[2] * b[0] - a[0] * b[2]) * c[1] + (a[0] * b[1] - a[1] * b[0]) * c[2])
+
+
+def arcs_cross(a, b, c, d):
+    signs = {-volume(a, b, c) > 0, volume(a, b, d) > 0, -volume(c, d, b) > 0, volume(c, d, a) > 0}
+    return len(signs) == 1
+
+
+def cap(lng, lat, radius, n):
+    """A ring of places at one distance from a centre, counter-clockwise."""
+    c, r = unit((lng, lat)), math.radians(radius)
+    e = (-math.sin(math.radians(lng)), math.cos(math.radians(lng)), 0.0)
+    north = (c[1] * e[2] - c[2] * e[1], c[2] * e[0] - c[0] * e[2], c[0] * e[1] - c[1] * e[0])
+    ring = []
+    for i in range(n):
+        t = 2 * math.pi * i / n
+        x, y, z = (math.cos(r) * c[k] + math.sin(r) * (math.cos(t) * e[k] + math.sin(t) * north[k]) for k in range(3))
+        ring.append((math.degrees(math.atan2(y, x)), math.degrees(math.asin(z))))
+    return ring + ring[:1]
+
+
+# Rings with a place inside.
+AROUND = [(x, 75.0) for x in range(-170, 171, 20)] + [(x, -75.0) for x in range(170, -171, -20)]
+WIDE = [
+    ([[(-100.0, 0.0), (0.0, -1.0), (100.0, 0.0), (0.0, 50.0), (-100.0, 0.0)]], (3.3, 20.1)),
+    ([cap(12.3, 90, 30, 7)], (31.7, 88.1)), ([cap(12.3, -90, 50, 9)[::-1]], (31.7, -88.1)),
+    ([cap(-150, 30, 80, 12)], (-149.3, 31.1)), ([cap(77.7, -41, 88, 20)[::-1]], (77.1, -40.3)),
+    ([cap(20, 80, 40, 12), cap(20, 85, 9, 8)], (20.3, 61.7)), ([cap(0.5, 90, 45, 8), cap(3.5, 90, 15, 8)[::-1]], (40.3, 62.3)),
+    ([AROUND + AROUND[:1]], (179.3, 1.7)), ([cap(171, 3, 70, 30)], (171.3, 3.7)), ([cap(0.1, 90, 30, 5), cap(140, 80, 3, 5)], (-40.3, 70.7)),
+]
+
+
+def wide_inside(rings, known, p):
+    """Whether an even number of edges lies on the arc to a place that is known to be inside."""
+    p, q = unit(p), unit(known)
+    return sum(arcs_cross(p, q, unit(a), unit(b)) for ring in rings for a, b in zip(ring, ring[1:])) % 2 == 0
+
+
+@pytest.mark.parametrize("max_bytes", [spatial.BROADCAST_BYTES, 0])
+def test_wide_polygons(spark, max_bytes):
+    """Half globes, caps around either pole, holes and a ring that leaves a strip out, against crossings in space."""
+    rng = random.Random(11)
+    places = [(rng.uniform(-180, 180), math.degrees(math.asin(rng.uniform(-1, 1)))) for _ in range(3000)]
+    places += [(rng.uniform(-180, 180), rng.choice([-1, 1]) * rng.uniform(80, 89.99)) for _ in range(500)]
+    places += [(rng.choice([-1, 1]) * rng.uniform(179, 180), rng.uniform(-90, 90)) for _ in range(500)]
+    df = spark.createDataFrame([(f"w{i:04}", 1, x, y) for i, (x, y) in enumerate(places)], "id string, species_id int, lng double, lat double")
+    table = spark.createDataFrame([(k, [[{"lng": float(x), "lat": float(y)} for x, y in r] for r in rings]) for k, (rings, _) in enumerate(WIDE)],
+                                  "polygon_id int, rings array<array<struct<lng:double,lat:double>>>")
+    got = {}
+    for r in spatial.polygon_pairs(df, table, max_bytes).select("polygon_id", "id").collect():
+        got.setdefault(r["polygon_id"], []).append(r["id"])
+    for k, (rings, known) in enumerate(WIDE):
+        wanted = [f"w{i:04}" for i, p in enumerate(places) if wide_inside(rings, known, p)]
+        assert 0 < len(wanted) < len(places) and sorted(got[k]) == wanted, k
+    if max_bytes:
+        totals = {r["polygon_id"]: r["count"] for r in spatial.within_totals(df, table).collect()}
+        assert totals == {k: len(v) for k, v in got.items()}
+        assert ids(spatial.within(df, WIDE[3][0], limit=1000)) == sorted(got[3])[:1000]
+        assert spatial.within_total(df, WIDE[1][0]).first()["total"] == len(got[1])
+
+
+def test_half_globes_lie_left_of_their_ring(spark):
+    df = spark.createDataFrame([("n", 1, 10.0, 5.0), ("s", 1, 10.0, -5.0), ("pole", 1, 0.0, 90.0)], "id string, species_id int, lng double, lat double")
+    ring = [(x, 0.0) for x in (-180, -90, 0, 90, -180)]
+    assert ids(spatial.within(df, [ring])) == ["n", "pole"] and ids(spatial.within(df, [ring[::-1]])) == ["s"]
 
 
 def shapes():

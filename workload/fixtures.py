@@ -236,6 +236,18 @@ def _planted(*rings: str) -> str:
     return """concat('{"type":"Polygon","coordinates":[', """ + ", ',', ".join(texts) + ", ']}')"
 
 
+# Polygons of 180 degrees and more, planted by the supplier number modulo 100, with a place that sees all their corners. The second one
+# lies at 80 degrees around the place and holds the north pole.
+WIDE = {26: ((0, 20), [(-100, 0), (0, -1), (100, 0), (0, 50), (-100, 0)]),
+        76: ((-150, 30), [(-68.7, 5.0), (-53.6, 30.9), (-30.7, 55.6), (30.0, 70.0), (90.7, 55.6), (113.6, 30.9),
+                          (128.7, 5.0), (144.9, -19.9), (169.5, -40.7), (-150.0, -50.0), (-109.5, -40.7), (-84.9, -19.9), (-68.7, 5.0)])}
+
+
+def _wide(k: int) -> str:
+    ring = ",".join(f"[{x},{y}]" for x, y in WIDE[k][1])
+    return f"""WHEN {k} THEN '{{"type":"Polygon","coordinates":[[{ring}]]}}'"""
+
+
 def polygon_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One GeoJSON request per supplier, with faults planted by the supplier number."""
     placed = table(spark, sf_dir, "supplier").selectExpr(
@@ -265,5 +277,6 @@ def polygon_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN 28 THEN {_planted("x,y x+h,y x+h,y+h x+2*h,y+2*h x+h,y+h x,y+h x,y")}
         WHEN 31 THEN {_planted("x,y x,y x,y x,y")}
         WHEN 32 THEN {_planted("x-40,y+h x+40,y+h x+41,y+2 x,y+4 x-41,y+2 x-40,y+h")}
-        WHEN 26 THEN '{{"type":"Polygon","coordinates":[[[-100,0],[0,-1],[100,0],[0,50],[-100,0]]]}}'
+        WHEN 33 THEN '{{"type":"Polygon","coordinates":[[[10,20],[-170,-20],[50,50],[10,20]]]}}'
+        WHEN 26 THEN CASE k % 100 {" ".join(map(_wide, WIDE))} END
         ELSE body END AS body""")

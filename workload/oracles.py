@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from workload.fixtures import WIDE
 from workload.queries import BOX, CENTER, POLYGON, PREFIX, RADIUS_M, SAMPLE, STRIDE, TYPE
 
 # ---- shared views ---------------------------------------------------------------------------------------------------
@@ -111,20 +112,44 @@ req AS (SELECT k AS query_id, reason, q_lng, q_lat, radius_m, lim,
     CASE WHEN by_type AND one IS NOT NULL THEN list_filter(ids, lambda i: i = one)
          WHEN by_type THEN ids WHEN one IS NOT NULL THEN [one] END AS ids FROM r0, tid)"""
 
-_FAULTS = "11, 12, 13, 14, 15, 16, 17, 18, 19, 21, 22, 23, 24, 26"
+_FAULTS = "11, 12, 13, 14, 15, 16, 17, 18, 19, 21, 22, 23, 24, 33"
 _POLYGON_REASON = """CASE k % 50 WHEN 11 THEN 'body:not_an_object' WHEN 12 THEN 'body:not_an_object'
     WHEN 13 THEN 'type:not_polygon' WHEN 14 THEN 'rings:missing' WHEN 15 THEN 'rings:missing' WHEN 16 THEN 'ring:size'
     WHEN 17 THEN 'ring:open' WHEN 18 THEN 'position:range' WHEN 19 THEN 'position:range'
     WHEN 21 THEN 'position:not_numeric' WHEN 22 THEN 'position:shape' WHEN 23 THEN 'vertices:too_many'
-    WHEN 24 THEN 'body:not_an_object' WHEN 26 THEN 'polygon:too_wide' END"""
+    WHEN 24 THEN 'body:not_an_object' WHEN 33 THEN 'edge:antipodal' END"""
 
 # Bow-ties, and what the request table plants by the supplier number.
 _CROSSING = "(k % 10 = 9 OR k % 50 IN (27, 28, 31, 32))"
 
+def _wide_corners() -> str:
+    return " ".join(f"WHEN {k} THEN [[" + ", ".join(f"[CAST({x} AS DOUBLE), CAST({y} AS DOUBLE)]" for x, y in ring) + "]]" for k, (_, ring) in WIDE.items())
+
+
+def _wide_triangles() -> str:
+    """Triangles of every wide polygon from the place that sees all its corners."""
+    return ", ".join(f"({k}, {p[0]}, {p[1]}, {a[0]}, {a[1]}, {b[0]}, {b[1]})" for k, (p, ring) in WIDE.items() for a, b in zip(ring, ring[1:]))
+
+
+def _vector(name: str, lng: str, lat: str) -> str:
+    lng, lat = f"radians(CAST({lng} AS DOUBLE))", f"radians(CAST({lat} AS DOUBLE))"
+    return f"cos({lat}) * cos({lng}) AS {name}x, cos({lat}) * sin({lng}) AS {name}y, sin({lat}) AS {name}z"
+
+
+def _volume(a: str, b: str, c: str) -> str:
+    return (f"(({a}y * {b}z - {a}z * {b}y) * {c}x + ({a}z * {b}x - {a}x * {b}z) * {c}y + ({a}x * {b}y - {a}y * {b}x) * {c}z)")
+
+
+_VOLUMES = [_volume("u", "v", "p"), _volume("v", "w", "p"), _volume("w", "u", "p")]
+WIDE_IN = f"""wt AS (SELECT k, {_vector("u", "x0", "y0")}, {_vector("v", "x1", "y1")}, {_vector("w", "x2", "y2")}
+    FROM (VALUES {_wide_triangles()}) t(k, x0, y0, x1, y1, x2, y2)),
+sp AS (SELECT id, species_id, {_vector("p", "lng", "lat")} FROM s),
+win AS (SELECT DISTINCT wt.k, id, species_id FROM sp JOIN wt ON least({", ".join(_VOLUMES)}) > 0 OR greatest({", ".join(_VOLUMES)}) < 0)"""
+
 SHAPE = f"""p0 AS (SELECT s_suppkey AS k, CAST(-74 AS DOUBLE) + CAST(k * 53 % 256 AS DOUBLE)/1024 + CAST(1 AS DOUBLE)/2048 AS x,
     CAST(40.5 AS DOUBLE) + CAST(k * 29 % 200 AS DOUBLE)/1024 + CAST(1 AS DOUBLE)/2048 AS y,
     CAST(1 + k % 8 AS DOUBLE)/256 AS h, {_POLYGON_REASON} AS reason FROM supplier),
-p1 AS (SELECT *, CASE k % 50
+p1 AS (SELECT *, CASE WHEN k % 50 = 26 THEN CASE k % 100 {_wide_corners()} END ELSE CASE k % 50
     WHEN 27 THEN [[[0, 0], [h, 0], [h, h], [0, h], [0, 0]], [[h/2, h/2], [2*h, h/2], [h/2, h/4], [h/2, h/2]]]
     WHEN 28 THEN [[[0, 0], [h, 0], [h, h], [2*h, 2*h], [h, h], [0, h], [0, 0]]]
     WHEN 31 THEN [[[0, 0], [0, 0], [0, 0], [0, 0]]]
@@ -134,13 +159,14 @@ p1 AS (SELECT *, CASE k % 50
     WHEN k % 4 = 1 THEN [[[-h, -h], [h, -h], [0, 0], [h, h], [-h, h], [-h, -h]]]
     WHEN k % 4 = 2 THEN [[[-h, -h], [h, -h], [h, h], [-h, h], [-h, -h]],
                          [[-h/2, -h/2], [h/2, -h/2], [h/2, h/2], [-h/2, h/2], [-h/2, -h/2]]]
-    ELSE [[[-h, -h], [h, 0], [-h, h], [-h, -h]]] END END AS rings FROM p0),
-pring AS (SELECT k, x, y, h, unnest(rings) AS ring FROM p1 WHERE reason IS NULL AND NOT {_CROSSING}),
+    ELSE [[[-h, -h], [h, 0], [-h, h], [-h, -h]]] END END END AS rings FROM p0),
+pring AS (SELECT k, x, y, h, unnest(rings) AS ring FROM p1 WHERE reason IS NULL AND NOT {_CROSSING} AND k % 50 <> 26),
 pedge0 AS (SELECT k, x, y, h, ring, unnest(range(1, len(ring))) AS i FROM pring),
 pedge AS (SELECT k, x + h AS reach_e, x - h AS reach_w, y + h + CAST(0.01 AS DOUBLE) AS reach_n, y - h AS reach_s,
     x - h AS o, (x + ring[i][1]) - (x - h) AS xa, y + ring[i][2] AS ya,
     (x + ring[i + 1][1]) - (x - h) AS xb, y + ring[i + 1][2] AS yb FROM pedge0),
-pin AS (SELECT k, id, species_id FROM (SELECT pedge.*, s.id, s.species_id, s.lat, s.lng - o AS x FROM pedge JOIN s
+{WIDE_IN},
+pin AS (SELECT p0.k, id, species_id FROM p0 JOIN win ON p0.k % 100 = win.k UNION ALL SELECT k, id, species_id FROM (SELECT pedge.*, s.id, s.species_id, s.lat, s.lng - o AS x FROM pedge JOIN s
     ON s.lng BETWEEN reach_w AND reach_e AND s.lat BETWEEN reach_s AND reach_n) t
     WHERE {_NORTH} GROUP BY k, id, species_id HAVING count(*) % 2 = 1)"""
 
