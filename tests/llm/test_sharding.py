@@ -28,14 +28,38 @@ def test_draws_invert_the_hypergeometric_law(spark, pool, marked, draws):
     assert got == want
 
 
+def drawn(spark, counts, shards, seed=3):
+    table = spark.createDataFrame(list(enumerate(counts)), "part int, count long").filter("count > 0")
+    rows = {r["part"]: r["rows"] for r in sharding.matrix(table, len(counts), shards, seed).collect()}
+    assert sorted(rows) == list(range(len(counts)))
+    return [rows[p] for p in range(len(counts))]
+
+
 def test_matrix_has_the_given_margins(spark):
-    for counts in ([5, 0, 17, 300], [0, 0], [1], [10_000, 3]):
-        rows = spark.range(1).selectExpr(f"{sharding.matrix_sql('array(' + ','.join(f'{c}L' for c in counts) + ')', 7, 3)} AS m").first()["m"]
+    for counts in ([5, 0, 17, 300], [0, 0], [1], [10_000, 3], [7, 0, 0, 1, 900, 12, 5, 0, 44]):
+        rows = drawn(spark, counts, 7)
         assert [sum(r) for r in rows] == counts
         columns = [sum(r[s] for r in rows) for s in range(7)]
         assert sum(columns) == sum(counts) and max(columns) - min(columns) <= 1 and min(map(min, rows)) >= 0
 
 
+def test_matrix_of_large_parts(spark):
+    """256 parts of 2,000,000 rows: exact margins, and cells that spread as the law says."""
+    rows = drawn(spark, [2_000_000] * 256, 24)
+    assert all(sum(r) == 2_000_000 for r in rows) and {sum(r[s] for r in rows) for s in range(24)} <= {21_333_333, 21_333_334}
+    mean, variance = 2_000_000 / 24, 2_000_000 / 24 * 23 / 24 * 255 / 256
+    spread = sum((x - mean) ** 2 for r in rows for x in r) / (256 * 24) / variance
+    assert 0.92 < spread < 1.08
+
+
+def test_cells_follow_the_law(spark):
+    """Over seeds, how many rows of the third of three parts go to the first shard: the shares of the hypergeometric law."""
+    seeds, counts = 40, [3, 2, 4]
+    seen = Counter(drawn(spark, counts, 3, seed)[2][0] for seed in range(seeds))
+    mean = sum(k * n for k, n in seen.items()) / seeds
+    assert max(seen) <= 3 and abs(mean - 4 / 3) < 0.4
+
+
 def test_shards_are_a_permutation_of_exact_sizes(spark):
     docs = many(spark, [f"text {i % 40}" for i in range(500)])
     rows = sharding.shard_documents(docs).collect()
