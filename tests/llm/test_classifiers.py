@@ -79,3 +79,55 @@ def test_pooling_is_the_largest_response_over_the_whole_text():
 def test_thresholds_divide_the_classes():
     assert toxicity_cnn._best_threshold(np.array([0.1, 0.2, 0.8, 0.9]), np.array([0, 0, 1, 1])) == pytest.approx(0.5)
     assert toxicity_cnn._best_threshold(np.array([0.1]), np.array([1])) is None
+
+
+def cuts(g, h, depth, l2):
+    """Values by bin of the greedy tree, each cut tried one after another."""
+    best, at = sum(g) ** 2 / (sum(h) + l2) + 1e-9, None
+    for k in range(1, len(g)) if depth else ():
+        gain = sum(g[:k]) ** 2 / (sum(h[:k]) + l2) + sum(g[k:]) ** 2 / (sum(h[k:]) + l2)
+        if gain > best:
+            best, at = gain, k
+    if at is None:
+        return [sum(g) / (sum(h) + l2)] * len(g)
+    return cuts(g[:at], h[:at], depth - 1, l2) + cuts(g[at:], h[at:], depth - 1, l2)
+
+
+def test_leaves_are_those_of_the_best_cuts():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 3, 9, 32):
+        for depth in (0, 1, 2, 3):
+            g, h = rng.normal(size=size), rng.uniform(0.01, 1, size)
+            assert np.allclose(quality_gam._leaves(g, h, depth, 2.0), cuts(list(g), list(h), depth, 2.0))
+    assert np.allclose(quality_gam._leaves(np.zeros(4), np.zeros(4), 2, 2.0), 0)
+
+
+def test_grids_are_cut_where_the_gain_is_greatest():
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        g, h = rng.normal(size=(8, 8)), rng.uniform(0.01, 1, (8, 8))
+
+        def parts(r, c):
+            return [(slice(*a), slice(*b)) for a in ((0, r), (r, 8)) for b in ((0, c), (c, 8))]
+
+        gain, r, c = max((sum(g[p].sum() ** 2 / (h[p].sum() + 2.0) for p in parts(r, c)), r, c) for r in range(1, 8) for c in range(1, 8))
+        want = np.zeros((8, 8))
+        for p in parts(r, c):
+            want[p] = g[p].sum() / (h[p].sum() + 2.0)
+        found, values = quality_gam._grid_leaves(g, h, 2.0)
+        assert np.isclose(found, gain - g.sum() ** 2 / (h.sum() + 2.0)) and np.allclose(values, want)
+
+
+def test_scores_are_sums_of_table_entries():
+    """One row at a time: the bin of each feature by counting edges, the entry of each table and grid, the logistic of the sum."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 5)).round(1)
+    y = (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(float)
+    model = quality_gam.fit(x, y, bins=16, rounds=30, pairs=4)
+    for row, score in zip(x[:100], model.score(x[:100])):
+        at = [sum(edge <= v for edge in edges) for v, edges in zip(row, model.edges)]
+        total = model.intercept + sum(values[b] for values, b in zip(model.tables, at))
+        for i, j, grid in model.pairs:
+            total += grid[at[i] * 8 // len(model.tables[i]), at[j] * 8 // len(model.tables[j])]
+        assert np.isclose(score, 1 / (1 + np.exp(-total)))
+    assert ((model.score(x) > 0.5) == y).mean() > 0.9
