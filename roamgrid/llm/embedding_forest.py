@@ -2,8 +2,10 @@
 
 The trees of every label are fitted to a bounded sample: a node splits at the median of a random projection until few sample rows are
 left. Every vector is routed down all trees and goes into both children where it is within ``spill`` of a threshold, so
-close vectors part only if the threshold falls well between them. Vectors that share a leaf are compared in full, in
-matrix blocks; a leaf with more rows than ``BLOCK`` is cut into blocks, and pairs of blocks are compared in tasks of their own.
+close vectors part only if the threshold falls well between them. A leaf with more rows than ``BLOCK`` is split on by a tree
+fitted to a sample of its own rows, level by level, so leaves stay small as the table grows. Vectors that share a leaf are compared in
+full, in matrix blocks; a leaf that no projection divides, a crowd of near copies, is cut into blocks, and pairs of
+blocks are compared in tasks of their own.
 A pair that meets in several leaves counts in the first one only, which both rows know from their leaf lists, so links are
 counted without listing pairs; a task returns one row per vector: its links and the smallest vector it is connected to.
 Equal vectors are one weighted row from the start.
@@ -11,11 +13,14 @@ Equal vectors are one weighted row from the start.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +33,13 @@ LEAF = 512
 LEAST_LEAF = 32
 SPILL = 0.03
 SAMPLE = 65_536
+SAMPLE_BYTES = 256 << 20
 BLOCK = 2048
+# Trees of a single leaf: rows they are fitted to, rows of a task that routes, and their spill; leaves are small, and copies by the spill
+# multiply with every level.
+LEAF_SAMPLE = 8192
+LEAF_PART = 20_000
+LEAF_SPILL = 0.01
 
 
 def finite(vector: Column) -> Column:
@@ -118,23 +129,87 @@ def _route(shared, size: int):
             if not batch.num_rows:
                 continue
             x, labels = _unit(batch.column("vector"), size).astype(np.float32), np.asarray(batch.column("label"))
-            found: list[list[int]] = [[] for _ in labels]
+            places, found = [], []
             for label in np.unique(labels):
                 rows = np.flatnonzero(labels == label)
-                # A label outside the sample is one leaf, numbered by the label itself below all others.
+                # A label outside the sample is one leaf, number 0.
                 if label not in forest:
-                    for r in rows:
-                        found[r].append(-1 - abs(int(label)) * 2 - (label < 0))
+                    places.append(rows)
+                    found.append(np.zeros(len(rows), dtype=np.int64))
                     continue
                 for tree in forest[label]:
                     for some, leaf in tree.route(x[rows], SPILL):
-                        for r in rows[some]:
-                            found[r].append(leaf)
-            yield pa.RecordBatch.from_arrays([*batch.columns, long_list([np.sort(np.array(f, dtype=np.int64)) for f in found])],
-                                             names=[*batch.schema.names, "leaves"])
+                        places.append(rows[some])
+                        found.append(np.full(len(some), leaf, dtype=np.int64))
+            place, leaf = np.concatenate(places), np.concatenate(found)
+            order = np.lexsort((leaf, place))
+            lists = np.split(leaf[order], np.cumsum(np.bincount(place, minlength=len(labels)))[:-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, long_list(lists)], names=[*batch.schema.names, "leaves"])
     return run
 
 
+def _units(column: pd.Series) -> np.ndarray:
+    x = np.stack(column.to_numpy()).astype(np.float64)
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+
+def _fit_leaf(rows: pd.DataFrame) -> pd.DataFrame:
+    """One tree over sampled rows of one leaf; it ends where about ``LEAF`` rows of the whole leaf are left."""
+    leaf, count = int(rows["leaf"].iloc[0]), int(rows["rows"].iloc[0])
+    tree = Tree(0)
+    ordered = rows.sort_values("vec")
+    tree.grow(_units(ordered["vector"]), max(LEAST_LEAF, round(LEAF * len(rows) / count)), LEAF_SPILL,
+              np.random.default_rng(leaf & (2**63 - 1)))
+    return rows[["label", "leaf", "rows"]].iloc[:1].assign(tree=[pickle.dumps(tree)])
+
+
+def _route_leaf(rows: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+    """``label, vec, print, leaf, done``: the rows in the leaves of their leaf's tree; one that has no split, or none at all, is done."""
+    tree = pickle.loads(trees["tree"].iloc[0]) if len(trees) else Tree(0)
+    if len(tree.children) < 2 or not len(rows):
+        return rows[["label", "vec", "print", "leaf"]].assign(done=True)
+    leaf, out = int(rows["leaf"].iloc[0]), []
+    for some, child in tree.route(_units(rows["vector"]), LEAF_SPILL):
+        # Two leaves with one number would be compared together: more work, the same links.
+        number = xxhash.xxh64_intdigest(f"{leaf}:{child}") >> 1
+        out.append(rows.iloc[some][["label", "vec", "print"]].assign(leaf=number, done=False))
+    return pd.concat(out)
+
+
+def split_leaves(routed: DataFrame) -> DataFrame:
+    """``routed`` with leaves of more than ``BLOCK`` rows replaced by those of trees of their own, until none is left that can be split.
+
+    Each level fits a tree per such leaf to about ``LEAF_SAMPLE`` of its rows and routes its rows in parts of about ``LEAF_PART``.
+    """
+    routed = routed.withColumn("print", F.xxhash64("label", "vector"))
+    vectors = routed.select("vec", "print", "vector")
+    unsplit, ended = routed.select("label", "vec", "print", F.explode("leaves").alias("leaf")), []
+    leaf = ["label", "leaf"]
+    while True:
+        sizes = unsplit.groupBy(*leaf).agg(F.count("*").alias("rows"))
+        large = materialize(sizes.filter(F.col("rows") > BLOCK), "large_leaves")
+        if large.isEmpty():
+            break
+        ended.append(unsplit.join(large, leaf, "left_anti"))
+        rows = unsplit.join(large, leaf).join(vectors, ["vec", "print"])
+        at = F.pmod(F.xxhash64("vec", "print", "leaf"), F.lit(1 << 30)) * F.col("rows")
+        trees = rows.filter(at < F.lit(LEAF_SAMPLE << 30)).groupBy(*leaf).applyInPandas(
+            _fit_leaf, "label long, leaf long, rows long, tree binary")
+        parts = F.ceil(F.col("rows") / LEAF_PART).cast("int")
+        dealt = rows.withColumn("part", F.pmod(F.xxhash64("vec"), parts).cast("int"))
+        each = materialize(trees, "leaf_trees").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        key = [*leaf, "part"]
+        moved = materialize(dealt.groupBy(*key).cogroup(each.groupBy(*key)).applyInPandas(
+            _route_leaf, "label long, vec long, print long, leaf long, done boolean"), "split")
+        ended.append(moved.filter("done").drop("done"))
+        unsplit = moved.filter("not done").drop("done")
+    if not ended:
+        return routed.drop("print")
+    lists = reduce(DataFrame.unionByName, ended, unsplit).groupBy("vec", "print").agg(
+        F.sort_array(F.collect_set("leaf")).alias("leaves"))
+    return materialize(routed.drop("leaves").join(lists, ["vec", "print"]).drop("print"), "routed")
+
+
 def _compare(limit: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         leaf, one, two = (int(rows[c].iloc[0]) for c in ("leaf", "one", "two"))
@@ -184,7 +259,7 @@ def near_duplicates(embeddings: DataFrame, limit: float = 0.93) -> DataFrame:
     Vectors with equal labels are linked when they meet in a leaf and their cosine in double precision is at least ``limit``. A
     null label, a vector that is null, zero or has null or non-finite components links with nothing; a null id has a null
     component and is not kept. Shorter vectors are continued by zeros. Equal rows count as vectors of their own. Extra
-    columns are ignored. The trees are fitted to at most ``SAMPLE`` vectors, those with the smallest hash of the id.
+    columns are ignored. The trees are fitted to at most ``SAMPLE`` vectors and ``SAMPLE_BYTES``, those with the smallest hash of the id.
     """
     base = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
                              F.col("embedding").cast("array<double>").alias("vector"))
@@ -194,24 +269,24 @@ def near_duplicates(embeddings: DataFrame, limit: float = 0.93) -> DataFrame:
     rows = materialize(base.select("vec_id", "label", F.when(usable, padded(F.col("vector"), size)).alias("vector")), "vectors")
     groups = materialize(rows.filter("vector is not null").groupBy("label", "vector").agg(
         F.min("vec_id").alias("vec"), F.count("*").alias("weight")), "groups")
-    total = groups.count()
-    chosen = groups.filter(F.pmod(F.xxhash64("vec"), F.lit(1 << 20)) <= F.lit(int((1 << 20) * min(1.0, 1.2 * SAMPLE / max(1, total)))))
-    sample = chosen.orderBy(F.xxhash64("vec"), "vec").limit(SAMPLE).select("label", "vector").toArrow()
+    total, most = groups.count(), max(1, min(SAMPLE, SAMPLE_BYTES // (8 * size)))
+    chosen = groups.filter(F.pmod(F.xxhash64("vec"), F.lit(1 << 20)) <= F.lit(int((1 << 20) * min(1.0, 1.2 * most / max(1, total)))))
+    sample = chosen.orderBy(F.xxhash64("vec"), "vec").limit(most).select("label", "vector").toArrow()
     x = _unit(sample.column("vector").combine_chunks(), size).astype(np.float32) if total else np.zeros((0, size), dtype=np.float32)
     labels = np.asarray(sample.column("label"))
     forest, _ = fit_forest({int(v): x[labels == v] for v in np.unique(labels)}, len(x) / max(1, total))
     shared = embeddings.sparkSession.sparkContext.broadcast(forest)
-    routed = materialize(groups.select("vec", "weight", "label", "vector").mapInArrow(
-        _route(shared, size), "vec long, weight long, label long, vector array<double>, leaves array<long>"), "routed")
+    routed = split_leaves(materialize(groups.select("vec", "weight", "label", "vector").mapInArrow(
+        _route(shared, size), "vec long, weight long, label long, vector array<double>, leaves array<long>"), "routed"))
 
-    entries = routed.select("vec", "weight", "vector", "leaves", F.explode("leaves").alias("leaf"))
-    sizes = routed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").agg(
+    entries = routed.select("vec", "weight", "label", "vector", "leaves", F.explode("leaves").alias("leaf"))
+    sizes = routed.select("label", F.explode("leaves").alias("leaf")).groupBy("label", "leaf").agg(
         F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    blocked = entries.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64("vec"), "blocks").cast("int")).withColumn(
+    blocked = entries.join(sizes, ["label", "leaf"]).withColumn("block", F.pmod(F.xxhash64("vec"), "blocks").cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns(
         {"one": F.least("block", "other"), "two": F.greatest("block", "other")})
-    found = materialize(blocked.select("leaf", "one", "two", "block", "vec", "weight", "vector", "leaves")
-                        .groupBy("leaf", "one", "two").applyInPandas(_compare(limit), "vec long, links long, root long"), "found")
+    found = materialize(blocked.select("label", "leaf", "one", "two", "block", "vec", "weight", "vector", "leaves")
+                        .groupBy("label", "leaf", "one", "two").applyInPandas(_compare(limit), "vec long, links long, root long"), "found")
     links = found.groupBy("vec").agg(F.sum("links").alias("links"))
     parts = components(found.select(F.col("vec").alias("u"), F.col("root").alias("v")))
     result = (groups.join(links, "vec", "left").join(parts.withColumnRenamed("node", "vec"), "vec", "left").select(

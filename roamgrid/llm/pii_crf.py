@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -339,7 +340,14 @@ class Finder:
                 found[-1] = (*found[-1][:3], False)
             before = None if tag else m.start()
         # Punctuation around words belongs to the sentence; a span without a digit is no personal data, but for an address with an "at".
-        taken = sorted((s, e) for _, s, e in base)
+        # The decoded spans follow each other, so each is held against the pattern spans alone, joined where they overlap.
+        starts, ends = [], []
+        for s, e in sorted((s, e) for _, s, e in base):
+            if ends and s < ends[-1]:
+                ends[-1] = max(ends[-1], e)
+            else:
+                starts.append(s)
+                ends.append(e)
         added = []
         for kind, start, end, _ in found:
             while end > start and not text[end - 1].isalnum():
@@ -348,9 +356,9 @@ class Finder:
                 start += 1
             piece = text[start:end]
             told = any(c.isdigit() for c in piece) or (kind == 0 and _AT.search(piece))
-            if told and all(e <= start or s >= end for s, e in taken):
+            before = bisect_left(starts, end)
+            if told and (before == 0 or ends[before - 1] <= start):
                 added.append((kind, start, end))
-                taken.append((start, end))
         return added
 
 
@@ -401,8 +409,8 @@ def mask(docs: DataFrame, model: Field, column: str = "text") -> DataFrame:
         finder = Finder(shared.value)
         for texts in batches:
             out: list[str | None] = []
-            for start in range(0, len(texts), 500):
-                part = texts.iloc[start: start + 500].tolist()
+            for batch in slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string(), from_pandas=True)], names=["text"])]):
+                part = batch.column("text").to_pylist()
                 out += [t and masked(t, base + added) for t, (base, added) in zip(part, finder.find(part))]
             yield pd.Series(out, dtype=object)
 

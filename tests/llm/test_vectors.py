@@ -56,6 +56,35 @@ def test_forest_recall_against_all_pairs(spark, monkeypatch, block):
     assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items())
 
 
+def test_large_leaves_are_split_by_trees_of_their_own(spark, monkeypatch):
+    """Trees of few sampled rows leave large leaves; these are split twice, pairs are found as before, and a crowd ends the splitting."""
+    for name, value in {"SAMPLE": 60, "LEAF": 30, "LEAST_LEAF": 20, "BLOCK": 60, "LEAF_SAMPLE": 40, "LEAF_PART": 50}.items():
+        monkeypatch.setattr(forest, name, value)
+    rng = np.random.default_rng(7)
+    rows = clusters(6, 400, size=6)
+    crowd = np.eye(24)[0]
+    rows += [(len(rows) + i, (crowd + rng.normal(size=24) * 1e-3).astype(np.float32), 1) for i in range(150)]
+    levels, fit = [], forest.materialize
+    monkeypatch.setattr(forest, "materialize", lambda df, name: levels.append(name) or fit(df, name))
+    links, root = all_pairs(rows)
+    got = {r["vec_id"]: r for r in forest.near_duplicates(table(spark, rows)).collect()}
+    found = np.array([got[i]["n_links"] for i in range(len(rows))])
+    assert levels.count("split") >= 2
+    assert (found <= links).all() and found.sum() >= 0.98 * links.sum()
+    assert found[-150:].tolist() == links[-150:].tolist()
+    assert (np.array([got[i]["component_id"] for i in range(len(rows))]) == root).mean() >= 0.95
+
+
+def test_labels_of_any_size(spark, monkeypatch):
+    """Labels outside the sample, also those near the ends of 64 bits, are kept apart."""
+    ends = [2**62, -(2**62), 2**63 - 1, -(2**63)]
+    rows = [(10 * i + j, [1.0, 0.01 * j], label) for i, label in enumerate(ends) for j in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")
+    monkeypatch.setattr(forest, "SAMPLE", 1)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in forest.near_duplicates(df).collect()}
+    assert got == {10 * i + j: (2, 10 * i) for i in range(4) for j in range(3)}
+
+
 def test_a_crowd_of_copies_is_counted_whole(spark):
     rows = clusters(2, 20)
     crowd = rows[0][1]
