@@ -153,27 +153,30 @@ def _units(column: pd.Series) -> np.ndarray:
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
-def _fit_leaf(rows: pd.DataFrame) -> pd.DataFrame:
-    """One tree over sampled rows of one leaf; it ends where about ``LEAF`` rows of the whole leaf are left."""
-    leaf, count = int(rows["leaf"].iloc[0]), int(rows["rows"].iloc[0])
-    tree = Tree(0)
-    ordered = rows.sort_values("vec")
-    tree.grow(_units(ordered["vector"]), max(LEAST_LEAF, round(LEAF * len(rows) / count)), LEAF_SPILL,
-              np.random.default_rng(leaf & (2**63 - 1)))
-    return rows[["label", "leaf", "rows"]].iloc[:1].assign(tree=[pickle.dumps(tree)])
+def _fit_leaf(size: int, least: int, spill: float):
+    """One tree over sampled rows of one leaf; it ends where about ``size`` rows of the whole leaf, or ``least`` sampled ones, are left."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        leaf, count = int(rows["leaf"].iloc[0]), int(rows["rows"].iloc[0])
+        tree = Tree(0)
+        ordered = rows.sort_values("vec")
+        tree.grow(_units(ordered["vector"]), max(least, round(size * len(rows) / count)), spill, np.random.default_rng(leaf & (2**63 - 1)))
+        return rows[["label", "leaf", "rows"]].iloc[:1].assign(tree=[pickle.dumps(tree)])
+    return run
 
 
-def _route_leaf(rows: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+def _route_leaf(spill: float):
     """``label, vec, print, leaf, done``: the rows in the leaves of their leaf's tree; one that has no split, or none at all, is done."""
-    tree = pickle.loads(trees["tree"].iloc[0]) if len(trees) else Tree(0)
-    if len(tree.children) < 2 or not len(rows):
-        return rows[["label", "vec", "print", "leaf"]].assign(done=True)
-    leaf, out = int(rows["leaf"].iloc[0]), []
-    for some, child in tree.route(_units(rows["vector"]), LEAF_SPILL):
-        # Two leaves with one number would be compared together: more work, the same links.
-        number = xxhash.xxh64_intdigest(f"{leaf}:{child}") >> 1
-        out.append(rows.iloc[some][["label", "vec", "print"]].assign(leaf=number, done=False))
-    return pd.concat(out)
+    def run(rows: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        tree = pickle.loads(trees["tree"].iloc[0]) if len(trees) else Tree(0)
+        if len(tree.children) < 2 or not len(rows):
+            return rows[["label", "vec", "print", "leaf"]].assign(done=True)
+        leaf, out = int(rows["leaf"].iloc[0]), []
+        for some, child in tree.route(_units(rows["vector"]), spill):
+            # Two leaves with one number would be compared together: more work, the same links.
+            number = xxhash.xxh64_intdigest(f"{leaf}:{child}") >> 1
+            out.append(rows.iloc[some][["label", "vec", "print"]].assign(leaf=number, done=False))
+        return pd.concat(out)
+    return run
 
 
 def split_leaves(routed: DataFrame) -> DataFrame:
@@ -194,13 +197,13 @@ def split_leaves(routed: DataFrame) -> DataFrame:
         rows = unsplit.join(large, leaf).join(vectors, ["vec", "print"])
         at = F.pmod(F.xxhash64("vec", "print", "leaf"), F.lit(1 << 30)) * F.col("rows")
         trees = rows.filter(at < F.lit(LEAF_SAMPLE << 30)).groupBy(*leaf).applyInPandas(
-            _fit_leaf, "label long, leaf long, rows long, tree binary")
+            _fit_leaf(LEAF, LEAST_LEAF, LEAF_SPILL), "label long, leaf long, rows long, tree binary")
         parts = F.ceil(F.col("rows") / LEAF_PART).cast("int")
         dealt = rows.withColumn("part", F.pmod(F.xxhash64("vec"), parts).cast("int"))
         each = materialize(trees, "leaf_trees").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
         key = [*leaf, "part"]
         moved = materialize(dealt.groupBy(*key).cogroup(each.groupBy(*key)).applyInPandas(
-            _route_leaf, "label long, vec long, print long, leaf long, done boolean"), "split")
+            _route_leaf(LEAF_SPILL), "label long, vec long, print long, leaf long, done boolean"), "split")
         ended.append(moved.filter("done").drop("done"))
         unsplit = moved.filter("not done").drop("done")
     if not ended:
