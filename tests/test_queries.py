@@ -48,3 +48,8 @@ def test_known_values(spark):
     assert run["missing_species"](spark, SF).count() == 80 and run["type_counts"](spark, SF).count() == 24
     assert run["within_total"](spark, SF).first()["total"] == 427
     assert run["geonear"](spark, SF).agg({"distance_m": "min"}).first()[0] == 2320.1
+
+
+def test_profile_totals_parse_the_lines_once(spark):
+    plan = QUERIES["profile_totals"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan text" not in plan

@@ -438,7 +438,7 @@ def profile_cells(spark, sf):
 
 @query
 def profile_totals(spark, sf):
-    rows = _profile(spark, sf)
+    rows = materialize(_profile(spark, sf), "profile")
     return profile.profile_totals(rows, profile.profile_sample(rows, SAMPLE))
 
 
