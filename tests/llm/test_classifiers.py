@@ -76,6 +76,46 @@ def test_pooling_is_the_largest_response_over_the_whole_text():
         assert np.allclose(row, want, atol=1e-4)
 
 
+def test_every_labelled_row_is_learned_from(spark):
+    rng = random.Random(3)
+    texts = {i: [f"{'bad' if i % 4 == 0 else 'good'}{i % 60}", *words(i, 12, 60)] for i in range(1, 1201)}
+    for own in texts.values():
+        rng.shuffle(own)
+    docs = documents(spark, [(i, " ".join(t), "en", "a", 0, 0.0, "", "") for i, t in texts.items()])
+    marks = labels(spark, [(i, 1, int(i % 4 == 0)) for i in texts] + [(1, 1, 0)])
+    model = toxicity_cnn.train(docs, marks, max_rows=150, max_words=3000)
+    kept = {r["doc_id"] for r in docs.filter("pmod(xxhash64(doc_id), 4) = 0").collect()}
+    seen = {}
+    for i in texts:
+        for word in set(texts[i]) if i not in kept and not held_out(i) else ():
+            seen[word] = seen.get(word, 0) + 1
+    often, buckets = [w for w, n in seen.items() if n >= 4], toxicity_cnn.Buckets()
+    assert len(often) > 100 and all(model.embeddings[buckets[w] // toxicity_cnn.BUCKETS].any() for w in often)
+    unseen = [i for i in texts if held_out(i)]
+    scores = model.score([np.array([buckets[w] for w in texts[i]]) for i in unseen])
+    assert np.mean((scores > 0.5) == [i % 4 == 0 for i in unseen]) > 0.95
+
+
+def test_different_texts_of_a_word_are_counted_over_all_shards():
+    rng = np.random.default_rng(0)
+    texts = [rng.integers(0, 300, 5) for _ in range(200)]
+    texts += texts[:50]
+    prints = np.array([hash(t.tobytes()) for t in texts])
+    shard = rng.integers(0, 5, len(texts))
+    found = toxicity_cnn._in_enough(np.stack([toxicity_cnn._least_prints([t for t, s in zip(texts, shard) if s == n], prints[shard == n], 4)
+                                              for n in range(5)]))
+    want = np.zeros(toxicity_cnn.BUCKETS, dtype=int)
+    for t in {t.tobytes(): t for t in texts}.values():
+        want[np.unique(np.concatenate([t // toxicity_cnn.BUCKETS, t % toxicity_cnn.BUCKETS]))] += 1
+    assert (found == (want >= 4)).all() and 0 < found.sum() < 300
+
+
+def test_draws_take_every_row():
+    group = np.arange(10, 17)
+    drawn = np.concatenate([toxicity_cnn._drawn(group, start, 4, [1, 2]) for start in range(0, 28, 4)])
+    assert all(sorted(drawn[i:i + 7]) == list(group) for i in range(0, 28, 7)) and len({tuple(drawn[i:i + 7]) for i in range(0, 28, 7)}) > 1
+
+
 def test_thresholds_divide_the_classes():
     assert toxicity_cnn._best_threshold(np.array([0.1, 0.2, 0.8, 0.9]), np.array([0, 0, 1, 1])) == pytest.approx(0.5)
     assert toxicity_cnn._best_threshold(np.array([0.1]), np.array([1])) is None
